@@ -8,21 +8,21 @@ from ..operators import filters as flt
 from .registry import query
 
 # A column with missing numbers is a double on both sides.
-_MATCH = ["match_id", "team_1_id", "team_2_id", F.col("winner_id").cast("double").alias("winner_id")]
+_MATCH = ["match_id", "team_1_id", "team_2_id", "CAST(winner_id AS DOUBLE) AS winner_id"]
 
 
 @query("flt_not_null", """
 SELECT match_id, team_1_id, team_2_id, CAST(winner_id AS DOUBLE) AS winner_id
 FROM fx_match WHERE winner_id IS NOT NULL""")
 def flt_not_null(t):
-    return flt.keep_present(t.matches.select(*_MATCH), "winner_id")
+    return flt.keep_present(t.matches.selectExpr(*_MATCH), "winner_id")
 
 
 @query("flt_is_null", """
 SELECT match_id, team_1_id, team_2_id, CAST(winner_id AS DOUBLE) AS winner_id
 FROM fx_match WHERE winner_id IS NULL""")
 def flt_is_null(t):
-    return flt.keep_missing(t.matches.select(*_MATCH), "winner_id")
+    return flt.keep_missing(t.matches.selectExpr(*_MATCH), "winner_id")
 
 
 @query("flt_sentinel", """
@@ -39,14 +39,14 @@ def flt_sentinel(t):
 SELECT match_id, team_1_id, team_2_id, CAST(winner_id AS DOUBLE) AS winner_id
 FROM fx_match WHERE status = 'F' AND season = 2000""")
 def flt_equals(t):
-    return flt.keep_equal(t.matches, {"status": "F", "season": 2000}).select(*_MATCH)
+    return flt.keep_equal(t.matches, {"status": "F", "season": 2000}).selectExpr(*_MATCH)
 
 
 @query("flt_or_either_side", """
 SELECT match_id, team_1_id, team_2_id, CAST(winner_id AS DOUBLE) AS winner_id
 FROM fx_match WHERE team_1_id = 7 OR team_2_id = 7""")
 def flt_or_either_side(t):
-    return flt.keep_either_side(t.matches.select(*_MATCH), ["team_1_id", "team_2_id"], 7)
+    return flt.keep_either_side(t.matches.selectExpr(*_MATCH), ["team_1_id", "team_2_id"], 7)
 
 
 @query("flt_not_regex", "SELECT c_custkey, c_name FROM customer WHERE NOT regexp_matches(c_name, '13|7$')")

@@ -4,10 +4,14 @@ from . import (  # noqa: F401
     aggregates,
     columns,
     filters,
+    flows,
     joins,
+    modelling,
     ordering,
     scalars,
     sources,
+    statistics,
+    streams,
 )
 from .registry import ORACLES, QUERIES
 

@@ -75,7 +75,7 @@ def ml_stratified_folds(t):
 
 
 @query("ml_assemble", """
-SELECT match_id, label, round(a.mw - b.mw, 6) + 0.0 AS first, round(a.objective_pm - b.objective_pm, 6) + 0.0 AS last,
+SELECT match_id, label, round(a.mw - b.mw, 9) + 0.0 AS first, round(a.objective_pm - b.objective_pm, 9) + 0.0 AS last,
        CAST(6 AS INT) AS size
 FROM fx_labelled l JOIN fx_match m USING (match_id) JOIN fx_team a ON a.team_id = m.team_1_id AND a.season = m.season
 JOIN fx_team b ON b.team_id = m.team_2_id AND b.season = m.season""")
@@ -84,8 +84,8 @@ def ml_assemble(t):
 
     work = Training(t)
     rows = train.assemble(work.scaling.invert(work.rows), _DIFFS).select("match_id", "label", vector_to_array("features").alias("v"))
-    return rows.select("match_id", "label", F.round(F.col("v")[0], 6).alias("first"),
-                       F.round(F.element_at("v", -1), 6).alias("last"), F.size("v").alias("size"))
+    return rows.select("match_id", "label", F.round(F.col("v")[0], 9).alias("first"),
+                       F.round(F.element_at("v", -1), 9).alias("last"), F.size("v").alias("size"))
 
 
 @query("ml_class_weights", """

@@ -70,9 +70,9 @@ def positive_probability(name: str = "probability") -> Column:
 
 def fit_regressors(df: DataFrame, targets: Sequence[str], trees: int = 20, depth: int = 5,
                    seed: int = 42) -> dict[str, Model]:
-    """One regression forest per target."""
+    """One regression forest per target; every split may use every feature."""
     return {y: RandomForestRegressor(labelCol=y, predictionCol=f"{y}_pred", numTrees=trees, maxDepth=depth,
-                                     seed=seed).fit(df) for y in targets}
+                                     featureSubsetStrategy="all", seed=seed).fit(df) for y in targets}
 
 
 def importance_rows(df: DataFrame, model: Model, features: Sequence[str]) -> DataFrame:

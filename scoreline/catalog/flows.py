@@ -92,13 +92,18 @@ def flow_match_features(t):
     return _rounded(table, _DIFFS)
 
 
-def _noise_sql(column, scale, key="CAST(match_id AS VARCHAR)"):
-    digest = f"md5('42|' || {key} || '|{column}')"
+def noise_sql(scale, key_text):
+    """The SQL of ``hash_gaussian`` with seed 42; ``key_text`` continues the text that is hashed."""
+    digest = f"md5('42|{key_text})"
     u1 = f"((CAST(('0x' || substr({digest}, 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)"
     u2 = f"((CAST(('0x' || substr({digest}, 13, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)"
     return f"{scale}::DOUBLE * sqrt(-2.0::DOUBLE * ln({u1})) * cos(2.0::DOUBLE * pi() * {u2})"
 
 
+def _noise_sql(column, scale, key="CAST(match_id AS VARCHAR)"):
+    return noise_sql(scale, f"' || {key} || '|{column}'")
+
+
 _SWAPPED_KEY = "CAST(match_id AS VARCHAR) || '|' || CAST(swapped AS VARCHAR)"
 
 views.add_view("fx_noisy_diff", """

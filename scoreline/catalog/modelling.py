@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import argmax
+from ..functions.seeded import hash_gaussian
 from ..models import evaluate, simulate, split, train
 from ..operators.joins import role_playing_join
 from ..plans import features
 from ..storage import settle
 from . import views
-from .flows import METRICS, team_features
+from .flows import METRICS, noise_sql, team_features
 from .registry import query
 
 _DIFFS = features.difference_names(METRICS)
@@ -176,6 +177,17 @@ def ml_soft_vote(t):
         "match_id", "label", "p_rf", "p_gbt", "p_lr", "vote_prob", "vote")
 
 
+@query("ml_soft_vote_mean", """
+SELECT match_id, round((p_record + p_score) / 2, 6) + 0.0 AS vote_prob,
+       CAST(CASE WHEN (p_record + p_score) / 2 > 0.5 THEN 1 ELSE 0 END AS INT) AS vote
+FROM (SELECT match_id, 0.5 + score AS p_record, team_2_guess / (team_1_guess + team_2_guess) AS p_score FROM fx_rule) p""")
+def ml_soft_vote_mean(t):
+    guesses = F.col("team_1_guess") + F.col("team_2_guess")
+    rows = _rule(t).select("match_id", (F.lit(0.5) + F.col("score")).alias("p_record"),
+                           (F.col("team_2_guess") / guesses).alias("p_score"))
+    return _rounded(train.average_vote(rows, ["p_record", "p_score"]).drop("p_record", "p_score"), ["vote_prob"])
+
+
 @query("ml_grid_search")
 def ml_grid_search(t):
     rows = settle(split.add_folds(Training(t).assembled(), "label", 3, 42, ["match_id"]), "folds")
@@ -326,3 +338,20 @@ def pred_noise_vote(t):
     return simulate.noise_ensemble(work.coming(), "game_id", _DIFFS,
                                    lambda rows: train.soft_vote(train.assemble(rows, _DIFFS), models), "vote",
                                    draws=10, scale=0.01, limits=(0.0, 1.0))
+
+
+@query("pred_noise_rule", f"""
+SELECT match_id, round(avg(1.0::DOUBLE - prediction), 6) + 0.0 AS team_1_win_prob,
+       round(avg(prediction::DOUBLE), 6) + 0.0 AS team_2_win_prob, CAST(count(*) AS BIGINT) AS draws,
+       CAST(CASE WHEN avg(1.0::DOUBLE - prediction) > avg(prediction::DOUBLE) THEN 0 ELSE 1 END AS INT) AS winner_pred
+FROM (SELECT match_id, CASE WHEN score + {noise_sql(0.05, "score|' || CAST(match_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR)")} > 0
+             THEN 1 ELSE 0 END AS prediction
+      FROM fx_rule, (SELECT unnest(range(0, 8)) AS draw) d) s GROUP BY match_id""")
+def pred_noise_rule(t):
+    # The rule instead of a model, and noise that SQL can repeat.
+    def predict(rows):
+        return rows.withColumn("prediction", F.when(F.col("score") > 0, 1).otherwise(0))
+
+    votes = simulate.noise_ensemble(_rule(t).select("match_id", "score"), "match_id", ["score"], predict, "prediction",
+                                    draws=8, scale=0.05, gaussian=hash_gaussian)
+    return _rounded(votes, ["team_1_win_prob", "team_2_win_prob"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import choose_greater, clip
@@ -15,10 +15,10 @@ _BLOCK = 1000
 
 
 def noisy_draws(games: DataFrame, game: str, features: Sequence[str], draws: int, scale: float, seed: int = 42,
-                limits: tuple[float, float] | None = None) -> DataFrame:
+                limits: tuple[float, float] | None = None, gaussian: Callable[..., Column] = fast_gaussian) -> DataFrame:
     """Each game ``draws`` times, with N(0, scale) added to its features.
 
-    Blocks of draws are spread over the cluster before they are expanded, so a
+    ``gaussian`` is one of the functions of ``functions.seeded``. Blocks of draws are spread over the cluster before they are expanded, so a
     few games with many draws use all executors.
     """
     blocks = games.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // _BLOCK))))
@@ -27,7 +27,7 @@ def noisy_draws(games: DataFrame, game: str, features: Sequence[str], draws: int
     first = F.col("_block") * F.lit(_BLOCK)
     last = F.least(first + F.lit(_BLOCK - 1), F.lit(draws - 1))
     rows = blocks.withColumn("draw", F.explode(F.sequence(first, last))).drop("_block")
-    noisy = {f: F.col(f) + fast_gaussian(seed, F.lit(f), F.col(game), F.col("draw"), scale=scale) for f in features}
+    noisy = {f: F.col(f) + gaussian(seed, F.lit(f), F.col(game), F.col("draw"), scale=scale) for f in features}
     if limits is not None:
         noisy = {f: clip(value, *limits) for f, value in noisy.items()}
     return rows.withColumns(noisy)
@@ -44,7 +44,8 @@ def win_probabilities(scored: DataFrame, game: str, prediction: str) -> DataFram
 
 def noise_ensemble(games: DataFrame, game: str, features: Sequence[str],
                    predict: Callable[[DataFrame], DataFrame], prediction: str, draws: int = 15000,
-                   scale: float = 0.15, seed: int = 42, limits: tuple[float, float] | None = None) -> DataFrame:
+                   scale: float = 0.15, seed: int = 42, limits: tuple[float, float] | None = None,
+                   gaussian: Callable[..., Column] = fast_gaussian) -> DataFrame:
     """One row per game: the votes of ``draws`` noisy predictions."""
-    return win_probabilities(
-        predict(noisy_draws(games, game, features, draws, scale, seed, limits)), game, prediction)
+    rows = noisy_draws(games, game, features, draws, scale, seed, limits, gaussian)
+    return win_probabilities(predict(rows), game, prediction)

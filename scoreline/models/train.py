@@ -149,7 +149,12 @@ def soft_vote(df: DataFrame, models: Mapping[str, Model], result: str = "vote")
     for name, model in models.items():
         df = model.transform(df).withColumn(f"p_{name}", positive_probability(f"prob_{name}")).drop(
             f"prob_{name}", f"raw_{name}", f"pred_{name}")
-    mean = sum((F.col(f"p_{n}") for n in models), F.lit(0.0)) / F.lit(len(models))
+    return average_vote(df, [f"p_{n}" for n in models], result)
+
+
+def average_vote(df: DataFrame, probabilities: Sequence[str], result: str = "vote") -> DataFrame:
+    """Add the mean of the probability columns and the class it gives."""
+    mean = sum((F.col(p) for p in probabilities), F.lit(0.0)) / F.lit(len(probabilities))
     return df.withColumn(f"{result}_prob", mean).withColumn(result, (mean > 0.5).cast("int"))
 
 

@@ -50,7 +50,7 @@ def drop_matching(df: DataFrame, name: str, pattern: str) -> DataFrame:
 
 def keep_keys(df: DataFrame, name: str, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in ``keys``: one semi join, no query per key."""
-    wanted = keys.select(F.col(key).alias("_wanted"))
+    wanted = keys.select(F.col(key).alias("_wanted")).distinct()
     return df.join(wanted, F.col(name) == F.col("_wanted"), "left_semi")
 
 

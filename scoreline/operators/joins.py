@@ -76,4 +76,4 @@ def lookup_with_fallback(df: DataFrame, sources: Sequence[tuple[DataFrame, str,
 
 def delete_arriving(stored: DataFrame, arriving: DataFrame, key: str) -> DataFrame:
     """Stored rows whose key does not arrive again."""
-    return stored.join(arriving.select(key), key, "left_anti")
+    return stored.join(arriving.select(key).distinct(), key, "left_anti")

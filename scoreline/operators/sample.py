@@ -7,49 +7,57 @@ is a plain filter: no sort, no shuffle and no gathering of the rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.seeded import hash_gaussian, key_hash
 from .columns import swap_sides
 
-_PREFIX_STEP = 4
+_PREFIX_STEP = 3
 _SMALL_BUCKET = 10_000
 
 
-def _nth_hash(hashes: DataFrame, n: int) -> str:
-    prefix, wanted = "", n
-    while len(prefix) < 3 * _PREFIX_STEP:
-        size = len(prefix) + _PREFIX_STEP
+def _nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str | None:
+    """The largest hash of the sample; ``size`` gives the number of rows from that of the table."""
+    prefix, wanted = "", None
+    while len(prefix) < 4 * _PREFIX_STEP:
         # At most 16 ** _PREFIX_STEP groups.
         counts = hashes.where(F.col("h").startswith(prefix)).groupBy(
-            F.substring("h", 1, size).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        upto = W.partitionBy(F.lit(0)).orderBy("p").rowsBetween(W.unboundedPreceding, 0)
-        found = counts.withColumn("upto", F.sum("n").over(upto)).where(
-            F.col("upto") >= wanted).orderBy("p").first()
-        if found is None:
+            F.substring("h", 1, len(prefix) + _PREFIX_STEP).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        groups = sorted(counts.collect())
+        if wanted is None:
+            wanted = size(sum(g["n"] for g in groups))
+            if wanted == 0:
+                return None
+        for group in groups:
+            if wanted <= group["n"]:
+                break
+            wanted -= group["n"]
+        else:
             raise ValueError("the sample is larger than the table")
-        prefix, wanted = found["p"], wanted - (found["upto"] - found["n"])
-        if found["n"] <= _SMALL_BUCKET:
+        prefix = group["p"]
+        if group["n"] <= _SMALL_BUCKET:
             break
     last = hashes.where(F.col("h").startswith(prefix)).orderBy("h").limit(wanted)
     return last.agg(F.max("h")).first()[0]
 
 
+def _sample(df: DataFrame, size: Callable[[int], int], seed: int | str, row_key: Sequence[str]) -> DataFrame:
+    digest = key_hash(seed, *[F.col(k) for k in row_key])
+    last = _nth_hash(df.select(digest.alias("h")), size)
+    return df.where(F.lit(False) if last is None else digest <= F.lit(last))
+
+
 def sample_n(df: DataFrame, n: int, seed: int | str, row_key: Sequence[str]) -> DataFrame:
     """Exactly ``n`` rows without replacement; ``row_key`` is unique per row."""
-    digest = key_hash(seed, *[F.col(k) for k in row_key])
-    if n == 0:
-        return df.where(F.lit(False))
-    return df.where(digest <= F.lit(_nth_hash(df.select(digest.alias("h")), n)))
+    return _sample(df, lambda rows: n, seed, row_key)
 
 
 def sample_share(df: DataFrame, share: float, seed: int | str, row_key: Sequence[str]) -> DataFrame:
     """``int(rows * share)`` rows without replacement."""
-    return sample_n(df, int(df.count() * share), seed, row_key)
+    return _sample(df, lambda rows: int(rows * share), seed, row_key)
 
 
 def add_swapped(df: DataFrame, share: float, seed: int | str, row_key: Sequence[str],

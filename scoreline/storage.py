@@ -36,9 +36,13 @@ def _base_folder(spark: SparkSession) -> str:
     return _test_folder(spark.sparkContext.applicationId)
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{_base_folder(spark).rstrip('/')}/scoreline/{spark.sparkContext.applicationId}"
+
+
 def workspace(spark: SparkSession, label: str = "table") -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``."""
-    return f"{_base_folder(spark).rstrip('/')}/scoreline/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
@@ -47,3 +51,12 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     path = workspace(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete every table this application wrote to the shared folder.
+
+    Call it when no result that reads such a table is needed any more.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,15 +38,21 @@ def run_to_log(stream: DataFrame, log: str, checkpoint: str, reduce: Callable[[D
 
 
 def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
-    """All rows of the log with their batch number."""
-    return spark.read.schema(schema.add("batch_no", T.LongType()) if "batch_no" not in schema.names else schema).parquet(log)
+    """All rows of the log with their batch number; an absent log is empty."""
+    numbered = T.StructType([*schema.fields, T.StructField("batch_no", T.LongType())])
+    try:
+        return spark.read.schema(numbered).parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], numbered)
 
 
 def stream_upsert_latest(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
                          order: Sequence[str], timeout: int = 600) -> DataFrame:
     """The newest row per key, by ``order`` and then by arrival."""
     run_to_log(stream, log, checkpoint, lambda batch: keep_one(batch, keys, order, keep="last"), timeout)
-    merged = read_log(stream.sparkSession, log, T.StructType(list(stream.schema.fields)))
+    merged = read_log(stream.sparkSession, log, stream.schema)
     return keep_one(merged, keys, [*order, "batch_no"], keep="last").drop("batch_no")
 
 
@@ -53,7 +60,7 @@ def stream_rolling_last_n(stream: DataFrame, log: str, checkpoint: str, keys: Se
                           order: Sequence[str], value: str, n: int = 3, timeout: int = 600) -> DataFrame:
     """The mean of the last ``n`` values per key, and how many there were."""
     run_to_log(stream, log, checkpoint, lambda batch: latest_n(batch, keys, order, n), timeout)
-    merged = read_log(stream.sparkSession, log, T.StructType(list(stream.schema.fields)))
+    merged = read_log(stream.sparkSession, log, stream.schema)
     return latest_n(merged, keys, order, n).groupBy(*keys).agg(
         F.avg(value).alias(f"{value}_avg"), F.count(value).alias("games"))
 

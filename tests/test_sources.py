@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scoreline.operators.columns import on_text_columns, rename_positions
 from scoreline.functions.numbers import strip_thousands
 from scoreline.sources import csv, html, json, sinks, tables
-from scoreline.storage import settle, workspace
+from scoreline.storage import release, settle, workspace
 
 
 def test_two_row_header(spark, tmp_path):
@@ -95,3 +95,10 @@ def test_workspace_follows_the_session(spark, frame):
     assert base is None or path.startswith(base)
     assert rows_of(settle(frame([(1, None)], "a int, b string"))) == [(1, None)]
     assert settle(frame([], "a int, b string")).schema.names == ["a", "b"]
+
+
+def test_release_deletes_what_was_written(spark, frame):
+    kept = settle(frame([(1,)], "a int"))
+    assert kept.count() == 1 and release(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(kept.inputFiles()[0])

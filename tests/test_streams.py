@@ -77,3 +77,8 @@ def test_compacted_log_reads_the_same(spark, frame, places):
     continued = changes.stream_upsert_latest(
         changes.read_arriving(spark, arriving, stream.schema), log + "-next", progress, ["id"], ["ts"])
     assert rows_of(continued) == [(1, at(1), 1.0), (2, at(1), 5.0)]
+
+
+def test_nothing_arrived_gives_no_rows(spark, frame, places, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert upsert(spark, frame, places) == []

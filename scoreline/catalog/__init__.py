@@ -13,6 +13,6 @@ from . import (  # noqa: F401
     statistics,
     streams,
 )
-from .registry import ORACLES, QUERIES
+from .registry import QUERIES, oracles
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["QUERIES", "oracles"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import mean_by_keys, mode_and_means
 from ..operators.order import latest_n
-from ..plans import charts, features, teams
+from ..plans import charts, features, seasons, teams
 from ..storage import settle
 from . import views
 from .registry import query
@@ -270,3 +270,40 @@ def plot_axis_limits(t):
 SELECT role_composition, round(avg(match_win_percent), 6) + 0.0 AS win_rate FROM fx_comparison GROUP BY role_composition""")
 def plot_composition_bars(t):
     return _rounded(charts.composition_bars(comparison(t), "match_win_percent"), ["win_rate"])
+
+
+@query("flow_season_tables", """
+SELECT replace(c_name, '#', ' ') AS "Overall_Player", CAST(c_nationkey AS VARCHAR) AS "Overall_KD",
+       c_mktsegment AS "S_D_Role", CAST(2000 + c_custkey // 50 % 2 AS VARCHAR) AS year,
+       CAST(CASE WHEN c_acctbal >= 0 THEN c_custkey END AS DOUBLE) AS id FROM customer""")
+def flow_season_tables(t):
+    # Pages of fifty players each, with a header of two levels and non-breaking blanks in the names.
+    row = "concat('<tr><td>', replace(r.c_name, '#', '&nbsp;'), '</td><td>', r.c_nationkey, '</td><td>', r.c_mktsegment, '</td></tr>')"
+    packed = t.customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(
+        F.collect_list(F.struct("c_name", "c_nationkey", "c_mktsegment")).alias("rows"))
+    pages = packed.select(
+        F.concat(F.lit("https://stats.example/"), (F.col("page") % 2 + 2000).cast("string"), F.lit("_Season/"),
+                 F.col("page").cast("string")).alias("url"),
+        F.concat(F.lit("<table><tr><td>menu</td></tr></table><table><tr><th colspan='2'>Overall</th><th>S&amp;D</th></tr>"
+                       "<tr><th>Player</th><th>K/D</th><th>Role</th></tr>"),
+                 F.expr(f"array_join(transform(rows, r -> {row}), '')"), F.lit("</table>")).alias("html"))
+    ids = t.customer.where(F.col("c_acctbal") >= 0).select(
+        F.replace("c_name", F.lit("#"), F.lit(" ")).alias("tag"), F.col("c_custkey").cast("double").alias("id"))
+    return seasons.season_tables(settle(pages, "pages"), "url", "html", 1, ids, "tag")
+
+
+@query("flow_rolling_form", """
+WITH last AS (
+  SELECT team_1_id AS team_id, match_id FROM fx_match
+  QUALIFY row_number() OVER (PARTITION BY team_1_id ORDER BY played_at DESC, match_id DESC) <= 3),
+players AS (SELECT team_id, l_suppkey, sum(l_quantity) / count(*) AS rating
+            FROM last JOIN lineitem ON l_orderkey = match_id GROUP BY team_id, l_suppkey),
+teams AS (SELECT team_id, sum(rating) AS rating FROM players GROUP BY team_id),
+played AS (SELECT team_id, count(*) AS matches FROM last GROUP BY team_id)
+SELECT t.team_id, floor(round(rating / matches, 9) * 1000) / 1000 AS rating_avg
+FROM teams t JOIN played p ON p.team_id = t.team_id""")
+def flow_rolling_form(t):
+    sides = t.matches.select(F.col("team_1_id").alias("team_id"), "match_id", "played_at")
+    lines = t.lineitem.select(F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_id"),
+                              F.col("l_quantity").alias("rating"), F.lit(1).alias("rating_games"))
+    return seasons.rolling_form(sides, lines, ["rating"])

@@ -12,10 +12,10 @@ from ..functions.numbers import argmax
 from ..functions.seeded import hash_gaussian
 from ..models import evaluate, simulate, split, train
 from ..operators.joins import role_playing_join
-from ..plans import features
+from ..plans import features, winner
 from ..storage import settle
 from . import views
-from .flows import METRICS, noise_sql, team_features
+from .flows import METRICS, flow_role_matchup, noise_sql, team_features, training_features
 from .registry import query
 
 _DIFFS = features.difference_names(METRICS)
@@ -355,3 +355,18 @@ def pred_noise_rule(t):
     votes = simulate.noise_ensemble(_rule(t).select("match_id", "score"), "match_id", ["score"], predict, "prediction",
                                     draws=8, scale=0.05, gaussian=hash_gaussian)
     return _rounded(votes, ["team_1_win_prob", "team_2_win_prob"])
+
+
+@query("flow_winner_report")
+def flow_winner_report(t):
+    table, _ = training_features(t, swap_share=0.5, noise_share=0.25)
+    _, scored = winner.train_and_hold(table, _DIFFS, train.boosted(rounds=5, depth=3), "label", ["match_id"], 15)
+    return winner.held_out_report(scored, "label")
+
+
+@query("flow_role_model")
+def flow_role_model(t):
+    rows = train.index_classes(flow_role_matchup(t), "winner_id", "winner")
+    names = ["slayer_diff", "support_diff", "objective_player_diff", "win_rate_diff", "team_rank_diff"]
+    _, scored = winner.train_and_hold(settle(rows), names, train.forest("winner", trees=10, depth=5), "winner", ["match_id"], 20)
+    return winner.accuracy_by_part(scored, "winner")

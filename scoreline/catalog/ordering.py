@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import trunc_decimals
 from ..operators import changes, order, sample
 from ..operators.aggregate import sides_to_rows
+from ..storage import settle
 from .registry import query
 
 
@@ -14,7 +15,8 @@ from .registry import query
 SELECT player_id, season, kills, CAST(floor(rank() OVER (ORDER BY kills DESC)
          + (count(*) OVER (PARTITION BY kills) - 1) / 2.0) AS INT) AS rank FROM fx_player_season""")
 def win_rank_average_desc(t):
-    return order.average_rank(t.player_seasons.select("player_id", "season", "kills"), "kills", "rank")
+    rows = settle(t.player_seasons.select("player_id", "season", "kills"), "players")
+    return order.average_rank(rows, "kills", "rank")
 
 
 _SIDES = [{"team_id": "team_1_id", "score": "team_1_score"}, {"team_id": "team_2_id", "score": "team_2_score"}]

@@ -11,7 +11,7 @@ from ..sources.tables import scan
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_STATEMENTS: dict[str, str] = {}
 
 
 class Tables:
@@ -96,7 +96,12 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
-            ORACLES[name] = views.with_views(sql)
+            _STATEMENTS[name] = sql
         return build
 
     return register
+
+
+def oracles() -> dict[str, str]:
+    """The SQL statements with the views they use."""
+    return {name: views.with_views(sql) for name, sql in _STATEMENTS.items()}

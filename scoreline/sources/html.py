@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_name
+
 # Fixed value: an anchor with a quoted target, and its text up to the end tag.
 _LINK = r'<a href="([^"]*)">([^<]*)</a>'
 
@@ -23,60 +25,101 @@ def links(pages: DataFrame, key: str, html: str) -> DataFrame:
         F.col("link").getItem("href").alias("href"), F.col("link").getItem("label").alias("label"))
 
 
+def _span(attributes: list[tuple[str, str | None]], name: str) -> int:
+    value = (dict(attributes).get(name) or "1").strip()
+    return max(int(value), 1) if value.isdigit() else 1
+
+
+class _Table:
+    """One open table: finished rows, the row under construction, cells that reach down."""
+
+    def __init__(self, number: int) -> None:
+        self.number = number
+        self.rows: list[list[str]] = []
+        self.row: list[tuple[str, int, int]] | None = None
+        self.text: list[str] | None = None
+        self.spans = (1, 1)
+        self.hanging: dict[int, tuple[int, str]] = {}
+
+    def end_cell(self) -> None:
+        if self.text is not None:
+            self.row.append(("".join(self.text).strip(), *self.spans))
+            self.text = None
+
+    def end_row(self) -> None:
+        self.end_cell()
+        if self.row:
+            self.rows.append(self._laid_out())
+        self.row = None
+
+    def _laid_out(self) -> list[str]:
+        cells: list[str] = []
+        below: dict[int, tuple[int, str]] = {}
+
+        def take_hanging() -> None:
+            while len(cells) in self.hanging:
+                left, text = self.hanging[len(cells)]
+                if left > 1:
+                    below[len(cells)] = (left - 1, text)
+                cells.append(text)
+
+        for text, across, down in self.row:
+            take_hanging()
+            for _ in range(across):
+                if down > 1:
+                    below[len(cells)] = (down - 1, text)
+                cells.append(text)
+        take_hanging()
+        self.hanging = below
+        return cells
+
+
 class _TableReader(HTMLParser):
     """Collects the cells of a page's tables; inner tables count as tables of their own."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.rows: list[tuple[int, int, list[str]]] = []
-        self._open: list[dict] = []
-        self._seen = 0
+        self.tables: list[_Table] = []
+        self._open: list[_Table] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self._open.append({"number": self._seen, "rows": 0, "cells": None, "text": None})
-            self._seen += 1
+            self._open.append(_Table(len(self.tables)))
+            self.tables.append(self._open[-1])
         elif self._open and tag == "tr":
-            self._end_row()
-            self._open[-1]["cells"] = []
+            self._open[-1].end_row()
+            self._open[-1].row = []
         elif self._open and tag in ("td", "th"):
-            self._end_cell()
-            if self._open[-1]["cells"] is None:
-                self._open[-1]["cells"] = []
-            self._open[-1]["text"] = []
+            table = self._open[-1]
+            table.end_cell()
+            table.row = table.row or []
+            table.text, table.spans = [], (_span(attrs, "colspan"), _span(attrs, "rowspan"))
 
     def handle_data(self, data):
-        if self._open and self._open[-1]["text"] is not None:
-            self._open[-1]["text"].append(data)
+        if self._open and self._open[-1].text is not None:
+            self._open[-1].text.append(data)
 
     def handle_endtag(self, tag):
         if not self._open:
             return
         if tag in ("td", "th"):
-            self._end_cell()
+            self._open[-1].end_cell()
         elif tag == "tr":
-            self._end_row()
+            self._open[-1].end_row()
         elif tag == "table":
-            self._end_row()
-            self._open.pop()
-
-    def _end_cell(self):
-        table = self._open[-1]
-        if table["text"] is not None:
-            table["cells"].append("".join(table["text"]).strip())
-            table["text"] = None
+            self._open.pop().end_row()
 
-    def _end_row(self):
-        self._end_cell()
-        table = self._open[-1]
-        if table["cells"]:
-            self.rows.append((table["number"], table["rows"], table["cells"]))
-            table["rows"] += 1
-        table["cells"] = None
+    def close(self):
+        super().close()
+        while self._open:
+            self._open.pop().end_row()
 
 
 def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Every row of every HTML table: key, table and row number from 0, cells."""
+    """Every row of every HTML table: key, table and row number from 0, cells.
+
+    A cell that spans columns or rows is repeated in each of them.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -85,9 +128,31 @@ def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
                 reader = _TableReader()
                 reader.feed(text or "")
                 reader.close()
-                found += [(name, *row) for row in reader.rows]
+                found += [(name, table.number, number, cells)
+                          for table in reader.tables for number, cells in enumerate(table.rows)]
             yield pd.DataFrame(found, columns=[key, "table_no", "row_no", "cells"])
 
     key_type = pages.schema[key].dataType.simpleString()
     return pages.select(key, html).mapInPandas(
         read, f"`{key}` {key_type}, table_no int, row_no int, cells array<string>")
+
+
+def wide_table(pages: DataFrame, key: str, html: str, table_no: int, header_rows: int = 2,
+               rule: Callable[[str], str] = clean_name) -> DataFrame:
+    """One table of every page as text columns named by its header rows.
+
+    The names come from the page with the smallest key; all pages share the layout.
+    """
+    rows = table_rows(pages, key, html).where(F.col("table_no") == table_no)
+    first = pages.agg(F.min(key)).first()[0]
+    header = table_rows(pages.where(F.col(key) == F.lit(first)), key, html).where(
+        (F.col("table_no") == table_no) & (F.col("row_no") < header_rows)).orderBy("row_no").collect()
+    names: list[str] = []
+    for levels in zip(*[r["cells"] for r in header], strict=True):
+        name, repeated = rule("_".join(levels)), 0
+        while name in names:
+            repeated += 1
+            name = f"{rule('_'.join(levels))}.{repeated}"
+        names.append(name)
+    return rows.where(F.col("row_no") >= header_rows).select(
+        key, *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])

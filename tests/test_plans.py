@@ -2,11 +2,13 @@
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from scoreline.catalog.registry import QUERIES, Tables
 from scoreline.operators import order, sample
-from scoreline.plans import features, teams
+from scoreline.models import train
+from scoreline.plans import features, seasons, teams, winner
 
 ROWS_ONLY = sorted(set(entry.queries()) - set(entry.oracle_sql()))
 
@@ -133,3 +135,22 @@ def test_same_rows_for_any_number_of_partitions(name, spark, small):
         found.append(rows_of(QUERIES[name](spark, small)))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_rolling_form_divides_by_the_real_number_of_matches(frame):
+    sides = frame([(1, 10, 1), (1, 11, 2), (1, 12, 3), (1, 13, 4), (2, 10, 1)], "team_id int, match_id int, played_at int")
+    lines = frame([(10, 7, 100.0, 1), (11, 7, 3.0, 1), (12, 7, 4.0, 2), (13, 8, 1.0, 3), (13, 9, 5.0, 0)],
+                  "match_id int, player_id int, r double, r_games int")
+    found = rows_of(seasons.rolling_form(sides, lines, ["r"]))
+    assert found == [(1, 0.888), (2, 100.0)]
+
+
+def test_copies_of_a_match_stay_on_one_side(frame):
+    rows = [(m, c, float(m % 7), m % 2) for m in range(200) for c in range(3)]
+    table = frame(rows, "match_id int, copy int, x double, label int")
+    _, scored = winner.train_and_hold(table, ["x"], train.forest(trees=2, depth=2), "label", ["match_id"], 20)
+    sides = scored.groupBy("match_id").agg(F.count_distinct("is_test").alias("n")).where("n > 1").count()
+    assert sides == 0 and 0 < scored.where("is_test = 1").count() < 600
+    report = {r["class"]: r for r in winner.held_out_report(scored, "label").collect()}
+    assert set(report) == {"0", "1", "macro avg", "weighted avg"}
+    assert {r["part"] for r in winner.accuracy_by_part(scored, "label").collect()} == {"training", "held out"}

@@ -102,3 +102,11 @@ def test_release_deletes_what_was_written(spark, frame):
     assert kept.count() == 1 and release(spark)
     with pytest.raises(Exception):
         spark.read.parquet(kept.inputFiles()[0])
+
+
+def test_html_spans(frame):
+    page = ("<table><tr><th rowspan=2>Player<th colspan='2'>Overall</tr><tr><th>K/D</th><th>K/D</th></tr>"
+            "<tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td><td>3</td></tr></table>")
+    df = html.wide_table(frame([("u", page)], "url string, html string"), "url", "html", 0)
+    assert df.columns == ["url", "Player_Player", "Overall_KD", "Overall_KD.1"]
+    assert rows_of(df) == [("u", "a", "1", None), ("u", "b", "2", "3")]

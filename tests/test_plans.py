@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from scoreline.catalog.registry import QUERIES, Tables
-from scoreline.operators import order, sample
+from scoreline.operators import joins, order, sample
 from scoreline.models import train
 from scoreline.plans import features, seasons, teams, winner
+from scoreline.storage import settle
 
 ROWS_ONLY = sorted(set(entry.queries()) - set(entry.oracle_sql()))
 
@@ -154,3 +155,30 @@ def test_copies_of_a_match_stay_on_one_side(frame):
     report = {r["class"]: r for r in winner.held_out_report(scored, "label").collect()}
     assert set(report) == {"0", "1", "macro avg", "weighted avg"}
     assert {r["part"] for r in winner.accuracy_by_part(scored, "label").collect()} == {"training", "held out"}
+
+
+def test_a_hot_key_is_split_by_the_join(spark, frame):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        # One team plays in most of the matches; the matches come from several files.
+        matches = settle(spark.range(400000).select(
+            F.col("id").alias("match_id"), F.lit(2024).alias("season"),
+            F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 1000).cast("int").alias("team_1_id"),
+            (F.col("id") % 977).cast("int").alias("team_2_id")).repartition(16))
+        dimension = spark.range(1000).select(F.col("id").cast("int").alias("team_id"), F.lit(2024).alias("season"),
+                                             F.col("id").cast("double").alias("mw"))
+        joined = joins.role_playing_join(matches, dimension, ["team_id", "season"], {"team1": ["team_1_id", "season"]}, ["mw"])
+        assert joined.where("mw_team1 = team_1_id").count() == 400000
+        joined.write.format("noop").mode("overwrite").save()
+        counted = joined.groupBy().agg(F.sum(F.hash("match_id", "mw_team1")))
+        counted.collect()
+        assert "skew=true" in plan_of(counted)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -167,7 +167,6 @@ def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator
     probability columns.
     """
     settings = {f"{m}_{s}": e for m, group in members.items() for s, e in group.items()}
-    combinations = list(product(*[[f"{m}_{s}" for s in group] for m, group in members.items()]))
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
     scored = None
     for number in folds:
@@ -176,16 +175,27 @@ def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator
             label, F.lit(number).alias(fold), *[f"p_{s}" for s in settings])
         scored = held if scored is None else scored.unionByName(held)
 
-    def hit(names: Iterable[str]) -> Column:
-        names = list(names)
+    return combination_scores(scored, members, fold, label)
+
+
+def combination_scores(scored: DataFrame, members: Mapping[str, Iterable[str]], fold: str,
+                       label: str = "label") -> DataFrame:
+    """The mean accuracy over the folds of every combination, the best first.
+
+    ``scored`` has a column ``p_<member>_<setting>`` with the probability of
+    class 1 for every member and setting.
+    """
+    combinations = list(product(*[[f"{m}_{s}" for s in settings] for m, settings in members.items()]))
+
+    def hit(names: Sequence[str]) -> Column:
         mean = sum((F.col(f"p_{n}") for n in names), F.lit(0.0)) / F.lit(len(names))
         return F.avg(F.when((mean > 0.5).cast("int") == F.col(label), 1.0).otherwise(0.0))
 
     per_fold = scored.groupBy(fold).agg(*[hit(c).alias(f"c{i}") for i, c in enumerate(combinations)])
-    means = per_fold.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(len(combinations))])
-    cells = [F.struct(*[F.lit(s).alias(m) for m, s in zip(members, c, strict=True)],
-                      F.col(f"c{i}").alias("mean_accuracy")) for i, c in enumerate(combinations)]
-    return means.select(F.inline(F.array(*cells))).orderBy(F.col("mean_accuracy").desc(), *members)
+    cells = [F.struct(*[F.lit(s).alias(m) for m, s in zip(members, c, strict=True)], F.col(f"c{i}").alias("accuracy"))
+             for i, c in enumerate(combinations)]
+    return per_fold.select(fold, F.inline(F.array(*cells))).groupBy(*members).agg(
+        F.avg("accuracy").alias("mean_accuracy")).orderBy(F.col("mean_accuracy").desc(), *members)
 
 
 def random_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence], draws: int, fold: str,

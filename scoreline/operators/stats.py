@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import combinations
 from math import exp, lgamma, log
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,41 +55,75 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> Scaling:
     return Scaling(found["mean"], {c: found["sd"][c] or 1.0 for c in columns})
 
 
-def pearson(x: str, y: str) -> Column:
-    """The correlation over the rows that have both values; NULL when one is constant."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    a_both, b_both = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    varied = (F.min(a_both) < F.max(a_both)) & (F.min(b_both) < F.max(b_both))
-    return F.when(varied, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_both) * F.stddev_pop(b_both)))
+def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """Rows (column_1, column_2, correlation) for every pair of a left and a right column.
 
+    Each partition adds up the products of its columns in matrix form, so the
+    width of the table does not widen the plan; the sums per pair are merged by
+    Spark. A pair uses the rows that have both values; a constant column has no
+    correlation. Columns are centred first to keep the digits.
+    """
+    names = list(dict.fromkeys([*left, *right]))
+    found = _numbers(df, names, {"mean": F.avg, "lo": F.min, "hi": F.max})
+    means = np.array([np.nan if found["mean"][c] is None else found["mean"][c] for c in names])
+    varied = {c: found["lo"][c] is not None and found["lo"][c] < found["hi"][c] for c in names}
+    rows, places = [names.index(c) for c in left], [names.index(c) for c in right]
+
+    def partial_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, sx, sy, sxx, syy, sxy = (np.zeros((len(rows), len(places))) for _ in range(6))
+        for frame in frames:
+            values = frame.to_numpy(dtype=float) - means
+            present = ~np.isnan(values)
+            values, flags = np.where(present, values, 0.0), present.astype(float)
+            x, y, has_x, has_y = values[:, rows].T, values[:, places], flags[:, rows].T, flags[:, places]
+            n += has_x @ has_y
+            sx += x @ has_y
+            sy += has_x @ y
+            sxx += (x * x) @ has_y
+            syy += has_x @ (y * y)
+            sxy += x @ y
+        one, two = np.indices(n.shape).reshape(2, -1)
+        yield pd.DataFrame({"one": one, "two": two, "n": n.ravel(), "sx": sx.ravel(), "sy": sy.ravel(),
+                            "sxx": sxx.ravel(), "syy": syy.ravel(), "sxy": sxy.ravel()})
+
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    sums = numbers.mapInPandas(
+        partial_sums, "one int, two int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    ).groupBy("one", "two").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+    def spread(squares: str, total: str) -> Column:
+        value = F.col("n") * F.col(squares) - F.col(total) * F.col(total)
+        # What is left of a column that is constant on the shared rows is rounding.
+        return F.when(value > F.lit(1e-12) * F.col("n") * F.col(squares), value)
+
+    product = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    correlation = F.try_divide(product, F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+
+    def label(columns: Sequence[str], place: str) -> Column:
+        return F.array(*[F.lit(c) for c in columns])[F.col(place)]
+
+    def known(columns: Sequence[str], place: str) -> Column:
+        return F.array(*[F.lit(varied[c]) for c in columns])[F.col(place)]
+
+    return sums.select(label(left, "one").alias("column_1"), label(right, "two").alias("column_2"),
+                       F.when(known(left, "one") & known(right, "two"), correlation).alias("correlation"))
 
-def correlation_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The correlation matrix as rows (column_1, column_2, correlation), in one pass."""
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-                 *[pearson(a, a).alias(f"d{i}") for i, a in enumerate(columns)])
-
-    def cell(a: str, b: str, value: str) -> Column:
-        return F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), F.col(value).alias("correlation"))
 
-    cells = [cell(a, a, f"d{i}") for i, a in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, f"r{i}"), cell(b, a, f"r{i}")]
-    return row.select(F.inline(F.array(*cells)))
+def correlation_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The correlation matrix as rows (column_1, column_2, correlation)."""
+    return _correlations(df, columns, columns)
 
 
 def target_correlation_rows(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """The correlation of each feature with the target, the largest first."""
-    row = df.agg(*[pearson(f, target).alias(f"r{i}") for i, f in enumerate(features)])
-    cells = [F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("correlation"))
-             for i, f in enumerate(features)]
-    return row.select(F.inline(F.array(*cells))).orderBy(F.col("correlation").desc_nulls_last(), "feature")
+    rows = _correlations(df, features, [target]).select(F.col("column_1").alias("feature"), "correlation")
+    return rows.orderBy(F.col("correlation").desc_nulls_last(), "feature")
 
 
 def low_correlation_features(df: DataFrame, features: Sequence[str], target: str, limit: float = 0.15) -> list[str]:
     """Features whose absolute correlation with the target is below the limit."""
-    row = df.agg(*[pearson(f, target).alias(f) for f in features]).first()
-    return [f for f in features if row[f] is not None and abs(row[f]) < limit]
+    found = {r["feature"]: r["correlation"] for r in target_correlation_rows(df, features, target).collect()}
+    return [f for f in features if found.get(f) is not None and abs(found[f]) < limit]
 
 
 def zero_variance_features(df: DataFrame, features: Sequence[str]) -> list[str]:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import map_values
+from ..models.train import ols
 from ..operators.aggregate import mean_by_keys, mode_and_means
 from ..operators.order import latest_n
+from ..operators.sample import add_noisy, add_swapped
+from ..operators.stats import anova_oneway
 from ..plans import charts, features, seasons, teams
 from ..storage import settle
 from . import views
@@ -127,14 +131,12 @@ def flow_match_features_noisy(t):
 @query("aug_team_swap", """
 SELECT match_id, swapped, team_1_id, team_2_id, team_1_score, team_2_score, winner_id, mw_team1, mw_team2 FROM fx_swapped""")
 def aug_team_swap(t):
-    from ..operators.sample import add_swapped
-
     matches = t.settled_matches
     paired = features.paired_matches(
         matches.where(F.col("winner_id").isNotNull()), team_features(t, matches), METRICS,
         ["match_id", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id", "season"],
         {"team1": ["team_1_id", "season"], "team2": ["team_2_id", "season"]}, ["team_id", "season"])
-    return add_swapped(settle(paired), 0.5, 42, ["match_id"]).select(
+    return add_swapped(paired, 0.5, 42, ["match_id"]).select(
         "match_id", "swapped", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id", "mw_team1", "mw_team2")
 
 
@@ -146,8 +148,6 @@ SELECT match_id, 1, round(team_1_score + {_noise_sql('team_1_score', 0.08)}, 6)
 FROM (SELECT * FROM fx_match QUALIFY row_number() OVER (ORDER BY md5('42|' || CAST(match_id AS VARCHAR)))
       <= floor(0.25 * count(*) OVER ())) s""")
 def aug_gaussian_noise(t):
-    from ..operators.sample import add_noisy
-
     names = ["team_1_score", "team_2_score"]
     noisy = add_noisy(t.settled_matches.select("match_id", *names), names, 0.25, 0.08, 42, ["match_id"])
     return _rounded(noisy, names)
@@ -166,7 +166,8 @@ def flow_roster_standings(t):
         F.concat(F.floor(F.col("mw_pct") * 100).cast("string"), F.lit("%")).alias("mw_pct"))
     everyone = t.customer.select(F.col("c_name").alias("tag"), F.col("c_nationkey").alias("team_id"))
     # Players in debt are off the current roster; their team comes from the list of all players.
-    current = t.customer.where(F.col("c_acctbal") >= 0).select(F.col("c_name").alias("tag"), F.col("c_nationkey").alias("team_id"))
+    current = t.customer.where(F.col("c_acctbal") >= 0).select(
+        F.col("c_name").alias("tag"), F.col("c_nationkey").alias("team_id"))
     statistics = t.player_seasons.where(F.col("season") == 2001).select("player_id", "tag", "kills")
     rows = teams.roster_standings(standings, names, current, everyone, statistics, ["mw_pct"])
     return _rounded(rows, ["mw_pct"])
@@ -175,8 +176,6 @@ def flow_roster_standings(t):
 def lineups(t):
     """The four players of a team and season with the most kills, with the role's name."""
     best = latest_n(t.player_seasons, ["team_id", "season"], ["kills", "player_id"], 4)
-    from ..functions.text import map_values
-
     return best.withColumn("role", map_values(F.col("role"), SEGMENT_ROLES))
 
 
@@ -204,15 +203,11 @@ FROM (SELECT sum(gn) AS n, count(*) AS k, sum(gn * (gm - total) * (gm - total))
             FROM fx_comparison GROUP BY role_composition) g,
            (SELECT avg(match_win_percent) AS total FROM fx_comparison) a) s""")
 def flow_composition_anova(t):
-    from ..operators.stats import anova_oneway
-
     return _rounded(anova_oneway(comparison(t), "role_composition", "match_win_percent").drop("p_value"), ["f_statistic"], 4)
 
 
 @query("flow_composition_ols")
 def flow_composition_ols(t):
-    from ..models.train import ols
-
     # The three counts add up to the size of the lineup: one role is left out.
     return ols(settle(comparison(t)), "match_win_percent", ["slayer", "support"])
 
@@ -254,7 +249,8 @@ SELECT player_id, c_name AS label, round(average_kills, 6) + 0.0 AS x, round(ave
 FROM ({_AVERAGES_SQL}) p JOIN customer ON c_custkey = player_id""")
 def plot_role_scatter(t):
     players = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("tag"))
-    return _rounded(charts.scatter_rows(_player_averages(t), players, "average_kills", "average_objective_time", "role"), ["x", "y"])
+    rows = charts.scatter_rows(_player_averages(t), players, "average_kills", "average_objective_time", "role")
+    return _rounded(rows, ["x", "y"])
 
 
 @query("plot_axis_limits", f"""
@@ -278,7 +274,8 @@ SELECT replace(c_name, '#', ' ') AS "Overall_Player", CAST(c_nationkey AS VARCHA
        CAST(CASE WHEN c_acctbal >= 0 THEN c_custkey END AS DOUBLE) AS id FROM customer""")
 def flow_season_tables(t):
     # Pages of fifty players each, with a header of two levels and non-breaking blanks in the names.
-    row = "concat('<tr><td>', replace(r.c_name, '#', '&nbsp;'), '</td><td>', r.c_nationkey, '</td><td>', r.c_mktsegment, '</td></tr>')"
+    row = ("concat('<tr><td>', replace(r.c_name, '#', '&nbsp;'), '</td><td>', r.c_nationkey, '</td><td>', "
+           "r.c_mktsegment, '</td></tr>')")
     packed = t.customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(
         F.collect_list(F.struct("c_name", "c_nationkey", "c_mktsegment")).alias("rows"))
     pages = packed.select(

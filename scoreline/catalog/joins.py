@@ -28,14 +28,16 @@ def join_inner_merge(t):
 
 
 @query("join_left", """
-SELECT o_orderkey, o_custkey, quantity, CAST(lines AS DOUBLE) AS lines FROM orders LEFT JOIN fx_lines ON l_orderkey = o_orderkey""")
+SELECT o_orderkey, o_custkey, quantity, CAST(lines AS DOUBLE) AS lines
+FROM orders LEFT JOIN fx_lines ON l_orderkey = o_orderkey""")
 def join_left(t):
     return J.join_on(t.orders, t.line_totals, {"o_orderkey": "l_orderkey"}, "left").select(
         "o_orderkey", "o_custkey", "quantity", F.col("lines").cast("double").alias("lines"))
 
 
 @query("join_right", """
-SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, quantity, o_orderkey, o_totalprice FROM fx_lines RIGHT JOIN orders ON l_orderkey = o_orderkey""")
+SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, quantity, o_orderkey, o_totalprice
+FROM fx_lines RIGHT JOIN orders ON l_orderkey = o_orderkey""")
 def join_right(t):
     return J.join_on(t.line_totals, t.orders, {"l_orderkey": "o_orderkey"}, "right").select(
         F.col("l_orderkey").cast("double").alias("l_orderkey"), "quantity", "o_orderkey", "o_totalprice")
@@ -116,7 +118,8 @@ def join_positional(t):
     matches = t.settled_matches
     games = views.coming_games(matches, t.nation)
     named = games.join(t.nation.select("n_nationkey", "n_name"), F.col("team_1_name") == F.col("n_name"))
-    record = settle(views.team_seasons(matches)).select("team_id", F.col("season").alias("year"), F.col("mw").alias("mw_team1"))
+    record = settle(views.team_seasons(matches)).select(
+        "team_id", F.col("season").alias("year"), F.col("mw").alias("mw_team1"))
     first = J.join_on(named, record, {"n_nationkey": "team_id", "season": "year"}, "left").select("game_id", "mw_team1")
     second = games.join(t.line_totals, F.col("game_id") == F.col("l_orderkey")).select(
         "game_id", F.col("quantity").alias("quantity_team2"))
@@ -131,7 +134,8 @@ def join_index(t):
 
 
 @query("join_anti_delete", """
-SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def join_anti_delete(t):
     returned = t.lineitem.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
     return J.delete_arriving(t.orders.select("o_orderkey", "o_custkey"), returned, "o_orderkey")

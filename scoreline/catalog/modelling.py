@@ -6,9 +6,10 @@ searches run small grids here; the sizes are arguments of the library.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.numbers import argmax
+from ..functions.numbers import argmax, equality_label
 from ..functions.seeded import hash_gaussian
 from ..models import evaluate, simulate, split, train
 from ..operators.joins import role_playing_join
@@ -36,8 +37,7 @@ class Training:
         self.rows = split.mark_test(table, 20, 42, ["match_id"])
 
     def assembled(self, *keep):
-        rows = train.assemble(self.rows, _DIFFS)
-        return settle(rows.select("match_id", "year", "label", "is_test", "features", *keep), "training")
+        return train.training_table(self.rows, _DIFFS, ["match_id"], ["match_id", "year", "label", "is_test", *keep])
 
     def coming(self):
         games = views.coming_games(self.matches, self.nation)
@@ -46,8 +46,6 @@ class Training:
 
 
 def _labelled(t):
-    from ..functions.numbers import equality_label
-
     decided = t.matches.where(F.col("winner_id").isNotNull())
     return settle(decided.select("match_id", F.col("season").alias("year"),
                                  equality_label(F.col("winner_id"), F.col("team_2_id")).alias("label")), "labelled")
@@ -81,10 +79,9 @@ SELECT match_id, label, round(a.mw - b.mw, 9) + 0.0 AS first, round(a.objective_
 FROM fx_labelled l JOIN fx_match m USING (match_id) JOIN fx_team a ON a.team_id = m.team_1_id AND a.season = m.season
 JOIN fx_team b ON b.team_id = m.team_2_id AND b.season = m.season""")
 def ml_assemble(t):
-    from pyspark.ml.functions import vector_to_array
-
     work = Training(t)
-    rows = train.assemble(work.scaling.invert(work.rows), _DIFFS).select("match_id", "label", vector_to_array("features").alias("v"))
+    rows = train.assemble(work.scaling.invert(work.rows), _DIFFS).select(
+        "match_id", "label", vector_to_array("features").alias("v"))
     return rows.select("match_id", "label", F.round(F.col("v")[0], 9).alias("first"),
                        F.round(F.element_at("v", -1), 9).alias("last"), F.size("v").alias("size"))
 
@@ -233,8 +230,6 @@ views.add_view("fx_rule", """
 
 
 def _rule(t):
-    from ..functions.numbers import equality_label
-
     matches = t.settled_matches
     decided = matches.where(F.col("winner_id").isNotNull()).withColumn("before", F.col("season") - 1)
     paired = role_playing_join(decided, settle(views.team_seasons(matches)), ["team_id", "season"],
@@ -340,11 +335,14 @@ def pred_noise_vote(t):
                                    draws=10, scale=0.01, limits=(0.0, 1.0))
 
 
+_DRAW_KEY = "score|' || CAST(match_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR)"
+
+
 @query("pred_noise_rule", f"""
 SELECT match_id, round(avg(1.0::DOUBLE - prediction), 6) + 0.0 AS team_1_win_prob,
        round(avg(prediction::DOUBLE), 6) + 0.0 AS team_2_win_prob, CAST(count(*) AS BIGINT) AS draws,
        CAST(CASE WHEN avg(1.0::DOUBLE - prediction) > avg(prediction::DOUBLE) THEN 0 ELSE 1 END AS INT) AS winner_pred
-FROM (SELECT match_id, CASE WHEN score + {noise_sql(0.05, "score|' || CAST(match_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR)")} > 0
+FROM (SELECT match_id, CASE WHEN score + {noise_sql(0.05, _DRAW_KEY)} > 0
              THEN 1 ELSE 0 END AS prediction
       FROM fx_rule, (SELECT unnest(range(0, 8)) AS draw) d) s GROUP BY match_id""")
 def pred_noise_rule(t):

@@ -15,7 +15,8 @@ _BLOCK = 1000
 
 
 def noisy_draws(games: DataFrame, game: str, features: Sequence[str], draws: int, scale: float, seed: int = 42,
-                limits: tuple[float, float] | None = None, gaussian: Callable[..., Column] = fast_gaussian) -> DataFrame:
+                limits: tuple[float, float] | None = None,
+                gaussian: Callable[..., Column] = fast_gaussian) -> DataFrame:
     """Each game ``draws`` times, with N(0, scale) added to its features.
 
     ``gaussian`` is one of the functions of ``functions.seeded``. Blocks of draws are spread over the cluster before they are expanded, so a

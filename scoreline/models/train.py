@@ -1,14 +1,16 @@
 """Fitting models. All of them are the distributed estimators of ``pyspark.ml``.
 
-A training table should be settled (``storage.settle``): fits read it repeatedly.
+``training_table`` prepares their input: fits read it repeatedly.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -33,6 +35,18 @@ def assemble(df: DataFrame, features: Sequence[str], invalid: str = "skip", resu
     return VectorAssembler(inputCols=list(features), outputCol=result, handleInvalid=invalid).transform(df)
 
 
+def training_table(df: DataFrame, features: Sequence[str], row_key: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The written input of fits: ``keep`` and the feature vector.
+
+    Rows are spread by the hash of their key and sorted within a partition, so
+    that all cores take part and bagging draws the same rows on every run.
+    """
+    spark = df.sparkSession
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = assemble(df, features).select(*keep, "features")
+    return settle(rows.repartition(spread, *row_key).sortWithinPartitions(*row_key), "training")
+
+
 def _named(estimator: Estimator, name: str) -> Estimator:
     estimator = estimator.copy().setPredictionCol(f"pred_{name}")
     return estimator.setProbabilityCol(f"prob_{name}").setRawPredictionCol(f"raw_{name}")
@@ -186,16 +200,29 @@ def combination_scores(scored: DataFrame, members: Mapping[str, Iterable[str]],
     class 1 for every member and setting.
     """
     combinations = list(product(*[[f"{m}_{s}" for s in settings] for m, settings in members.items()]))
-
-    def hit(names: Sequence[str]) -> Column:
-        mean = sum((F.col(f"p_{n}") for n in names), F.lit(0.0)) / F.lit(len(names))
-        return F.avg(F.when((mean > 0.5).cast("int") == F.col(label), 1.0).otherwise(0.0))
-
-    per_fold = scored.groupBy(fold).agg(*[hit(c).alias(f"c{i}") for i, c in enumerate(combinations)])
-    cells = [F.struct(*[F.lit(s).alias(m) for m, s in zip(members, c, strict=True)], F.col(f"c{i}").alias("accuracy"))
-             for i, c in enumerate(combinations)]
-    return per_fold.select(fold, F.inline(F.array(*cells))).groupBy(*members).agg(
-        F.avg("accuracy").alias("mean_accuracy")).orderBy(F.col("mean_accuracy").desc(), *members)
+    settings = list(dict.fromkeys(s for c in combinations for s in c))
+    # Column j averages the settings of combination j.
+    weights = np.zeros((len(settings), len(combinations)))
+    for j, combination in enumerate(combinations):
+        for name in combination:
+            weights[settings.index(name), j] = 1.0 / len(combination)
+
+    def hits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            votes = frame[settings].to_numpy(dtype=float) @ weights > 0.5
+            right = votes == (frame["label"].to_numpy(dtype=float) == 1.0)[:, None]
+            for number, places in frame.groupby("fold").indices.items():
+                yield pd.DataFrame({"fold": int(number), "combination": range(len(combinations)),
+                                    "hits": right[places].sum(axis=0), "rows": len(places)})
+
+    columns = [F.col(fold).cast("bigint").alias("fold"), F.col(label).cast("double").alias("label"),
+               *[F.col(f"p_{s}").alias(s) for s in settings]]
+    counted = scored.select(*columns).mapInPandas(hits, "fold bigint, combination int, hits bigint, rows bigint")
+    per_fold = counted.groupBy("fold", "combination").agg((F.sum("hits") / F.sum("rows")).alias("accuracy"))
+    means = per_fold.groupBy("combination").agg(F.avg("accuracy").alias("mean_accuracy"))
+    names = F.array(*[F.struct(*[F.lit(s).alias(m) for m, s in zip(members, c, strict=True)]) for c in combinations])
+    return means.select(names[F.col("combination")].alias("c"), "mean_accuracy").select(
+        "c.*", "mean_accuracy").orderBy(F.col("mean_accuracy").desc(), *members)
 
 
 def random_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequence], draws: int, fold: str,

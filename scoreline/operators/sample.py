@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.seeded import hash_gaussian, key_hash
-from .columns import swap_sides
+from .columns import other_side
 
 _PREFIX_STEP = 3
 _SMALL_BUCKET = 10_000
@@ -44,42 +44,58 @@ def _nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str | None:
     return last.agg(F.max("h")).first()[0]
 
 
-def _sample(df: DataFrame, size: Callable[[int], int], seed: int | str, row_key: Sequence[str]) -> DataFrame:
+def _chosen(df: DataFrame, size: Callable[[int], int], seed: int | str, row_key: Sequence[str]) -> Column:
     digest = key_hash(seed, *[F.col(k) for k in row_key])
     last = _nth_hash(df.select(digest.alias("h")), size)
-    return df.where(F.lit(False) if last is None else digest <= F.lit(last))
+    return F.lit(False) if last is None else digest <= F.lit(last)
 
 
 def sample_n(df: DataFrame, n: int, seed: int | str, row_key: Sequence[str]) -> DataFrame:
     """Exactly ``n`` rows without replacement; ``row_key`` is unique per row."""
-    return _sample(df, lambda rows: n, seed, row_key)
+    return df.where(_chosen(df, lambda rows: n, seed, row_key))
 
 
 def sample_share(df: DataFrame, share: float, seed: int | str, row_key: Sequence[str]) -> DataFrame:
     """``int(rows * share)`` rows without replacement."""
-    return _sample(df, lambda rows: int(rows * share), seed, row_key)
+    return df.where(_chosen(df, lambda rows: int(rows * share), seed, row_key))
+
+
+def _add_copies(df: DataFrame, share: float, seed: int | str, row_key: Sequence[str], flag: str) -> DataFrame:
+    """Every row with flag 0, and the sampled ones once more with flag 1, in one pass."""
+    chosen = _chosen(df, lambda rows: int(rows * share), seed, row_key)
+    copies = F.when(chosen, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn(flag, F.explode(copies))
 
 
 def add_swapped(df: DataFrame, share: float, seed: int | str, row_key: Sequence[str],
                 flag: str = "swapped") -> DataFrame:
     """Append a sample of matches with the two teams exchanged."""
-    mirrored = swap_sides(sample_share(df, share, seed, row_key))
-    return df.withColumn(flag, F.lit(0)).unionByName(mirrored.withColumn(flag, F.lit(1)))
+    both = _add_copies(df, share, seed, row_key, flag)
+    return both.select(*[
+        F.col(n) if other_side(n) == n else F.when(F.col(flag) == 1, F.col(other_side(n))).otherwise(F.col(n)).alias(n)
+        for n in both.columns])
+
 
+def with_noise(df: DataFrame, columns: Sequence[str], scale: float, seed: int | str, row_key: Sequence[str],
+               where: Column | None = None) -> DataFrame:
+    """Add N(0, scale) to the columns; the noise depends on row key and column name.
 
-def with_noise(df: DataFrame, columns: Sequence[str], scale: float, seed: int | str,
-               row_key: Sequence[str]) -> DataFrame:
-    """Add N(0, scale) to the columns; the noise depends on row key and column name."""
+    With ``where`` only the rows that satisfy it are changed.
+    """
     key = [F.col(k) for k in row_key]
-    return df.withColumns(
-        {c: F.col(c) + hash_gaussian(seed, *key, F.lit(c), scale=scale) for c in columns})
+
+    def noisy(name: str) -> Column:
+        value = F.col(name) + hash_gaussian(seed, *key, F.lit(name), scale=scale)
+        return value if where is None else F.when(where, value).otherwise(F.col(name))
+
+    return df.withColumns({c: noisy(c) for c in columns})
 
 
 def add_noisy(df: DataFrame, columns: Sequence[str], share: float, scale: float, seed: int | str,
               row_key: Sequence[str], flag: str = "noisy") -> DataFrame:
     """Append a sample of rows with noise on the listed columns."""
-    drawn = with_noise(sample_share(df, share, seed, row_key), columns, scale, seed, row_key)
-    return df.withColumn(flag, F.lit(0)).unionByName(drawn.withColumn(flag, F.lit(1)))
+    both = _add_copies(df, share, seed, row_key, flag)
+    return with_noise(both, columns, scale, seed, row_key, F.col(flag) == 1)
 
 
 def pairwise_difference(df: DataFrame, metrics: Sequence[str] | Mapping[str, str], keep: Sequence[str],

@@ -12,7 +12,6 @@ from ..operators.aggregate import mean_by_keys
 from ..operators.joins import map_lookup, role_playing_join
 from ..operators.sample import add_noisy, add_swapped, pairwise_difference
 from ..operators.stats import Scaling, fit_minmax
-from ..storage import settle
 
 
 def per_map_rates(players: DataFrame, rates: Mapping[str, tuple[str, str]], keep: Sequence[str]) -> DataFrame:
@@ -45,7 +44,9 @@ def match_features(matches: DataFrame, teams: DataFrame, metrics: Sequence[str],
 
     ``matches`` has match_id, season, both team ids and scores and the winner.
     A share of the matches is added with the sides exchanged, a share of those
-    rows with noise. Label 1 means that the second team won.
+    rows with noise. Label 1 means that the second team won. Nothing wide is
+    written: the bounds and the table are computed from ``matches`` and
+    ``teams``, which should be settled.
     """
     sides = {"team1": ["team_1_id", "season"], "team2": ["team_2_id", "season"]}
     base = ["match_id", "season", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id"]
@@ -53,15 +54,15 @@ def match_features(matches: DataFrame, teams: DataFrame, metrics: Sequence[str],
                             ["team_id", "season"])
     flags = []
     if swap_share:
-        paired = add_swapped(settle(paired, "paired"), swap_share, seed, ["match_id"])
+        paired = add_swapped(paired, swap_share, seed, ["match_id"])
         flags.append("swapped")
     if noise_share:
         columns = [f"{m}_{s}" for m in metrics for s in sides]
-        paired = add_noisy(settle(paired, "paired"), columns, noise_share, noise, seed, ["match_id", *flags])
+        paired = add_noisy(paired, columns, noise_share, noise, seed, ["match_id", *flags])
         flags.append("noisy")
     label = equality_label(F.col("winner_id"), F.col("team_2_id")).alias("label")
     keep = ["match_id", F.col("season").alias("year"), *flags, "team_1_score", "team_2_score", label]
-    table = settle(pairwise_difference(paired, metrics, keep), "features")
+    table = pairwise_difference(paired, metrics, keep)
     scaling = fit_minmax(table, difference_names(metrics))
     return scaling.apply(table), scaling
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..models import split, train
 from ..models.evaluate import accuracy, class_report
-from ..storage import settle
 
 
 def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimator, label: str, row_key: Sequence[str],
@@ -21,7 +20,8 @@ def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimat
     its side of it. ``estimator`` must not have a weight column yet.
     """
     marked = split.add_class_weights(split.mark_test(table, test_percent, seed, row_key), label)
-    rows = settle(train.assemble(marked, features), "training")
+    keep = [c for c in marked.columns if c not in features]
+    rows = train.training_table(marked, features, row_key, keep)
     model = estimator.copy().setWeightCol("weight").fit(rows.where(F.col("is_test") == 0))
     return model, model.transform(rows)
 

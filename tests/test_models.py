@@ -125,6 +125,16 @@ def test_grid_search_scores_every_combination(assembled):
     assert scores == sorted(scores, reverse=True) and scores[0] > 0.8
 
 
+def test_combination_scores_match_brute_force(frame):
+    rng = random.Random(8)
+    rows = [(i % 3, rng.randint(0, 1), *[rng.random() for _ in range(4)]) for i in range(90)]
+    df = frame(rows, "fold int, label int, p_a_1 double, p_a_2 double, p_b_1 double, p_b_2 double").repartition(4)
+    found = {(r["a"], r["b"]): r["mean_accuracy"] for r in train.combination_scores(df, {"a": ["1", "2"], "b": ["1", "2"]}, "fold").collect()}
+    for i, j in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        right = {f: [int((r[2 + i] + r[4 + j]) / 2 > 0.5) == r[1] for r in rows if r[0] == f] for f in range(3)}
+        assert found[(f"a_{i + 1}", f"b_{j + 1}")] == pytest.approx(sum(sum(v) / len(v) for v in right.values()) / 3)
+
+
 def test_random_search_and_cross_validation(assembled):
     rows = settle(split.add_folds(assembled, "label", 3, 42, ["id"]))
     model, table = train.random_search(rows, train.forest(trees=3), {"maxDepth": [1, 2, 3], "minInfoGain": [0.0, 0.1]},

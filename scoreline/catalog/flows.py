@@ -179,11 +179,10 @@ def lineups(t):
     return best.withColumn("role", map_values(F.col("role"), SEGMENT_ROLES))
 
 
-def comparison(t):
+def comparison(t, build=teams.team_comparison):
     named = lineups(t).join(t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("name")), "team_id")
     record = t.team_seasons.withColumnRenamed("mw_pct", "match_win_percent")
-    return teams.team_comparison(named, record, ["team_id", "season"], "role", LINEUP_ROLES, {"name": "team_name"},
-                                 "match_win_percent")
+    return build(named, record, ["team_id", "season"], "role", LINEUP_ROLES, {"name": "team_name"}, "match_win_percent")
 
 
 @query("flow_team_comparison", """
@@ -203,13 +202,14 @@ FROM (SELECT sum(gn) AS n, count(*) AS k, sum(gn * (gm - total) * (gm - total))
             FROM fx_comparison GROUP BY role_composition) g,
            (SELECT avg(match_win_percent) AS total FROM fx_comparison) a) s""")
 def flow_composition_anova(t):
-    return _rounded(anova_oneway(comparison(t), "role_composition", "match_win_percent").drop("p_value"), ["f_statistic"], 4)
+    rows = comparison(t, teams.team_rows)
+    return _rounded(anova_oneway(rows, "role_composition", "match_win_percent").drop("p_value"), ["f_statistic"], 4)
 
 
 @query("flow_composition_ols")
 def flow_composition_ols(t):
     # The three counts add up to the size of the lineup: one role is left out.
-    return ols(settle(comparison(t)), "match_win_percent", ["slayer", "support"])
+    return ols(settle(comparison(t, teams.team_rows)), "match_win_percent", ["slayer", "support"])
 
 
 @query("flow_role_matchup", """
@@ -224,9 +224,10 @@ JOIN fx_ranked ra ON ra.team_id = team_1_id AND ra.season = m.season
 JOIN fx_ranked rb ON rb.team_id = team_2_id AND rb.season = m.season
 WHERE m.status = 'F' AND winner_id IS NOT NULL""")
 def flow_role_matchup(t):
-    ranked = teams.player_ranks(t.player_seasons, "role", role_weights(t), ["kills", "deaths", "objective"])
+    players = t.player_seasons.select("team_id", "season", "role", "kills", "deaths", "objective")
+    ranked = teams.player_ranks(players, "role", role_weights(t), ["kills", "deaths", "objective"], normalized=False)
     ranks = mean_by_keys(ranked, ["team_id", "season"], {"rank": "avg_team_rank"})
-    table = settle(comparison(t).join(ranks, ["team_id", "season"], "left"), "teams_with_ranks")
+    table = settle(comparison(t, teams.team_rows).join(ranks, ["team_id", "season"], "left"), "teams_with_ranks")
     matches = t.matches.where(F.col("status") == "F").select(
         "match_id", "season", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id")
     rows = teams.role_matchup(matches, table, ["team_id", "season"], list(LINEUP_ROLES.values()), "match_win_percent",
@@ -265,7 +266,7 @@ def plot_axis_limits(t):
 @query("plot_composition_bars", """
 SELECT role_composition, round(avg(match_win_percent), 6) + 0.0 AS win_rate FROM fx_comparison GROUP BY role_composition""")
 def plot_composition_bars(t):
-    return _rounded(charts.composition_bars(comparison(t), "match_win_percent"), ["win_rate"])
+    return _rounded(charts.composition_bars(comparison(t, teams.team_rows), "match_win_percent"), ["win_rate"])
 
 
 @query("flow_season_tables", """

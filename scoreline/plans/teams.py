@@ -38,19 +38,28 @@ def compositions(roster: DataFrame, keys: Sequence[str], role: str, roles: Mappi
     return counts.withColumn("role_composition", concat_key(*[F.col(c) for c in roles.values()]))
 
 
+def team_rows(roster: DataFrame, record: DataFrame, keys: Sequence[str], role: str, roles: Mapping[object, str],
+              names: Mapping[str, str], win_rate: str) -> DataFrame:
+    """Role counts, composition key, name and win rate, one row per team."""
+    counts = compositions(roster, keys, role, roles).join(constant_by_key(roster, keys, names), list(keys))
+    return counts.join(record.select(*keys, win_rate), list(keys))
+
+
 def team_comparison(roster: DataFrame, record: DataFrame, keys: Sequence[str], role: str,
                     roles: Mapping[object, str], names: Mapping[str, str], win_rate: str) -> DataFrame:
-    """Role counts, name, win rate and the mean win rate of the composition, one row per team."""
-    counts = compositions(roster, keys, role, roles).join(constant_by_key(roster, keys, names), list(keys))
-    table = settle(counts.join(record.select(*keys, win_rate), list(keys)), "comparison")
+    """The team rows with the mean win rate of the teams of the same composition."""
+    table = settle(team_rows(roster, record, keys, role, roles, names, win_rate), "comparison")
     means = mean_by_keys(table, ["role_composition"], {win_rate: "composition_win_rate"})
     return table.join(settle(means, "means"), "role_composition")
 
 
-def player_ranks(players: DataFrame, role: str, weights: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Weighted score, average rank (1 is best) and score scaled to [0, 1]."""
+def player_ranks(players: DataFrame, role: str, weights: DataFrame, metrics: Sequence[str],
+                 normalized: bool = True) -> DataFrame:
+    """Weighted score, average rank (1 is best) and, if wanted, the score scaled to [0, 1]."""
     scored = settle(weighted_score(players, role, weights, metrics, "weighted_score"), "scored")
     ranked = average_rank(scored, "weighted_score", "rank")
+    if not normalized:
+        return ranked
     return fit_minmax(scored, ["weighted_score"]).apply(ranked, {"weighted_score": "normalized_score"})
 
 

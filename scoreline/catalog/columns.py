@@ -21,9 +21,9 @@ def proj_rename(t):
                     {"o_orderkey": "match_id", "o_custkey": "team_id", "not_there": "x"})
 
 
-@query("proj_drop_lenient", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders")
+@query("proj_drop_lenient", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def proj_drop_lenient(t):
-    return C.drop_lenient(t.orders, ["o_totalprice", "o_orderpriority", "not_there"])
+    return C.drop_lenient(t.orders, ["o_totalprice", "o_orderpriority", "o_orderdate", "not_there"])
 
 
 @query("proj_rename_positional", """

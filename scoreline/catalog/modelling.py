@@ -36,8 +36,13 @@ class Training:
         table, self.scaling = features.match_features(self.matches, self.teams, METRICS, swap_share=0.0)
         self.rows = split.mark_test(table, 20, 42, ["match_id"])
 
-    def assembled(self, *keep):
-        return train.training_table(self.rows, _DIFFS, ["match_id"], ["match_id", "year", "label", "is_test", *keep])
+    def assembled(self, *keep, prepare=lambda rows: rows):
+        """The input of fits; ``prepare`` adds the columns to keep."""
+        return train.training_table(prepare(self.rows), _DIFFS, ["match_id"],
+                                    ["match_id", "year", "label", "is_test", *keep])
+
+    def folded(self, folds):
+        return self.assembled("fold", prepare=lambda rows: split.add_folds(rows, "label", folds, 42, ["match_id"]))
 
     def coming(self):
         games = views.coming_games(self.matches, self.nation)
@@ -102,8 +107,8 @@ _PREDICTED = ["match_id", "label", "prediction"]
 
 @query("ml_rf_classifier")
 def ml_rf_classifier(t):
-    rows = Training(t).assembled()
-    fitted, held = _parts(settle(split.add_class_weights(rows, "label"), "weighted"))
+    rows = Training(t).assembled("weight", prepare=lambda rows: split.add_class_weights(rows, "label"))
+    fitted, held = _parts(rows)
     model = train.forest(trees=20, depth=6, weightCol="weight").fit(fitted)
     return model.transform(held).select(*_PREDICTED, train.positive_probability().alias("probability"))
 
@@ -112,16 +117,15 @@ def ml_rf_classifier(t):
 def ml_multiclass_winner(t):
     work = Training(t)
     winners = work.matches.select("match_id", "winner_id")
-    rows = train.index_classes(work.assembled().join(winners, "match_id"), "winner_id", "winner")
-    fitted, held = _parts(settle(rows, "winners"))
+    rows = work.assembled("winner_id", prepare=lambda rows: rows.join(winners, "match_id"))
+    fitted, held = _parts(train.index_classes(rows, "winner_id", "winner"))
     return train.forest("winner", trees=10, depth=5).fit(fitted).transform(held).select("match_id", "winner", "prediction")
 
 
 @query("ml_rf_regressor_multi")
 def ml_rf_regressor_multi(t):
     work = Training(t)
-    scores = work.matches.select("match_id", "team_1_score", "team_2_score")
-    fitted, held = _parts(settle(work.assembled().join(scores, "match_id"), "scores"))
+    fitted, held = _parts(work.assembled("team_1_score", "team_2_score"))
     for model in train.fit_regressors(fitted, ["team_1_score", "team_2_score"], trees=10).values():
         held = model.transform(held)
     return held.select("match_id", "team_1_score", "team_1_score_pred", "team_2_score", "team_2_score_pred")
@@ -187,7 +191,7 @@ def ml_soft_vote_mean(t):
 
 @query("ml_grid_search")
 def ml_grid_search(t):
-    rows = settle(split.add_folds(Training(t).assembled(), "label", 3, 42, ["match_id"]), "folds")
+    rows = Training(t).folded(3)
     return train.vote_grid_search(rows, {
         "rf": {"depth3": train.forest(trees=5, depth=3), "depth5": train.forest(trees=5, depth=5)},
         "gbt": {"step10": train.boosted(rounds=3, depth=3)},
@@ -196,7 +200,7 @@ def ml_grid_search(t):
 
 @query("ml_random_search")
 def ml_random_search(t):
-    rows = settle(split.add_folds(Training(t).assembled(), "label", 3, 42, ["match_id"]), "folds")
+    rows = Training(t).folded(3)
     _, table = train.random_search(
         rows, train.boosted(rounds=3), {"maxDepth": [2, 4], "stepSize": [0.05, 0.1], "subsamplingRate": [0.6, 1.0],
                                         "minInfoGain": [0.1]}, draws=3, fold="fold", folds=3)
@@ -205,7 +209,7 @@ def ml_random_search(t):
 
 @query("ml_cross_val_score")
 def ml_cross_val_score(t):
-    rows = settle(split.add_folds(Training(t).assembled(), "label", 5, 42, ["match_id"]), "folds")
+    rows = Training(t).folded(5)
     return train.cross_val_scores(rows, train.forest(trees=5, depth=5), "fold")
 
 

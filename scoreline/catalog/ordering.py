@@ -22,7 +22,7 @@ def win_rank_average_desc(t):
 _SIDES = [{"team_id": "team_1_id", "score": "team_1_score"}, {"team_id": "team_2_id", "score": "team_2_score"}]
 
 _LATEST_SQL = """
-SELECT team_id, match_id, played_at, score FROM (
+SELECT team_id, match_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY team_id ORDER BY played_at DESC, match_id DESC) AS rn FROM (
     SELECT team_1_id AS team_id, match_id, played_at, team_1_score AS score FROM fx_match
     UNION ALL SELECT team_2_id, match_id, played_at, team_2_score FROM fx_match) s) r WHERE rn <= 3"""
@@ -35,7 +35,7 @@ def _latest_three(t):
 
 @query("win_latest_n_per_key", _LATEST_SQL)
 def win_latest_n_per_key(t):
-    return _latest_three(t).select("team_id", "match_id", "played_at", "score")
+    return _latest_three(t).select("team_id", "match_id", "score")
 
 
 @query("win_rolling_last_n_mean", f"""

@@ -10,7 +10,7 @@ from .registry import query
 
 
 def _arriving_events(t):
-    """All events, landed as three arrivals in time order, read as a stream."""
+    """All events, landed as three arrivals by month, read as a stream."""
     path = workspace(t.spark, "arriving")
     events = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     month = F.month("ts") % 3
@@ -20,11 +20,12 @@ def _arriving_events(t):
 
 
 @query("stream_upsert_latest", """
-SELECT user_id, event_id, ts, event_type, value FROM events
+SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_upsert_latest(t):
-    return changes.stream_upsert_latest(
+    newest = changes.stream_upsert_latest(
         _arriving_events(t), workspace(t.spark, "log"), workspace(t.spark, "progress"), ["user_id"], ["ts", "event_id"])
+    return newest.drop("ts")
 
 
 @query("stream_rolling_last_n", """
@@ -33,5 +34,6 @@ SELECT user_id, round(avg(value), 6) + 0.0 AS value_avg, CAST(count(*) AS BIGINT
 GROUP BY user_id""")
 def stream_rolling_last_n(t):
     means = changes.stream_rolling_last_n(
-        _arriving_events(t), workspace(t.spark, "log"), workspace(t.spark, "progress"), ["user_id"], ["ts", "event_id"], "value", 3)
+        _arriving_events(t), workspace(t.spark, "log"), workspace(t.spark, "progress"), ["user_id"], ["ts", "event_id"],
+        "value", 3)
     return means.withColumn("value_avg", F.round("value_avg", 6))

@@ -19,12 +19,13 @@ def noisy_draws(games: DataFrame, game: str, features: Sequence[str], draws: int
                 gaussian: Callable[..., Column] = fast_gaussian) -> DataFrame:
     """Each game ``draws`` times, with N(0, scale) added to its features.
 
-    ``gaussian`` is one of the functions of ``functions.seeded``. Blocks of draws are spread over the cluster before they are expanded, so a
-    few games with many draws use all executors.
+    ``gaussian`` is one of the functions of ``functions.seeded``. Blocks of draws
+    are spread over the cluster before they are expanded, so a few games with
+    many draws use all executors.
     """
+    spread = int(games.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = games.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // _BLOCK))))
-    if draws > _BLOCK:
-        blocks = blocks.repartition(game, "_block")
+    blocks = blocks.repartition(spread, game, "_block")
     first = F.col("_block") * F.lit(_BLOCK)
     last = F.least(first + F.lit(_BLOCK - 1), F.lit(draws - 1))
     rows = blocks.withColumn("draw", F.explode(F.sequence(first, last))).drop("_block")

@@ -192,18 +192,15 @@ def ml_soft_vote_mean(t):
 @query("ml_grid_search")
 def ml_grid_search(t):
     rows = Training(t).folded(3)
-    return train.vote_grid_search(rows, {
-        "rf": {"depth3": train.forest(trees=5, depth=3), "depth5": train.forest(trees=5, depth=5)},
-        "gbt": {"step10": train.boosted(rounds=3, depth=3)},
-        "lr": {"c1": train.logistic(iterations=50, penalty=1.0), "c10": train.logistic(iterations=50, penalty=0.1)}}, "fold")
+    members = train.vote_members(rows.count(), trees=[5], depths=[3, 5], steps=[0.1], rounds=[3], strengths=[0.1, 10])
+    return train.vote_grid_search(rows, members, "fold")
 
 
 @query("ml_random_search")
 def ml_random_search(t):
     rows = Training(t).folded(3)
     _, table = train.random_search(
-        rows, train.boosted(rounds=3), {"maxDepth": [2, 4], "stepSize": [0.05, 0.1], "subsamplingRate": [0.6, 1.0],
-                                        "minInfoGain": [0.1]}, draws=3, fold="fold", folds=3)
+        rows, train.boosted(rounds=3), train.BOOSTED_SETTINGS, draws=3, fold="fold", folds=3)
     return table
 
 

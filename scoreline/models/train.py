@@ -35,6 +35,24 @@ def assemble(df: DataFrame, features: Sequence[str], invalid: str = "skip", resu
     return VectorAssembler(inputCols=list(features), outputCol=result, handleInvalid=invalid).transform(df)
 
 
+# The settings the full searches choose from. A depth of 30, the
+# most Spark allows, stands for unlimited depth.
+VOTE_SETTINGS = {
+    "trees": [50, 100, 200],
+    "depths": [5, 10, 30],
+    "steps": [0.01, 0.1, 0.2],
+    "rounds": [50, 100, 200],
+    "strengths": [0.01, 0.1, 1, 10],
+}
+BOOSTED_SETTINGS = {
+    "maxDepth": [4, 5, 6],
+    "stepSize": [0.01, 0.05, 0.1],
+    "subsamplingRate": [0.6, 0.8, 1.0],
+    "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
+    "minInfoGain": [0.1],
+}
+
+
 def training_table(df: DataFrame, features: Sequence[str], row_key: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """The written input of fits: ``keep`` and the feature vector.
 
@@ -72,6 +90,23 @@ def logistic(label: str = "label", iterations: int = 1000, penalty: float = 0.0,
     return LogisticRegression(labelCol=label, maxIter=iterations, regParam=penalty, **extra)
 
 
+def vote_members(rows: int, trees: Sequence[int], depths: Sequence[int], steps: Sequence[float], rounds: Sequence[int],
+                 strengths: Sequence[float], label: str = "label", seed: int = 42) -> dict[str, dict[str, Estimator]]:
+    """The settings of the three voting members; ``VOTE_SETTINGS`` holds the full lists.
+
+    A strength ``c`` weighs the summed loss against the penalty, so for ``rows``
+    training rows Spark's penalty is ``1 / (c * rows)``.
+    """
+    def name(text: str) -> str:
+        return text.replace(".", "_")  # a column name with a dot would need back-ticks
+
+    return {
+        "rf": {f"trees{n}_depth{d}": forest(label, n, d, seed) for n in trees for d in depths},
+        "gbt": {name(f"step{s}_rounds{n}"): boosted(label, n, step=s, seed=seed) for s in steps for n in rounds},
+        "lr": {name(f"c{c}"): logistic(label, penalty=1.0 / (c * rows)) for c in strengths},
+    }
+
+
 def index_classes(df: DataFrame, column: str, result: str) -> DataFrame:
     """Class numbers for a target with many values, such as the winning team itself."""
     indexer = StringIndexer(inputCol=column, outputCol=result, stringOrderType="alphabetAsc", handleInvalid="skip")

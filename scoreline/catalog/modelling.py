@@ -192,7 +192,8 @@ def ml_soft_vote_mean(t):
 @query("ml_grid_search")
 def ml_grid_search(t):
     rows = Training(t).folded(3)
-    members = train.vote_members(rows.count(), trees=[5], depths=[3, 5], steps=[0.1], rounds=[3], strengths=[0.1, 10])
+    members = train.vote_members(rows.count(), trees=[5], depths=[3, 5], steps=[0.1], rounds=[3], strengths=[0.1, 10],
+                                 iterations=50)
     return train.vote_grid_search(rows, members, "fold")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -91,7 +92,8 @@ def logistic(label: str = "label", iterations: int = 1000, penalty: float = 0.0,
 
 
 def vote_members(rows: int, trees: Sequence[int], depths: Sequence[int], steps: Sequence[float], rounds: Sequence[int],
-                 strengths: Sequence[float], label: str = "label", seed: int = 42) -> dict[str, dict[str, Estimator]]:
+                 strengths: Sequence[float], label: str = "label", seed: int = 42,
+                 iterations: int = 1000) -> dict[str, dict[str, Estimator]]:
     """The settings of the three voting members; ``VOTE_SETTINGS`` holds the full lists.
 
     A strength ``c`` weighs the summed loss against the penalty, so for ``rows``
@@ -103,7 +105,7 @@ def vote_members(rows: int, trees: Sequence[int], depths: Sequence[int], steps:
     return {
         "rf": {f"trees{n}_depth{d}": forest(label, n, d, seed) for n in trees for d in depths},
         "gbt": {name(f"step{s}_rounds{n}"): boosted(label, n, step=s, seed=seed) for s in steps for n in rounds},
-        "lr": {name(f"c{c}"): logistic(label, penalty=1.0 / (c * rows)) for c in strengths},
+        "lr": {name(f"c{c}"): logistic(label, iterations, 1.0 / (c * rows)) for c in strengths},
     }
 
 
@@ -188,9 +190,16 @@ def kmeans_roles(df: DataFrame, features: Sequence[str], clusters: int = 3, seed
     return marked.drop("_cluster", "_z", *scaled.values()), table
 
 
-def fit_members(df: DataFrame, members: Mapping[str, Estimator]) -> dict[str, Model]:
+def _fit_all(jobs: Sequence[tuple[Estimator, DataFrame]], parallelism: int) -> list[Model]:
+    """Run several fits at a time, so that the short stages of one fill the gaps of another."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda job: job[0].fit(job[1]), jobs, chunksize=1)
+
+
+def fit_members(df: DataFrame, members: Mapping[str, Estimator], parallelism: int = 2) -> dict[str, Model]:
     """Fit named classifiers whose output columns do not collide."""
-    return {name: _named(estimator, name).fit(df) for name, estimator in members.items()}
+    models = _fit_all([(_named(estimator, name), df) for name, estimator in members.items()], parallelism)
+    return dict(zip(members, models, strict=True))
 
 
 def soft_vote(df: DataFrame, models: Mapping[str, Model], result: str = "vote") -> DataFrame:
@@ -208,7 +217,7 @@ def average_vote(df: DataFrame, probabilities: Sequence[str], result: str = "vot
 
 
 def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator]], fold: str,
-                     label: str = "label") -> DataFrame:
+                     label: str = "label", parallelism: int = 4) -> DataFrame:
     """Accuracy of every combination of member settings, the best first.
 
     ``members`` maps a member to its named settings. Every setting is fitted
@@ -219,7 +228,7 @@ def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
     scored = None
     for number in folds:
-        models = fit_members(df.where(F.col(fold) != number), settings)
+        models = fit_members(df.where(F.col(fold) != number), settings, parallelism)
         held = soft_vote(df.where(F.col(fold) == number), models).select(
             label, F.lit(number).alias(fold), *[f"p_{s}" for s in settings])
         scored = held if scored is None else scored.unionByName(held)
@@ -277,12 +286,14 @@ def random_search(df: DataFrame, estimator: Estimator, grid: Mapping[str, Sequen
     return search.bestModel, table.orderBy(F.col("mean_accuracy").desc(), "setting")
 
 
-def cross_val_scores(df: DataFrame, estimator: Estimator, fold: str, label: str = "label") -> DataFrame:
+def cross_val_scores(df: DataFrame, estimator: Estimator, fold: str, label: str = "label",
+                     parallelism: int = 4) -> DataFrame:
     """The accuracy on each held-out fold, one row per fold."""
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    models = _fit_all([(estimator, df.where(F.col(fold) != number)) for number in folds], parallelism)
     scored = None
-    for number in folds:
-        held = estimator.fit(df.where(F.col(fold) != number)).transform(df.where(F.col(fold) == number))
+    for number, model in zip(folds, models, strict=True):
+        held = model.transform(df.where(F.col(fold) == number))
         held = held.select(fold, (F.col("prediction") == F.col(label)).cast("double").alias("hit"))
         scored = held if scored is None else scored.unionByName(held)
     return scored.groupBy(fold).agg(F.avg("hit").alias("accuracy"), F.count("hit").alias("rows"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -26,3 +31,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+@cache
+def _ship(spark: SparkSession, application: str) -> None:
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for functions that run in Python workers.
+
+    Spark copies the archive to every executor, later ones included.
+    """
+    _ship(spark, spark.sparkContext.applicationId)

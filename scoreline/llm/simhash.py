@@ -82,14 +82,15 @@ def links(distinct: DataFrame, distance: int = DISTANCE, segments: int = SEGMENT
     def part(column: str, segment: tuple[int, int]):
         return F.shiftrightunsigned(F.col(column), segment[0]).bitwiseAND(F.lit((1 << segment[1]) - 1))
 
+    def reached(segment: tuple[int, int]):
+        masks, own = F.array(*[F.lit(m).cast("bigint") for m in ball(segment[1], radius)]), part("fp", segment)
+        return F.filter(F.transform(masks, lambda m: own.bitwiseXOR(m)), lambda v: v <= own)
+
     table = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("segment"), part("fp", s).alias("value")) for i, s in enumerate(bounds)])).alias("entry")).select("b", "entry.*")
     probes = None
     for i, s in enumerate(bounds):
-        masks = F.array(*[F.lit(m).cast("bigint") for m in ball(s[1], radius)])
-        own = part("fp", s)
-        reached = F.filter(F.transform(masks, lambda m, own=own: own.bitwiseXOR(m)), lambda v, own=own: v <= own)
-        some = distinct.select(F.col("fp").alias("a"), F.lit(i).alias("segment"), F.explode(reached).alias("value"))
+        some = distinct.select(F.col("fp").alias("a"), F.lit(i).alias("segment"), F.explode(reached(s)).alias("value"))
         probes = some if probes is None else probes.unionByName(some)
 
     def near(i: int):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, secrets, sharding, simhash, toxicity
+from . import exact, mixing, packing, secrets, sharding, simhash, suffix, toxicity, vectors, windows
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,11 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": lambda spark, folder: toxicity.op1_toxicity(documents(spark, folder), documents(spark, folder, "labels")),
     "op2_mixing": _over("documents", mixing.op2_mixing),
     "op3_simhash": _over("documents", simhash.op3_simhash),
+    "op4_suffix": _over("documents", suffix.op4_suffix),
     "op5_exact_dedup": _over("documents", exact.op5_exact_dedup),
     "op6_shard_lookup": _over("documents", sharding.op6_shard_lookup),
+    "op7_vectors": _over("embeddings", vectors.op7_vectors),
+    "op8_windows": _over("documents", windows.op8_windows),
     "op10_secrets": _over("documents", secrets.op10_secrets),
     "op9_packing": _over("documents", packing.op9_packing),
 }

@@ -49,13 +49,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, text: str | None = "text") -> DataFrame:
+def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, text: str | None = "text",
+              limit: int = STEP_BYTES) -> DataFrame:
     """``mapInArrow`` with a function from a bounded batch to columns by name."""
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, text) if text else [batch]:
+            for piece in slices(batch, text, limit) if text else [batch]:
                 if piece.num_rows:
                     made = work(piece)
                     for part in made if inspect.isgenerator(made) else [made]:

@@ -13,41 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreline.llm import exact, mixing, packing, simhash, toxicity
-from scoreline.llm.common import documents, settle, workspace
+from scoreline.llm.common import documents, rows_by_key, settle, unused, workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``kept`` (one column doc_id, each once); NULL equals NULL."""
-    return docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; all rows with one doc_id go if one of them is."""
     scores = toxicity.op1_toxicity(docs, documents(spark, sf_dir, "labels"))
-    rejected = scores.where("predicted = 1").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(settle(rejected, "rejected"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return rows_by_key(docs, settle(scores.where("predicted = 1").select("doc_id"), "rejected"), "left_anti")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id; of rows with one doc_id and text, one."""
     index = exact.DigestIndex(spark, workspace(spark, "digest-index"))
-    kept = exact.deduplicate(docs, index).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    marked = docs.withColumn("_own", exact.text_digest(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own"]).drop("_own")
+    own, key, digest = (unused(docs, name) for name in ("_own", "_key", "_digest"))
+    kept = exact.deduplicate(docs, index).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(digest))
+    return docs.withColumn(own, exact.text_digest(F.col("text"))).join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component the document that names it."""
     found = simhash.op3_simhash(docs)
-    return _only(docs, found.where("doc_id <=> component_id").select("doc_id").distinct())
+    return rows_by_key(docs, found.where("doc_id <=> component_id").select("doc_id"), "left_semi")
 
 
 def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn by calibrated probabilities."""
-    return _only(docs, mixing.op2_mixing(docs).where("selected").select("doc_id").distinct())
+    return rows_by_key(docs, mixing.op2_mixing(docs).where("selected").select("doc_id"), "left_semi")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from ..storage import settle, workspace
 
-__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "settle", "slices", "text_bytes", "workspace"]
+__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "settle", "slices", "rows_by_key", "text_bytes", "unused", "workspace"]
 
 #: Bytes of text that one step inside a task works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -67,6 +67,20 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sche
     return df.mapInArrow(run, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underlines before it, such that ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def rows_by_key(docs: DataFrame, keys: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of whole rows with the first column of ``keys``; NULL equals NULL."""
+    other = unused(docs, "_key")
+    return docs.join(keys.select(F.col(keys.columns[0]).alias(other)), F.col(key).eqNullSafe(F.col(other)), how)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table below the shared folder that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import settle
 
 
-def connect(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def connect(links: DataFrame) -> DataFrame:
     """(node, root) of every node that some link (a, b) touches; the root is the smallest node reached.
 
     Links turn into stars by turns: every node hands its smallest neighbour to its
@@ -16,7 +16,6 @@ def connect(nodes: DataFrame, links: DataFrame) -> DataFrame:
     the number of links, combines before it shuffles, and is written to the shared
     folder. Chains halve with each turn.
     """
-    del nodes
     edges = settle(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

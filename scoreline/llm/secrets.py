@@ -8,9 +8,9 @@ them into one p-value: high for keys, low for words and names.
 
 How high a p-value must be depends on length, as short words pass such tests more
 often. Tokens that are letters only are the null class: for each length class the
-share of them (of that length or shorter) above a p-value estimates how many of the
-other tokens get there by chance, and the threshold is the lowest one at which
-the expected share of false finds stays below the rate asked for.
+share of them above a p-value (of that class, and of shorter ones where it has few)
+estimates how many of the other tokens get there by chance, and the threshold is the
+lowest one at which the expected share of false finds stays below the rate asked for.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ LEAST_TOKEN = 16
 TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_TOKEN},}}={{0,2}}")
 #: Expected share of false finds among the tokens reported by the tests.
 FALSE_SHARE = 0.01
+#: Letters-only tokens that an estimate rests on; with fewer in a class, shorter ones are added.
+ENOUGH_WORDS = 1000
 #: Steps of the p-value's logarithm that thresholds are chosen from; the last one is p = 1.
 STEPS = 120
 
@@ -124,7 +126,11 @@ def thresholds(counts: list[tuple[int, int, bool, int]], rate: float = FALSE_SHA
         (null if natural else other)[cls][at] += n
     chosen = {}
     for cls, have in other.items():
-        below = sum((v for k, v in null.items() if k <= cls), np.zeros(STEPS + 1))
+        below = np.zeros(STEPS + 1)
+        for k in sorted((k for k in null if k <= cls), reverse=True):
+            below = below + null[k]
+            if below.sum() >= ENOUGH_WORDS:
+                break
         chance = (1 + below[::-1].cumsum()[::-1]) / (1 + below.sum())
         reached = have[::-1].cumsum()[::-1]
         good = np.flatnonzero((reached > 0) & (have.sum() * chance <= rate * reached))

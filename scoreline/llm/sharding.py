@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 #: Slots of the table: a prime well above 100 slots per shard. Its rows bound what is broadcast.
 SLOTS = 65_537
 #: The shards of the registered query; one in eight has twice the capacity.
@@ -67,10 +69,11 @@ def assign_shards(docs: DataFrame, shards: Mapping[str, int], key: str = "doc_id
 
 def write_shards(docs: DataFrame, shards: Mapping[str, int], path: str, key: str = "doc_id", files: int = 8) -> None:
     """Write the rows of ``docs`` in one folder per shard; each shard is dealt to ``files`` tasks by key."""
-    placed = assign_shards(docs.select(key).distinct(), shards, key)
+    placed, other, shard = assign_shards(docs.select(key).distinct(), shards, key), unused(docs, "_key"), unused(docs, "shard")
+    placed = placed.select(F.col(key).alias(other), F.col("shard").alias(shard))
     deal = F.pmod(F.xxhash64(F.lit(1), F.col(key)), F.lit(files))
-    docs.join(placed.select(F.col(key).alias("_key"), F.col("shard").alias("_shard")), F.col(key).eqNullSafe(F.col("_key"))).drop("_key").repartition(
-        "_shard", deal).withColumnRenamed("_shard", "shard_name").write.partitionBy("shard_name").parquet(path)
+    joined = docs.join(placed, F.col(key).eqNullSafe(F.col(other))).drop(other)
+    joined.repartition(shard, deal).write.partitionBy(shard).parquet(path)
 
 
 def op6_shard_lookup(docs: DataFrame) -> DataFrame:

@@ -241,7 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     spark = docs.sparkSession
     costs = letter_costs(count_trigrams(docs, text))
     shared = spark.sparkContext.broadcast(costs)
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col("toxic").cast("int").alias("_toxic"), fold_of(F.col(key)).alias("_fold"))
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_id"), F.col("toxic").cast("int").alias("_toxic"), fold_of(F.col(key)).alias("_fold"))
     known = known.where(F.col("_fold") != HELD_OUT).groupBy("_id").agg(F.max("_toxic").alias("_toxic"), F.first("_fold").alias("_fold"))
     share = min(1.0, most / max(known.count(), 1))
     # About ``most`` rows of three numbers.

@@ -204,7 +204,7 @@ def near_vectors(vectors: DataFrame, limit: float = LIMIT, missed: float = MISSE
         return rows.select(F.col("key").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
     found = settle(found, "vector-links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    roots = connect(classes.select(F.col("id").alias("node")), found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    roots = connect(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     named = classes.join(roots, F.col("id") == F.col("node"), "left").join(counts, "id", "left").select(
         "digest", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "id").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))

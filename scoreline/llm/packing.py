@@ -12,7 +12,10 @@ table of patterns.
 from __future__ import annotations
 
 import heapq
+import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from functools import cache
 
@@ -27,38 +30,69 @@ from .common import arrow_map, settle
 SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a worker remembers; beyond that it starts a new memory.
-REMEMBERED = 200_000
+#: Words, and parts of words, whose ids a worker remembers; beyond that it starts a new memory.
+REMEMBERED = 400_000
 #: Parallel buckets in which the pieces of one length are numbered, for each partition of a shuffle.
 BUCKETS_PER_PARTITION = 2
 
 
-@cache
-def _tokenizer(file: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(file)
+# How the vocabulary cuts a lower-case word, here for ASCII and the accented letters of Latin-1, whose
+# normal form is themselves; other words, and special tokens within a text, take the tokenizer's whole way.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile("[!-~À-ÿ]*")
+_SPECIAL = "<|"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next one from 256."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in prints else next(others)) for b in range(256)]
+
+
+class Words:
+    """The ids of words as bytes of 16-bit numbers, each distinct part tokenised once while it is remembered."""
+
+    def __init__(self, file: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(file)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            found = self.parts[part] = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return found
+
+    def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.part(word.lower())
+        if _SPECIAL in word or not _PLAIN.fullmatch(word):
+            return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join([self.part(p) for p in _PARTS.findall(word.lower())])
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        for memory in (self.words, self.parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        known, made = self.words, []
+        for w in words:
+            found = known.get(w)
+            if found is None:
+                found = known[w] = self.word(w)
+            made.append(found)
+        return made
 
 
 @cache
-def _memory(file: str) -> dict[str, np.ndarray]:
-    return {}
-
-
-def word_ids(words: list[str], file: str) -> list[np.ndarray]:
-    """The ids of each word."""
-    known, tokenizer = _memory(file), _tokenizer(file)
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = [w for w in words if w not in known]
-    for start in range(0, len(new), 4096):
-        part = new[start:start + 4096]
-        for word, made in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(made.ids, dtype=np.uint16)
-    return [known[w] for w in words]
+def _words(file: str) -> Words:
+    return Words(file)
 
 
 def text_ids(texts: pa.Array, file: str) -> tuple[np.ndarray, np.ndarray]:
@@ -68,10 +102,10 @@ def text_ids(texts: pa.Array, file: str) -> tuple[np.ndarray, np.ndarray]:
     """
     words = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
     flat = words.flatten().dictionary_encode()
-    distinct = word_ids(flat.dictionary.to_pylist(), file)
+    distinct = _words(file).ids(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
     if not distinct:
         return np.zeros(0, np.uint16), np.zeros(len(texts) + 1, np.int64)
-    ids, sizes = np.concatenate(distinct), np.array([len(d) for d in distinct], dtype=np.int64)
+    ids, sizes = np.frombuffer(b"".join(distinct), np.uint16), np.fromiter(map(len, distinct), np.int64, len(distinct)) // 2
     starts, code = np.cumsum(sizes) - sizes, flat.indices.to_numpy()
     size = sizes[code]
     ends = np.concatenate([[0], np.cumsum(size)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import snake_name
+from ..functions.text import clean_name, snake_name
 from ..operators import columns as C
 from .registry import query
 
@@ -36,12 +36,13 @@ def proj_rename_positional(t):
 SELECT o_orderkey AS "S_DWin%", o_custkey AS "OverallKD", o_totalprice AS "s_d_win_pct",
        o_orderstatus AS "hp_diff" FROM orders""")
 def proj_normalise_names(t):
-    raw = t.orders.select(F.col("o_orderkey").alias("S&D Win %"), F.col("o_custkey").alias("Overall K/D"))
-    upper = C.normalise_names(raw)
-    lower = C.normalise_names(
-        t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("S&D Win %"),
-                        F.col("o_orderstatus").alias("HP +/-")), snake_name)
-    return upper.join(lower, upper["`S_DWin%`"] == lower["id"]).drop("id")
+    # Both naming rules over one table, each for half of its columns.
+    def rule(name):
+        return snake_name(name[5:]) if name.startswith("snake") else clean_name(name)
+
+    return C.normalise_names(t.orders.select(
+        F.col("o_orderkey").alias("S&D Win %"), F.col("o_custkey").alias("Overall K/D"),
+        F.col("o_totalprice").alias("snakeS&D Win %"), F.col("o_orderstatus").alias("snakeHP +/-")), rule)
 
 
 @query("proj_dedupe_columns", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")

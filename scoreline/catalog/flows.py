@@ -6,15 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import map_values
 from ..models.train import ols
-from ..operators.aggregate import mean_by_keys, mode_and_means
-from ..operators.order import latest_n
+from ..operators.aggregate import mean_by_keys, mode_and_means, sides_to_rows
 from ..operators.sample import add_noisy, add_swapped
 from ..operators.stats import anova_oneway
 from ..plans import charts, features, seasons, teams
 from ..storage import settle
 from . import views
 from .registry import query
-from .statistics import role_weights
+from .statistics import ols_sql, role_weights, rounded_ols
 
 # The per-map rates, the metrics of a team and the roles of a lineup.
 RATES = {"kills_pm": ("kills", "maps"), "deaths_pm": ("deaths", "maps"), "objective_pm": ("objective", "maps")}
@@ -48,23 +47,22 @@ views.add_view("fx_diff", """
          CASE WHEN winner_id = team_2_id THEN 1 ELSE 0 END AS label, """ + ", ".join(
     f"{m}_team1 - {m}_team2 AS {m}_diff" for m in METRICS) + " FROM fx_swapped")
 views.add_view("fx_lineup", """
-  SELECT player_id, tag, team_id, season, kills, deaths, objective,
+  SELECT player_id, tag, team_id, player_id // 100 AS squad, season, kills, deaths, objective,
          CASE WHEN role IN ('AUTOMOBILE', 'BUILDING') THEN 'Slayer'
               WHEN role IN ('FURNITURE', 'HOUSEHOLD') THEN 'Support' ELSE 'Objective Player' END AS role
-  FROM fx_player_season
-  QUALIFY row_number() OVER (PARTITION BY team_id, season ORDER BY kills DESC, player_id DESC) <= 4""")
-views.add_view("fx_lineup_counts", """
-  SELECT team_id, season, CAST(sum(CASE WHEN role = 'Objective Player' THEN 1 ELSE 0 END) AS BIGINT) AS objective_player,
-         CAST(sum(CASE WHEN role = 'Slayer' THEN 1 ELSE 0 END) AS BIGINT) AS slayer,
-         CAST(sum(CASE WHEN role = 'Support' THEN 1 ELSE 0 END) AS BIGINT) AS support
-  FROM fx_lineup GROUP BY team_id, season""")
-views.add_view("fx_comparison", """
-  SELECT c.team_id, c.season, n_name AS team_name, objective_player, slayer, support, mw_pct AS match_win_percent,
+  FROM fx_player_season""")
+_ROLE_COUNTS = ", ".join(f"CAST(sum(CASE WHEN role = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for r, c in LINEUP_ROLES.items())
+views.add_view("fx_comparison", f"""
+  SELECT c.team_id, c.squad, c.season, n_name AS team_name, objective_player, slayer, support, mw_pct AS match_win_percent,
          objective_player || '-' || slayer || '-' || support AS role_composition
-  FROM fx_lineup_counts c JOIN fx_team_season s ON s.team_id = c.team_id AND s.season = c.season
-  JOIN nation ON n_nationkey = c.team_id""")
+  FROM (SELECT team_id, squad, season, {_ROLE_COUNTS} FROM fx_lineup GROUP BY team_id, squad, season) c
+  JOIN fx_team_season s ON s.team_id = c.team_id AND s.season = c.season JOIN nation ON n_nationkey = c.team_id""")
+views.add_view("fx_team_roles", f"""
+  SELECT c.team_id, c.season, objective_player, slayer, support, mw_pct AS match_win_percent
+  FROM (SELECT team_id, season, {_ROLE_COUNTS} FROM fx_lineup GROUP BY team_id, season) c
+  JOIN fx_team_season s ON s.team_id = c.team_id AND s.season = c.season""")
 views.add_view("fx_ranked", """
-  SELECT team_id, season, avg(CAST(floor(r + (ties - 1) / 2.0) AS INT)) AS avg_team_rank FROM (
+  SELECT team_id, season, avg(CAST(floor(r + (ties - 1) / 2.0) AS BIGINT)) AS avg_team_rank FROM (
     SELECT team_id, season, rank() OVER (ORDER BY weighted_score DESC) AS r,
            count(*) OVER (PARTITION BY weighted_score) AS ties FROM fx_scored) x GROUP BY team_id, season""")
 
@@ -82,9 +80,9 @@ def team_features(t, matches=None):
                   "teams")
 
 
-def training_features(t, swap_share=0.5, noise_share=0.0):
+def training_features(t, swap_share=0.5, noise_share=0.0, test_percent=None):
     matches = t.settled_matches
-    return features.match_features(matches, team_features(t, matches), METRICS, swap_share, noise_share)
+    return features.match_features(matches, team_features(t, matches), METRICS, swap_share, noise_share, test_percent=test_percent)
 
 
 @query("flow_match_features", """
@@ -157,7 +155,7 @@ def aug_gaussian_noise(t):
 SELECT p.player_id, p.tag, c.c_nationkey AS team_id, n_name AS name, p.kills, s.mw, s.ml,
        round(floor(s.mw_pct * 100) / 100, 6) + 0.0 AS mw_pct
 FROM fx_player_season p JOIN customer c ON c.c_name = p.tag JOIN nation ON n_nationkey = c.c_nationkey
-JOIN fx_team_season s ON s.team_id = c.c_nationkey AND s.season = 2001 WHERE p.season = 2001""")
+LEFT JOIN fx_team_season s ON s.team_id = c.c_nationkey AND s.season = 2001 WHERE p.season = 2001""")
 def flow_roster_standings(t):
     names = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     record = t.team_seasons.where(F.col("season") == 2001)
@@ -173,20 +171,28 @@ def flow_roster_standings(t):
     return _rounded(rows, ["mw_pct"])
 
 
+SQUAD = ["team_id", "squad", "season"]
+
+
 def lineups(t):
-    """The four players of a team and season with the most kills, with the role's name."""
-    best = latest_n(t.player_seasons, ["team_id", "season"], ["kills", "player_id"], 4)
-    return best.withColumn("role", map_values(F.col("role"), SEGMENT_ROLES))
+    """All players of a team and season with the role's name.
+
+    A nation has too many players for its composition to recur, so the players with numbers in
+    the same hundred are a squad, of some four players at any size of the tables.
+    """
+    return t.player_seasons.withColumns({
+        "squad": F.floor(F.col("player_id") / 100), "role": map_values(F.col("role"), SEGMENT_ROLES)})
 
 
-def comparison(t, build=teams.team_comparison):
-    named = lineups(t).join(t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("name")), "team_id")
-    record = t.team_seasons.withColumnRenamed("mw_pct", "match_win_percent")
-    return build(named, record, ["team_id", "season"], "role", LINEUP_ROLES, {"name": "team_name"}, "match_win_percent")
+def comparison(t, build=teams.team_comparison, keys=SQUAD, players=None, record=None):
+    players = lineups(t) if players is None else players
+    named = players.join(t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("name")), "team_id")
+    record = (t.team_seasons if record is None else record).withColumnRenamed("mw_pct", "match_win_percent")
+    return build(named, record, keys, "role", LINEUP_ROLES, {"name": "team_name"}, "match_win_percent")
 
 
 @query("flow_team_comparison", """
-SELECT team_id, season, team_name, objective_player, slayer, support, role_composition,
+SELECT team_id, squad, season, team_name, objective_player, slayer, support, role_composition,
        round(match_win_percent, 6) + 0.0 AS match_win_percent,
        round(avg(match_win_percent) OVER (PARTITION BY role_composition), 6) + 0.0 AS composition_win_rate
 FROM fx_comparison""")
@@ -206,10 +212,9 @@ def flow_composition_anova(t):
     return _rounded(anova_oneway(rows, "role_composition", "match_win_percent").drop("p_value"), ["f_statistic"], 4)
 
 
-@query("flow_composition_ols")
+@query("flow_composition_ols", ols_sql("fx_comparison", "match_win_percent", "slayer", "support"))
 def flow_composition_ols(t):
-    # The three counts add up to the size of the lineup: one role is left out.
-    return ols(settle(comparison(t, teams.team_rows)), "match_win_percent", ["slayer", "support"])
+    return rounded_ols(ols(settle(comparison(t, teams.team_rows)), "match_win_percent", ["slayer", "support"]))
 
 
 @query("flow_role_matchup", """
@@ -218,17 +223,21 @@ SELECT match_id, CAST(winner_id AS DOUBLE) AS winner_id,
        CAST(a.slayer - b.slayer AS DOUBLE) AS slayer_diff, CAST(a.support - b.support AS DOUBLE) AS support_diff,
        round(a.match_win_percent - b.match_win_percent, 6) + 0.0 AS win_rate_diff,
        round(ra.avg_team_rank - rb.avg_team_rank, 6) + 0.0 AS team_rank_diff, team_1_score - team_2_score AS maps_won_diff
-FROM fx_match m JOIN fx_comparison a ON a.team_id = team_1_id AND a.season = m.season
-JOIN fx_comparison b ON b.team_id = team_2_id AND b.season = m.season
+FROM fx_match m JOIN fx_team_roles a ON a.team_id = team_1_id AND a.season = m.season
+JOIN fx_team_roles b ON b.team_id = team_2_id AND b.season = m.season
 JOIN fx_ranked ra ON ra.team_id = team_1_id AND ra.season = m.season
 JOIN fx_ranked rb ON rb.team_id = team_2_id AND rb.season = m.season
 WHERE m.status = 'F' AND winner_id IS NOT NULL""")
 def flow_role_matchup(t):
-    players = t.player_seasons.select("team_id", "season", "role", "kills", "deaths", "objective")
+    seasons_of_players = settle(t.player_seasons, "players")
+    players = seasons_of_players.select("team_id", "season", "role", "kills", "deaths", "objective")
     ranked = teams.player_ranks(players, "role", role_weights(t), ["kills", "deaths", "objective"], normalized=False)
     ranks = mean_by_keys(ranked, ["team_id", "season"], {"rank": "avg_team_rank"})
-    table = settle(comparison(t, teams.team_rows).join(ranks, ["team_id", "season"], "left"), "teams_with_ranks")
-    matches = t.matches.where(F.col("status") == "F").select(
+    played = t.settled_matches
+    lineup = seasons_of_players.withColumn("role", map_values(F.col("role"), SEGMENT_ROLES))
+    rows = comparison(t, teams.team_rows, ["team_id", "season"], lineup, views.team_seasons(played))
+    table = settle(rows.join(ranks, ["team_id", "season"], "left"), "teams_with_ranks")
+    matches = played.where(F.col("status") == "F").select(
         "match_id", "season", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id")
     rows = teams.role_matchup(matches, table, ["team_id", "season"], list(LINEUP_ROLES.values()), "match_win_percent",
                               "avg_team_rank")
@@ -290,18 +299,25 @@ def flow_season_tables(t):
     return seasons.season_tables(settle(pages, "pages"), "url", "html", 1, ids, "tag")
 
 
+_RATINGS = {"rating": "l_quantity", "share": "l_discount", "burden": "l_tax"}
+
+
 @query("flow_rolling_form", """
-WITH last AS (
-  SELECT team_1_id AS team_id, match_id FROM fx_match
-  QUALIFY row_number() OVER (PARTITION BY team_1_id ORDER BY played_at DESC, match_id DESC) <= 3),
-players AS (SELECT team_id, l_suppkey, sum(l_quantity) / count(*) AS rating
+WITH sides AS (
+  SELECT team_1_id AS team_id, match_id, played_at FROM fx_match UNION ALL SELECT team_2_id, match_id, played_at FROM fx_match),
+last AS (
+  SELECT team_id, match_id FROM sides
+  QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY played_at DESC, match_id DESC) <= 3),
+players AS (SELECT team_id, l_suppkey, """ + ", ".join(
+    f"sum({c})::DOUBLE / count(*) AS {r}" for r, c in _RATINGS.items()) + """
             FROM last JOIN lineitem ON l_orderkey = match_id GROUP BY team_id, l_suppkey),
-teams AS (SELECT team_id, sum(rating) AS rating FROM players GROUP BY team_id),
+teams AS (SELECT team_id, """ + ", ".join(f"sum({r}) AS {r}" for r in _RATINGS) + """ FROM players GROUP BY team_id),
 played AS (SELECT team_id, count(*) AS matches FROM last GROUP BY team_id)
-SELECT t.team_id, floor(round(rating / matches, 9) * 1000) / 1000 AS rating_avg
+SELECT t.team_id, """ + ", ".join(f"floor(round({r} / matches, 9) * 1000) / 1000 AS {r}_avg" for r in _RATINGS) + """
 FROM teams t JOIN played p ON p.team_id = t.team_id""")
 def flow_rolling_form(t):
-    sides = t.matches.select(F.col("team_1_id").alias("team_id"), "match_id", "played_at")
+    """The form of both teams of a match over three ratings."""
+    sides = sides_to_rows(t.matches, [{"team_id": "team_1_id"}, {"team_id": "team_2_id"}], keep=["match_id", "played_at"])
     lines = t.lineitem.select(F.col("l_orderkey").alias("match_id"), F.col("l_suppkey").alias("player_id"),
-                              F.col("l_quantity").alias("rating"), F.lit(1).alias("rating_games"))
-    return seasons.rolling_form(sides, lines, ["rating"])
+                              *[F.col(c).alias(r) for r, c in _RATINGS.items()], *[F.lit(1).alias(f"{r}_games") for r in _RATINGS])
+    return seasons.rolling_form(sides, lines, list(_RATINGS))

@@ -1,7 +1,8 @@
 """Splits, models, evaluation and simulation.
 
-The training table is the one of the flagship flow without mirrored rows. The
-searches run small grids here; the sizes are arguments of the library.
+The training table is the one of the flagship flow without mirrored rows; training rows
+alone set the bounds of its scaling. The searches run parts of the full lists of settings
+here; the sizes are arguments of the library.
 """
 
 from __future__ import annotations
@@ -33,13 +34,17 @@ class Training:
         self.matches = t.settled_matches
         self.teams = team_features(t, self.matches)
         self.nation = t.nation
-        table, self.scaling = features.match_features(self.matches, self.teams, METRICS, swap_share=0.0)
-        self.rows = split.mark_test(table, 20, 42, ["match_id"])
+        self.rows, self.scaling = features.match_features(self.matches, self.teams, METRICS, swap_share=0.0, test_percent=20)
+        # No difference between the teams, in scaled units.
+        self.neutral = {d: -self.scaling.shift[d] / self.scaling.scale[d] for d in _DIFFS if self.scaling.shift[d] is not None}
 
     def assembled(self, *keep, prepare=lambda rows: rows):
         """The input of fits; ``prepare`` adds the columns to keep."""
         return train.training_table(prepare(self.rows), _DIFFS, ["match_id"],
-                                    ["match_id", "year", "label", "is_test", *keep])
+                                    ["match_id", "year", "label", "is_test", *keep], self.neutral)
+
+    def model_input(self, rows):
+        return train.model_input(rows, _DIFFS, self.neutral)
 
     def folded(self, folds):
         return self.assembled("fold", prepare=lambda rows: split.add_folds(rows, "label", folds, 42, ["match_id"]))
@@ -49,6 +54,14 @@ class Training:
         names = self.nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("id"))
         return settle(features.coming_features(games, names, self.teams, METRICS, self.scaling), "coming")
 
+    def simulated(self, predict, prediction, **settings):
+        """The votes of 15,000 draws for every coming game of the last season."""
+        games = self.coming()
+        last = games.agg(F.max("season")).first()[0]
+        return simulate.by_pairing(
+            games.where(F.col("season") == last), "game_id", ["team_1_id", "team_2_id", "season"], _DIFFS,
+            lambda pairings, key: simulate.noise_ensemble(pairings, key, _DIFFS, lambda rows: predict(self.model_input(rows)), prediction, **settings))
+
 
 def _labelled(t):
     decided = t.matches.where(F.col("winner_id").isNotNull())
@@ -109,7 +122,7 @@ _PREDICTED = ["match_id", "label", "prediction"]
 def ml_rf_classifier(t):
     rows = Training(t).assembled("weight", prepare=lambda rows: split.add_class_weights(rows, "label"))
     fitted, held = _parts(rows)
-    model = train.forest(trees=20, depth=6, weightCol="weight").fit(fitted)
+    model = train.forest(trees=50, depth=10, weightCol="weight").fit(fitted)
     return model.transform(held).select(*_PREDICTED, train.positive_probability().alias("probability"))
 
 
@@ -119,14 +132,14 @@ def ml_multiclass_winner(t):
     winners = work.matches.select("match_id", "winner_id")
     rows = work.assembled("winner_id", prepare=lambda rows: rows.join(winners, "match_id"))
     fitted, held = _parts(train.index_classes(rows, "winner_id", "winner"))
-    return train.forest("winner", trees=10, depth=5).fit(fitted).transform(held).select("match_id", "winner", "prediction")
+    return train.forest("winner", trees=50, depth=10).fit(fitted).transform(held).select("match_id", "winner", "prediction")
 
 
 @query("ml_rf_regressor_multi")
 def ml_rf_regressor_multi(t):
     work = Training(t)
     fitted, held = _parts(work.assembled("team_1_score", "team_2_score"))
-    for model in train.fit_regressors(fitted, ["team_1_score", "team_2_score"], trees=10).values():
+    for model in train.fit_regressors(fitted, ["team_1_score", "team_2_score"]).values():
         held = model.transform(held)
     return held.select("match_id", "team_1_score", "team_1_score_pred", "team_2_score", "team_2_score_pred")
 
@@ -134,27 +147,27 @@ def ml_rf_regressor_multi(t):
 @query("ml_feature_importance")
 def ml_feature_importance(t):
     fitted, _ = _parts(Training(t).assembled())
-    return train.importance_rows(fitted, train.forest(trees=20, depth=5).fit(fitted), _DIFFS)
+    return train.importance_rows(fitted, train.forest(trees=100, depth=10).fit(fitted), [*_DIFFS, train.MISSING])
 
 
 @query("ml_importance_weights")
 def ml_importance_weights(t):
     record = t.team_seasons.select("team_id", "season", "mw", "mw_pct")
     rows = settle(t.player_seasons.join(record, ["team_id", "season"]), "roles")
-    return train.importance_weights(rows, "role", ["kills", "deaths", "objective"], ["mw", "mw_pct"], trees=10)
+    return train.importance_weights(rows, "role", ["kills", "deaths", "objective"], ["mw", "mw_pct"])
 
 
 @query("ml_logistic")
 def ml_logistic(t):
     fitted, held = _parts(Training(t).assembled())
-    return train.logistic(iterations=100).fit(fitted).transform(held).select(
+    return train.logistic().fit(fitted).transform(held).select(
         *_PREDICTED, train.positive_probability().alias("probability"))
 
 
 @query("ml_boosted_trees")
 def ml_boosted_trees(t):
     fitted, held = _parts(Training(t).assembled())
-    return train.boosted(rounds=10, depth=4).fit(fitted).transform(held).select(
+    return train.boosted(rounds=50, depth=5).fit(fitted).transform(held).select(
         *_PREDICTED, train.positive_probability().alias("probability"))
 
 
@@ -167,8 +180,7 @@ def ml_early_stopping(t):
 
 
 def _members():
-    return {"rf": train.forest(trees=10, depth=5), "gbt": train.boosted(rounds=5, depth=3),
-            "lr": train.logistic(iterations=50)}
+    return {"rf": train.forest(trees=50, depth=10), "gbt": train.boosted(rounds=50, depth=5), "lr": train.logistic()}
 
 
 @query("ml_soft_vote")
@@ -208,14 +220,14 @@ def ml_random_search(t):
 @query("ml_cross_val_score")
 def ml_cross_val_score(t):
     rows = Training(t).folded(5)
-    return train.cross_val_scores(rows, train.forest(trees=5, depth=5), "fold")
+    return train.cross_val_scores(rows, train.forest(trees=50, depth=10), "fold")
 
 
 @query("ml_calibration")
 def ml_calibration(t):
     rows = split.mark_test(Training(t).assembled(), 30, 7, ["match_id"], "is_held")
     fitted = rows.where((F.col("is_test") == 0) & (F.col("is_held") == 0))
-    model = train.forest(trees=10, depth=5).fit(fitted)
+    model = train.forest(trees=100, depth=10).fit(fitted)
     calibration = train.calibrate(model, rows.where((F.col("is_test") == 0) & (F.col("is_held") == 1)))
     return train.apply_calibrated(model, calibration, rows.where(F.col("is_test") == 1)).select(
         "match_id", "label", "raw_score", "calibrated_prob")
@@ -223,7 +235,7 @@ def ml_calibration(t):
 
 # A rule instead of a model: the side with the better record of the season before wins.
 views.add_view("fx_rule", """
-  SELECT match_id, CASE WHEN winner_id = team_2_id THEN 1 ELSE 0 END AS label, b.mw_pct - a.mw_pct AS score,
+  SELECT match_id, team_1_id, team_2_id, m.season, CASE WHEN winner_id = team_2_id THEN 1 ELSE 0 END AS label, b.mw_pct - a.mw_pct AS score,
          CASE WHEN b.mw_pct > a.mw_pct THEN 1 ELSE 0 END AS prediction, team_1_score, team_2_score,
          CAST(a.mw AS DOUBLE) AS team_1_guess, CAST(b.mw AS DOUBLE) AS team_2_guess
   FROM fx_match m JOIN fx_team_season a ON a.team_id = team_1_id AND a.season = m.season - 1
@@ -238,7 +250,7 @@ def _rule(t):
                                {"team1": ["team_1_id", "before"], "team2": ["team_2_id", "before"]}, ["mw", "mw_pct"])
     score = F.col("mw_pct_team2") - F.col("mw_pct_team1")
     return paired.select(
-        "match_id", equality_label(F.col("winner_id"), F.col("team_2_id")).alias("label"), score.alias("score"),
+        "match_id", "team_1_id", "team_2_id", "season", equality_label(F.col("winner_id"), F.col("team_2_id")).alias("label"), score.alias("score"),
         F.when(F.col("mw_pct_team2") > F.col("mw_pct_team1"), 1).otherwise(0).alias("prediction"),
         "team_1_score", "team_2_score", F.col("mw_team1").cast("double").alias("team_1_guess"),
         F.col("mw_team2").cast("double").alias("team_2_guess"))
@@ -303,70 +315,76 @@ views.add_view("fx_raw_diff", """
                   JOIN fx_team b ON b.team_id = team_2_id AND b.season = m.season""")
 
 
+_TRAINED = ("winner_id IS NOT NULL AND "
+            "CAST(('0x' || substr(md5('42|' || CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 >= 20")
+
+
 @query("pred_upcoming_features", "SELECT match_id AS game_id, season, " + ", ".join(
-    f"round(({d} - (SELECT min({d}) FROM fx_raw_diff WHERE winner_id IS NOT NULL)) / "
-    f"(SELECT max({d}) - min({d}) FROM fx_raw_diff WHERE winner_id IS NOT NULL), 6) + 0.0 AS {d}" for d in _DIFFS)
+    f"round(({d} - (SELECT min({d}) FROM fx_raw_diff WHERE {_TRAINED})) / "
+    f"(SELECT max({d}) - min({d}) FROM fx_raw_diff WHERE {_TRAINED}), 6) + 0.0 AS {d}" for d in _DIFFS)
     + " FROM fx_raw_diff WHERE status = 'O'")
 def pred_upcoming_features(t):
-    return _rounded(Training(t).coming(), _DIFFS)
+    return _rounded(Training(t).coming().drop("team_1_id", "team_2_id"), _DIFFS)
 
 
 @query("pred_score_upcoming")
 def pred_score_upcoming(t):
     work = Training(t)
-    model = train.forest(trees=20, depth=6).fit(work.assembled())
-    games = train.assemble(work.coming(), _DIFFS, invalid="keep")
-    return model.transform(games).select("game_id", "season", train.positive_probability().alias("team_2_win_prob"),
+    model = train.forest(trees=50, depth=10).fit(work.assembled())
+    return model.transform(work.model_input(work.coming())).select("game_id", "season", train.positive_probability().alias("team_2_win_prob"),
                                          F.col("prediction").cast("int").alias("winner_pred"))
 
 
 @query("pred_noise_ensemble")
 def pred_noise_ensemble(t):
     work = Training(t)
-    model = train.forest(trees=10, depth=5).fit(work.assembled())
-    return simulate.noise_ensemble(work.coming(), "game_id", _DIFFS,
-                                   lambda rows: model.transform(train.assemble(rows, _DIFFS)), "prediction", draws=20)
+    model = train.forest(trees=50, depth=10).fit(work.assembled())
+    return work.simulated(model.transform, "prediction")
 
 
 @query("pred_noise_vote")
 def pred_noise_vote(t):
     work = Training(t)
     models = train.fit_members(work.assembled(), _members())
-    return simulate.noise_ensemble(work.coming(), "game_id", _DIFFS,
-                                   lambda rows: train.soft_vote(train.assemble(rows, _DIFFS), models), "vote",
-                                   draws=10, scale=0.01, limits=(0.0, 1.0))
+    return work.simulated(lambda rows: train.soft_vote(rows, models), "vote", scale=0.01, limits=(0.0, 1.0))
 
 
-_DRAW_KEY = "score|' || CAST(match_id AS VARCHAR) || '|' || CAST(draw AS VARCHAR)"
+_PAIRING = "concat_ws('-', team_1_id, team_2_id, season)"
+_DRAW_KEY = "score|' || pairing || '|' || CAST(draw AS VARCHAR)"
 
 
 @query("pred_noise_rule", f"""
-SELECT match_id, round(avg(1.0::DOUBLE - prediction), 6) + 0.0 AS team_1_win_prob,
-       round(avg(prediction::DOUBLE), 6) + 0.0 AS team_2_win_prob, CAST(count(*) AS BIGINT) AS draws,
-       CAST(CASE WHEN avg(1.0::DOUBLE - prediction) > avg(prediction::DOUBLE) THEN 0 ELSE 1 END AS INT) AS winner_pred
-FROM (SELECT match_id, CASE WHEN score + {noise_sql(0.05, _DRAW_KEY)} > 0
-             THEN 1 ELSE 0 END AS prediction
-      FROM fx_rule, (SELECT unnest(range(0, 8)) AS draw) d) s GROUP BY match_id""")
+WITH games AS (SELECT match_id, score, {_PAIRING} AS pairing FROM fx_rule WHERE season = (SELECT max(season) FROM fx_rule)),
+votes AS (
+  SELECT pairing, round(avg(1.0::DOUBLE - prediction), 6) + 0.0 AS team_1_win_prob,
+         round(avg(prediction::DOUBLE), 6) + 0.0 AS team_2_win_prob, CAST(count(*) AS BIGINT) AS draws,
+         CAST(CASE WHEN avg(1.0::DOUBLE - prediction) > avg(prediction::DOUBLE) THEN 0 ELSE 1 END AS INT) AS winner_pred
+  FROM (SELECT pairing, CASE WHEN score + {noise_sql(0.05, _DRAW_KEY)} > 0 THEN 1 ELSE 0 END AS prediction
+        FROM (SELECT DISTINCT pairing, score FROM games) p, (SELECT unnest(range(0, 15000)) AS draw) d) s GROUP BY pairing)
+SELECT match_id, team_1_win_prob, team_2_win_prob, draws, winner_pred FROM games JOIN votes USING (pairing)""")
 def pred_noise_rule(t):
     # The rule instead of a model, and noise that SQL can repeat.
     def predict(rows):
         return rows.withColumn("prediction", F.when(F.col("score") > 0, 1).otherwise(0))
 
-    votes = simulate.noise_ensemble(_rule(t).select("match_id", "score"), "match_id", ["score"], predict, "prediction",
-                                    draws=8, scale=0.05, gaussian=hash_gaussian)
+    games = settle(_rule(t).select("match_id", "score", "team_1_id", "team_2_id", "season"), "rule")
+    last = games.agg(F.max("season")).first()[0]
+    votes = simulate.by_pairing(
+        games.where(F.col("season") == last), "match_id", ["team_1_id", "team_2_id", "season"], ["score"],
+        lambda pairings, key: simulate.noise_ensemble(pairings, key, ["score"], predict, "prediction", scale=0.05, gaussian=hash_gaussian))
     return _rounded(votes, ["team_1_win_prob", "team_2_win_prob"])
 
 
 @query("flow_winner_report")
 def flow_winner_report(t):
-    table, _ = training_features(t, swap_share=0.5, noise_share=0.25)
-    _, scored = winner.train_and_hold(table, _DIFFS, train.boosted(rounds=5, depth=3), "label", ["match_id"], 15)
-    return winner.held_out_report(scored, "label")
+    table, _ = training_features(t, swap_share=0.5, noise_share=0.25, test_percent=15)
+    _, scored = winner.train_and_hold(table, _DIFFS, train.boosted(rounds=50, depth=5), "label", ["match_id"], 15)
+    return winner.held_out_report(scored, "label", copies=["swapped", "noisy"])
 
 
 @query("flow_role_model")
 def flow_role_model(t):
     rows = train.index_classes(flow_role_matchup(t), "winner_id", "winner")
     names = ["slayer_diff", "support_diff", "objective_player_diff", "win_rate_diff", "team_rank_diff"]
-    _, scored = winner.train_and_hold(settle(rows), names, train.forest("winner", trees=10, depth=5), "winner", ["match_id"], 20)
+    _, scored = winner.train_and_hold(settle(rows), names, train.forest("winner", trees=50, depth=10), "winner", ["match_id"], 20)
     return winner.accuracy_by_part(scored, "winner")

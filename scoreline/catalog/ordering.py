@@ -13,7 +13,7 @@ from .registry import query
 
 @query("win_rank_average_desc", """
 SELECT player_id, season, kills, CAST(floor(rank() OVER (ORDER BY kills DESC)
-         + (count(*) OVER (PARTITION BY kills) - 1) / 2.0) AS INT) AS rank FROM fx_player_season""")
+         + (count(*) OVER (PARTITION BY kills) - 1) / 2.0) AS BIGINT) AS rank FROM fx_player_season""")
 def win_rank_average_desc(t):
     rows = settle(t.player_seasons.select("player_id", "season", "kills"), "players")
     return order.average_rank(rows, "kills", "rank")

@@ -152,8 +152,8 @@ def fn_argmax(t):
 
 
 @query("fn_category_codes", """
-SELECT o_orderkey, o_orderpriority, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INT) AS code,
-       CAST(dense_rank() OVER (ORDER BY year(o_orderdate)) - 1 AS INT) AS season_code FROM orders""")
+SELECT o_orderkey, o_orderpriority, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS code,
+       CAST(dense_rank() OVER (ORDER BY year(o_orderdate)) - 1 AS BIGINT) AS season_code FROM orders""")
 def fn_category_codes(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("season"))
     coded = category_codes(category_codes(rows, "o_orderpriority", "code"), "season", "season_code")

@@ -39,11 +39,12 @@ def src_csv_header(t):
 SELECT c_custkey AS "Overall_Player", c_name AS "Overall_Tag", c_nationkey AS "Team_Id",
        c_acctbal AS "Team_Balance", c_mktsegment AS "Team_Role" FROM customer""")
 def src_csv_two_row_header(t):
+    # One file for every five thousand customers, each with both header lines.
     path = workspace(t.spark, "csv")
-    header = t.spark.createDataFrame(
-        [("Overall,Overall,Team,Team,Team",), ("Player,Tag,Id,Balance,Role",)], "value string").coalesce(1)
-    lines = t.customer.select(F.to_csv(F.struct(*t.customer.columns)).alias("value"))
-    header.union(lines).write.text(path)
+    header = "Overall,Overall,Team,Team,Team\nPlayer,Tag,Id,Balance,Role\n"
+    packed = t.customer.groupBy(F.floor(F.col("c_custkey") / 5000).alias("file")).agg(
+        F.collect_list(F.to_csv(F.struct(*t.customer.columns))).alias("lines"))
+    packed.select("file", F.concat(F.lit(header), F.array_join("lines", "\n")).alias("value")).write.partitionBy("file").text(path)
     rows = csv.read_two_row_header(t.spark, path)
     return cast_columns(rows, {"Overall_Player": "bigint", "Team_Id": "int", "Team_Balance": "double"})
 
@@ -67,29 +68,42 @@ def src_json_map_rows(t):
 def _pages_of_customers(t):
     packed = _customer_documents(t, "*")
     members = F.transform("rows", lambda r: F.struct(
-        r["c_custkey"].alias("id"), r["c_name"].alias("tag"), r["c_nationkey"].alias("current_team_id")))
+        r["c_custkey"].alias("id"), r["c_name"].alias("tag"), r["c_nationkey"].alias("team_id")))
     balances = F.transform("rows", lambda r: F.struct(
         r["c_custkey"].alias("id"), r["c_acctbal"].cast("int").alias("balance")))
-    props = F.struct(members.alias("allPlayers"), balances.alias("balances"),
-                     F.lit("dark").alias("initialColorScheme"))
-    return packed.select(F.to_json(F.struct(props.alias("pageProps"))).alias("text"))
+    props = F.struct(members.alias("players"), balances.alias("balances"),
+                     F.lit("dark").alias("theme"))
+    return packed.select(F.to_json(F.struct(props.alias("page"))).alias("text"))
 
 
 @query("src_json_explode", """
-SELECT 'allPlayers' AS table_name, CAST(c_custkey AS VARCHAR) AS id, c_name AS tag,
-       CAST(c_nationkey AS VARCHAR) AS current_team_id, CAST(NULL AS VARCHAR) AS balance FROM customer
+SELECT 'players' AS table_name, CAST(c_custkey AS VARCHAR) AS id, c_name AS tag,
+       CAST(c_nationkey AS VARCHAR) AS team_id, CAST(NULL AS VARCHAR) AS balance FROM customer
 UNION ALL
 SELECT 'balances', CAST(c_custkey AS VARCHAR), NULL, NULL, CAST(CAST(trunc(c_acctbal) AS INT) AS VARCHAR)
 FROM customer""")
 def src_json_explode(t):
     found = json.page_tables(
-        _pages_of_customers(t), "text", "pageProps",
-        {"allPlayers": "struct<id:bigint,tag:string,current_team_id:int>",
-         "balances": "struct<id:bigint,balance:int>", "initialColorScheme": "string"},
-        skipped=["initialColorScheme"])
+        _pages_of_customers(t), "text", "page",
+        {"players": "struct<id:bigint,tag:string,team_id:int>",
+         "balances": "struct<id:bigint,balance:int>", "theme": "string"},
+        skipped=["theme"])
     return union_filling(*[add_constants(df, {"table_name": name}) for name, df in found.items()])
 
 
+@query("src_json_found_tables", """
+SELECT 'players' AS table_name, column_name, value, count(*) AS n FROM (
+  UNPIVOT (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS tag, CAST(c_nationkey AS VARCHAR) AS team_id FROM customer)
+  ON id, tag, team_id INTO NAME column_name VALUE value) u GROUP BY ALL
+UNION ALL
+SELECT 'balances', column_name, value, count(*) FROM (
+  UNPIVOT (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(CAST(trunc(c_acctbal) AS INT) AS VARCHAR) AS balance FROM customer)
+  ON id, balance INTO NAME column_name VALUE value) u GROUP BY ALL""")
+def src_json_found_tables(t):
+    cells = json.found_tables(_pages_of_customers(t), "text", "page")
+    return cells.groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src_json_parent_broadcast", """
 SELECT c_nationkey AS team_id, n_name AS name, c_custkey AS id, c_name AS tag,
        CAST(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS match_wins,
@@ -121,10 +135,14 @@ def src_json_flatten(t):
     return json.parse_and_flatten(t.events.select("event_id", "user_id", "props"), "props", "struct<k:int>")
 
 
+_LINK_SQL = "'" + html.LINK.replace("'", "''") + "'"
+
+
 @query("src_html_extract", """
-SELECT page_id, CAST(generate_subscripts(href, 1) AS INT) AS position, unnest(href) AS href, unnest(label) AS label
-FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS href,
-             regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS label FROM pages) p""")
+SELECT page_id, CAST(position AS INT) AS position, href, regexp_replace(label, '<[^>]*>', '', 'g') AS label FROM (
+  SELECT page_id, generate_subscripts(a, 1) AS position, concat(unnest(a), unnest(b), unnest(c)) AS href, unnest(l) AS label
+  FROM (SELECT page_id, """ + ", ".join(f"regexp_extract_all(html, {_LINK_SQL}, {i}) AS {n}" for i, n in enumerate("abcl", 1)) + """
+        FROM pages) p) q""")
 def src_html_extract(t):
     return html.links(t.pages, "page_id", "html")
 

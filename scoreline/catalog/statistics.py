@@ -121,25 +121,32 @@ def stat_anova_p_value(t):
     return S.anova_oneway(t.player_seasons, "role", "kills")
 
 
-@query("stat_ols", """
-WITH s AS (SELECT count(*)::DOUBLE AS n, avg(deaths) AS m1, avg(objective) AS m2, avg(kills) AS my,
-    var_pop(deaths) * count(*) AS s11, var_pop(objective) * count(*) AS s22, var_pop(kills) * count(*) AS syy,
-    covar_pop(deaths, objective) * count(*) AS s12, covar_pop(deaths, kills) * count(*) AS s1y,
-    covar_pop(objective, kills) * count(*) AS s2y FROM fx_player_season),
+def ols_sql(view, y, x1, x2):
+    """Least squares with two predictors in closed form."""
+    return f"""
+WITH s AS (SELECT count(*)::DOUBLE AS n, avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my,
+    var_pop({x1}) * count(*) AS s11, var_pop({x2}) * count(*) AS s22, var_pop({y}) * count(*) AS syy,
+    covar_pop({x1}, {x2}) * count(*) AS s12, covar_pop({x1}, {y}) * count(*) AS s1y,
+    covar_pop({x2}, {y}) * count(*) AS s2y FROM {view}),
 b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s),
 e AS (SELECT *, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS v, (b1 * s1y + b2 * s2y) / syy AS r2 FROM b),
 terms AS (
-  SELECT 'deaths' AS term, b1 AS c, sqrt(v * s22 / det) AS se, r2 FROM e
-  UNION ALL SELECT 'objective', b2, sqrt(v * s11 / det), r2 FROM e
+  SELECT '{x1}' AS term, b1 AS c, sqrt(v * s22 / det) AS se, r2 FROM e
+  UNION ALL SELECT '{x2}', b2, sqrt(v * s11 / det), r2 FROM e
   UNION ALL SELECT 'const', my - b1 * m1 - b2 * m2,
                    sqrt(v * (1 / n + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)), r2 FROM e)
 SELECT term, round(c, 5) + 0.0 AS coefficient, round(se, 5) + 0.0 AS std_error, round(c / se, 3) + 0.0 AS t_value,
-       round(r2, 6) + 0.0 AS r2 FROM terms""")
+       round(r2, 6) + 0.0 AS r2 FROM terms"""
+
+
+def rounded_ols(fit):
+    return _rounded(_rounded(_rounded(fit.drop("p_value"), ["coefficient", "std_error"], 5), ["t_value"], 3), ["r2"])
+
+
+@query("stat_ols", ols_sql("fx_player_season", "kills", "deaths", "objective"))
 def stat_ols(t):
-    rows = settle(t.player_seasons.select("kills", "deaths", "objective"))
-    fit = train.ols(rows, "kills", ["deaths", "objective"]).drop("p_value")
-    return _rounded(_rounded(_rounded(fit, ["coefficient", "std_error"], 5), ["t_value"], 3), ["r2"])
+    return rounded_ols(train.ols(settle(t.player_seasons.select("kills", "deaths", "objective")), "kills", ["deaths", "objective"]))
 
 
 @query("stat_ols_simple", """
@@ -207,7 +214,7 @@ def stat_weighted_score(t):
 @query("stat_player_rank", f"""
 SELECT player_id, season, weighted_score,
        CAST(floor(rank() OVER (ORDER BY weighted_score DESC)
-            + (count(*) OVER (PARTITION BY weighted_score) - 1) / 2.0) AS INT) AS rank,
+            + (count(*) OVER (PARTITION BY weighted_score) - 1) / 2.0) AS BIGINT) AS rank,
        {_scaled_sql('weighted_score').replace('AS weighted_score', 'AS normalized_score')}
 FROM fx_scored""")
 def stat_player_rank(t):

@@ -10,11 +10,12 @@ from .registry import query
 
 
 def _arriving_events(t):
-    """All events, landed as three files in time order, read as a stream."""
+    """All events, landed in time order in as many files as a shuffle has partitions, read as a stream of a few batches."""
     path = workspace(t.spark, "arriving")
     events = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    events.repartitionByRange(3, "ts").write.parquet(path)
-    return changes.read_arriving(t.spark, path, events.schema)
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    events.repartitionByRange(files, "ts").write.parquet(path)
+    return changes.read_arriving(t.spark, path, events.schema, files_per_batch=max(1, files // 4))
 
 
 @query("stream_upsert_latest", """

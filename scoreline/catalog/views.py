@@ -131,8 +131,8 @@ _VIEWS = {
   UNION ALL
   SELECT match_id, season, winner_id, team_2_id FROM fx_match WHERE winner_id IS NOT NULL""",
     "fx_team_season": """
-  SELECT team_id, season, CAST(sum(CASE WHEN winner_id = team_id THEN 1 ELSE 0 END) AS INT) AS mw,
-         CAST(sum(CASE WHEN winner_id = team_id THEN 0 ELSE 1 END) AS INT) AS ml,
+  SELECT team_id, season, CAST(sum(CASE WHEN winner_id = team_id THEN 1 ELSE 0 END) AS BIGINT) AS mw,
+         CAST(sum(CASE WHEN winner_id = team_id THEN 0 ELSE 1 END) AS BIGINT) AS ml,
          CAST(sum(CASE WHEN winner_id = team_id THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mw_pct
   FROM fx_side GROUP BY team_id, season""",
     "fx_roster": """

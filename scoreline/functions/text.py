@@ -51,6 +51,7 @@ def map_values(column: Column, mapping: Mapping) -> Column:
     return result
 
 
+# Fixed value: the naming rule of the season tables.
 def clean_name(name: str) -> str:
     """A column name without ``/`` and blanks, and with ``_`` for ``&``."""
     return name.replace("/", "").replace(" ", "").replace("&", "_")

@@ -67,5 +67,5 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     scores = df.where(F.col(score).isNotNull()).groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     ranked = running_totals(scores, score, ["_neg"])
-    wins = F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0)))
-    return ranked.agg(F.try_divide(wins, (F.sum("_pos") * F.sum("_neg")).cast("double")).alias("roc_auc"))
+    wins = F.sum(F.col("_pos").cast("double") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0)))
+    return ranked.agg(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg").cast("double")).alias("roc_auc"))

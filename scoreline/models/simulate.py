@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import choose_greater, clip
 from ..functions.seeded import fast_gaussian
+from ..storage import settle
 
 # Fixed value: draws of one game that one row of the first step stands for.
 _BLOCK = 1000
@@ -44,6 +45,20 @@ def win_probabilities(scored: DataFrame, game: str, prediction: str) -> DataFram
     return shares.withColumn("winner_pred", choose_greater(F.col("team_1_win_prob"), F.col("team_2_win_prob")))
 
 
+def by_pairing(games: DataFrame, game: str, pairing: Sequence[str], features: Sequence[str],
+               simulate: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One row per game, simulated once per distinct pairing.
+
+    Games of the same pairing have the same features, so that as many draws serve all of
+    them, and the work is bounded by the number of pairings. ``simulate`` gets the pairings
+    and the name of their key.
+    """
+    key = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in pairing]).alias("pairing")
+    keyed = games.select(game, key, *features)
+    results = simulate(settle(keyed.drop(game).dropDuplicates(["pairing"]), "pairings"), "pairing")
+    return keyed.select(game, "pairing").join(settle(results, "simulated"), "pairing").drop("pairing")
+
+
 def noise_ensemble(games: DataFrame, game: str, features: Sequence[str],
                    predict: Callable[[DataFrame], DataFrame], prediction: str, draws: int = 15000,
                    scale: float = 0.15, seed: int = 42, limits: tuple[float, float] | None = None,

@@ -31,11 +31,27 @@ from ..operators.stats import fit_standard
 from ..storage import settle
 
 
-def assemble(df: DataFrame, features: Sequence[str], invalid: str = "skip", result: str = "features") -> DataFrame:
-    """Add the feature vector; rows with a missing feature are skipped, kept or an error."""
+#: The feature that counts a row's missing ones.
+MISSING = "n_missing"
+
+
+def assemble(df: DataFrame, features: Sequence[str], invalid: str = "error", result: str = "features") -> DataFrame:
+    """Add the feature vector; a missing feature is an error, or its row is skipped or kept."""
     return VectorAssembler(inputCols=list(features), outputCol=result, handleInvalid=invalid).transform(df)
 
 
+def model_input(df: DataFrame, features: Sequence[str], neutral: Mapping[str, float] | None = None) -> DataFrame:
+    """Add the feature vector of every row, alike for fits and predictions.
+
+    A feature that is NULL or NaN takes its neutral value (0 if none is given), and one more
+    feature, ``MISSING``, counts them.
+    """
+    known = {f: F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features}
+    count = sum((F.when(k, 0.0).otherwise(1.0) for k in known.values()), F.lit(0.0))
+    filled = {f: F.when(k, F.col(f).cast("double")).otherwise(F.lit(float((neutral or {}).get(f) or 0.0))) for f, k in known.items()}
+    return assemble(df.withColumn(MISSING, count).withColumns(filled), [*features, MISSING])
+
+
 # The settings the full searches choose from. A depth of 30, the
 # most Spark allows, stands for unlimited depth.
 VOTE_SETTINGS = {
@@ -54,15 +70,16 @@ BOOSTED_SETTINGS = {
 }
 
 
-def training_table(df: DataFrame, features: Sequence[str], row_key: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """The written input of fits: ``keep`` and the feature vector.
+def training_table(df: DataFrame, features: Sequence[str], row_key: Sequence[str], keep: Sequence[str],
+                   neutral: Mapping[str, float] | None = None) -> DataFrame:
+    """The written input of fits: ``keep`` and the feature vector of ``model_input``.
 
     Rows are spread by the hash of their key and sorted within a partition, so
     that all cores take part and bagging draws the same rows on every run.
     """
     spark = df.sparkSession
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = assemble(df, features).select(*keep, "features")
+    rows = model_input(df, features, neutral).select(*keep, "features")
     return settle(rows.repartition(spread, *row_key).sortWithinPartitions(*row_key), "training")
 
 
@@ -109,9 +126,9 @@ def vote_members(rows: int, trees: Sequence[int], depths: Sequence[int], steps:
     }
 
 
-def index_classes(df: DataFrame, column: str, result: str) -> DataFrame:
-    """Class numbers for a target with many values, such as the winning team itself."""
-    indexer = StringIndexer(inputCol=column, outputCol=result, stringOrderType="alphabetAsc", handleInvalid="skip")
+def index_classes(df: DataFrame, column: str, result: str, invalid: str = "error") -> DataFrame:
+    """Class numbers for a target with many values, such as the winning team itself; a row without a class is an error."""
+    indexer = StringIndexer(inputCol=column, outputCol=result, stringOrderType="alphabetAsc", handleInvalid=invalid)
     return indexer.fit(df).transform(df)
 
 
@@ -119,7 +136,7 @@ def positive_probability(name: str = "probability") -> Column:
     return vector_to_array(name).getItem(1)
 
 
-def fit_regressors(df: DataFrame, targets: Sequence[str], trees: int = 20, depth: int = 5,
+def fit_regressors(df: DataFrame, targets: Sequence[str], trees: int = 100, depth: int = 10,
                    seed: int = 42) -> dict[str, Model]:
     """One regression forest per target; every split may use every feature."""
     return {y: RandomForestRegressor(labelCol=y, predictionCol=f"{y}_pred", numTrees=trees, maxDepth=depth,
@@ -134,17 +151,22 @@ def importance_rows(df: DataFrame, model: Model, features: Sequence[str]) -> Dat
 
 
 def importance_weights(df: DataFrame, role: str, features: Sequence[str], targets: Sequence[str],
-                       trees: int = 20, depth: int = 5, seed: int = 42) -> DataFrame:
-    """One row per role: the importances of a forest fitted on the rows of that role.
+                       trees: int = 100, depth: int = 10, seed: int = 42, most_roles: int = 100, parallelism: int = 4) -> DataFrame:
+    """One row per role (NULL is one too): the importances of a forest fitted on the rows of that role.
 
-    Importances are averaged over the targets and sum to 1. Roles are few; each
-    fit is a distributed job.
+    Importances are averaged over the targets and sum to 1. Each fit is a distributed
+    job, and several run at a time; more than ``most_roles`` roles are an error.
     """
-    roles = [r[0] for r in df.select(role).distinct().orderBy(role).collect()]
-    weights = []
+    roles = [r[0] for r in df.select(role).distinct().orderBy(role).limit(most_roles + 1).collect()]
+    if len(roles) > most_roles:
+        raise ValueError(f"more than {most_roles} roles")
+    jobs = []
     for value in roles:
-        rows = assemble(df.where(F.col(role) == F.lit(value)), features)
-        found = [m.featureImportances.toArray() for m in fit_regressors(rows, targets, trees, depth, seed).values()]
+        rows = assemble(df.where(F.col(role).eqNullSafe(F.lit(value))), features, invalid="skip")
+        jobs += [(RandomForestRegressor(labelCol=y, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed), rows) for y in targets]
+    models, weights = _fit_all(jobs, parallelism), []
+    for at, value in enumerate(roles):
+        found = [m.featureImportances.toArray() for m in models[at * len(targets):(at + 1) * len(targets)]]
         mean = sum(found) / len(found)
         total = mean.sum() or 1.0
         weights.append((value, *[float(v / total) for v in mean]))
@@ -156,9 +178,9 @@ def importance_weights(df: DataFrame, role: str, features: Sequence[str], target
 def ols(df: DataFrame, target: str, predictors: Sequence[str]) -> DataFrame:
     """Least squares with a constant: coefficient, standard error, t and p per term, and R2.
 
-    The predictors must not add up to a constant; of counts that do, leave one out.
+    Rows that lack a predictor are left out. The predictors must not add up to a constant; of counts that do, leave one out.
     """
-    rows = assemble(df, predictors).select("features", F.col(target).cast("double").alias(target))
+    rows = assemble(df, predictors, invalid="skip").select("features", F.col(target).cast("double").alias(target))
     fit = LinearRegression(labelCol=target, solver="normal", regParam=0.0).fit(rows)
     summary = fit.summary
     terms = zip([*predictors, "const"], [*fit.coefficients.toArray(), fit.intercept],
@@ -169,16 +191,18 @@ def ols(df: DataFrame, target: str, predictors: Sequence[str]) -> DataFrame:
 
 
 def kmeans_roles(df: DataFrame, features: Sequence[str], clusters: int = 3, seed: int = 42,
-                 result: str = "role_cluster") -> tuple[DataFrame, DataFrame]:
+                 result: str = "role_cluster", iterations: int = 300) -> tuple[DataFrame, DataFrame]:
     """Cluster standardised rows: the rows with their cluster, and the centres in units.
 
+    Rows that lack a feature are left out.
+
     Clusters are numbered by descending first feature of their centre, so the
     numbers do not depend on the start of the search.
     """
     scaling = fit_standard(df, features)
     scaled = {f: f"_z_{f}" for f in features}
-    rows = assemble(scaling.apply(df, scaled), list(scaled.values()), result="_z")
-    fit = KMeans(k=clusters, seed=seed, featuresCol="_z", predictionCol="_cluster").fit(rows)
+    rows = assemble(scaling.apply(df, scaled), list(scaled.values()), invalid="skip", result="_z")
+    fit = KMeans(k=clusters, seed=seed, maxIter=iterations, featuresCol="_z", predictionCol="_cluster").fit(rows)
     centres = [[float(v) * scaling.scale[f] + scaling.shift[f] for f, v in zip(features, c, strict=True)]
                for c in fit.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i], reverse=True)

@@ -84,7 +84,7 @@ def share_by_key(df: DataFrame, keys: Sequence[str], condition: Column, result:
 def team_record(df: DataFrame, keys: Sequence[str], won: Column, wins: str, losses: str, rate: str) -> DataFrame:
     """Wins, losses and win rate per key, from one row per team and match."""
     counted = df.groupBy(*keys).agg(
-        F.count_if(won).cast("int").alias(wins), F.count_if(~won).cast("int").alias(losses))
+        F.count_if(won).alias(wins), F.count_if(~won).alias(losses))
     return counted.withColumn(rate, ratio(F.col(wins), F.col(wins) + F.col(losses)))
 
 

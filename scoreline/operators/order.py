@@ -73,7 +73,7 @@ def average_rank(df: DataFrame, score: str, result: str, truncate: bool = True)
     ranks = running_totals(scores, "_low", ["_n"])
     place = F.col("_n_before") + (F.col("_n") + F.lit(1)) / F.lit(2.0)
     if truncate:
-        place = F.floor(place).cast("int")
+        place = F.floor(place).cast("bigint")
     ranks = ranks.select((-F.col("_low")).alias("_score"), place.alias(result))
     return df.join(ranks, F.col(score) == F.col("_score"), "left").drop("_score")
 
@@ -83,9 +83,9 @@ def category_codes(df: DataFrame, column: str, result: str) -> DataFrame:
     values = df.where(F.col(column).isNotNull()).select(
         F.col(column).alias("_value")).distinct().withColumn("_one", F.lit(1))
     codes = running_totals(values, "_value", ["_one"]).select(
-        "_value", F.col("_one_before").cast("int").alias("_code"))
+        "_value", F.col("_one_before").cast("bigint").alias("_code"))
     joined = df.join(settle(codes, "codes"), F.col(column) == F.col("_value"), "left")
-    return joined.withColumn(result, F.coalesce(F.col("_code"), F.lit(-1))).drop("_value", "_code")
+    return joined.withColumn(result, F.coalesce(F.col("_code"), F.lit(-1).cast("bigint"))).drop("_value", "_code")
 
 
 def hash_positions(df: DataFrame, seed: int | str, row_key: Sequence[str], result: str,

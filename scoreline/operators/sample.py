@@ -40,8 +40,13 @@ def _nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str | None:
         prefix = group["p"]
         if group["n"] <= _SMALL_BUCKET:
             break
-    last = hashes.where(F.col("h").startswith(prefix)).orderBy("h").limit(wanted)
-    return last.agg(F.max("h")).first()[0]
+    # At most _SMALL_BUCKET rows, or equal hashes only.
+    for value, n in sorted(hashes.where(F.col("h").startswith(prefix)).groupBy("h").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if n > 1:
+            raise ValueError("the row key of a sample is not unique")
+        wanted -= n
+        if not wanted:
+            return value
 
 
 def _chosen(df: DataFrame, size: Callable[[int], int], seed: int | str, row_key: Sequence[str]) -> Column:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from math import exp, lgamma, log
+from math import exp, isqrt, lgamma, log, log1p, pi
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import settle
+
 
 @dataclass(frozen=True)
 class Scaling:
@@ -55,58 +56,40 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> Scaling:
     return Scaling(found["mean"], {c: found["sd"][c] or 1.0 for c in columns})
 
 
+#: Pairs of columns in one aggregate: more make generated code that the JVM does not compile.
+_PAIRS_AT_ONCE = 40
+
+
 def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
     """Rows (column_1, column_2, correlation) for every pair of a left and a right column.
 
-    Each partition adds up the products of its columns in matrix form, so the
-    width of the table does not widen the plan; the sums per pair are merged by
-    Spark. A pair uses the rows that have both values; a constant column has no
-    correlation. Columns are centred first to keep the digits.
+    A pair uses the rows that have both values; NaN counts as missing, and a constant
+    column has no correlation. Up to forty pairs take one pass of the JVM's own
+    aggregate; for more the columns are written once and read in slices of pairs.
     """
     names = list(dict.fromkeys([*left, *right]))
-    found = _numbers(df, names, {"mean": F.avg, "lo": F.min, "hi": F.max})
-    means = np.array([np.nan if found["mean"][c] is None else found["mean"][c] for c in names])
-    varied = {c: found["lo"][c] is not None and found["lo"][c] < found["hi"][c] for c in names}
-    rows, places = [names.index(c) for c in left], [names.index(c) for c in right]
-
-    def partial_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, sx, sy, sxx, syy, sxy = (np.zeros((len(rows), len(places))) for _ in range(6))
-        for frame in frames:
-            values = frame.to_numpy(dtype=float) - means
-            present = ~np.isnan(values)
-            values, flags = np.where(present, values, 0.0), present.astype(float)
-            x, y, has_x, has_y = values[:, rows].T, values[:, places], flags[:, rows].T, flags[:, places]
-            n += has_x @ has_y
-            sx += x @ has_y
-            sy += has_x @ y
-            sxx += (x * x) @ has_y
-            syy += has_x @ (y * y)
-            sxy += x @ y
-        one, two = np.indices(n.shape).reshape(2, -1)
-        yield pd.DataFrame({"one": one, "two": two, "n": n.ravel(), "sx": sx.ravel(), "sy": sy.ravel(),
-                            "sxx": sxx.ravel(), "syy": syy.ravel(), "sxy": sxy.ravel()})
-
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    sums = numbers.mapInPandas(
-        partial_sums, "one int, two int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    ).groupBy("one", "two").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-
-    def spread(squares: str, total: str) -> Column:
-        value = F.col("n") * F.col(squares) - F.col(total) * F.col(total)
-        # What is left of a column that is constant on the shared rows is rounding.
-        return F.when(value > F.lit(1e-12) * F.col("n") * F.col(squares), value)
-
-    product = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    correlation = F.try_divide(product, F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
-
-    def label(columns: Sequence[str], place: str) -> Column:
-        return F.array(*[F.lit(c) for c in columns])[F.col(place)]
-
-    def known(columns: Sequence[str], place: str) -> Column:
-        return F.array(*[F.lit(varied[c]) for c in columns])[F.col(place)]
-
-    return sums.select(label(left, "one").alias("column_1"), label(right, "two").alias("column_2"),
-                       F.when(known(left, "one") & known(right, "two"), correlation).alias("correlation"))
+    pairs = list(dict.fromkeys(tuple(sorted((a, b), key=names.index)) for a in left for b in right))
+
+    def number(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.when(~F.isnan(value), value)
+
+    def correlation(a: str, b: str) -> Column:
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    rows = df.select(*[number(c).alias(f"_{i}") for i, c in enumerate(names)])
+    if len(pairs) > _PAIRS_AT_ONCE:
+        rows = settle(rows, "correlated")
+    found = None
+    for at in range(0, len(pairs), _PAIRS_AT_ONCE):
+        some = pairs[at:at + _PAIRS_AT_ONCE]
+        one_row = rows.agg(*[correlation(f"_{names.index(a)}", f"_{names.index(b)}").alias(f"r{i}") for i, (a, b) in enumerate(some)])
+        cells = [F.struct(F.lit(c).alias("column_1"), F.lit(d).alias("column_2"), F.col(f"r{i}").alias("correlation"))
+                 for i, (a, b) in enumerate(some) for c, d in dict.fromkeys([(a, b), (b, a)]) if c in left and d in right]
+        part = one_row.select(F.inline(F.array(*cells)))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def correlation_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -133,10 +116,11 @@ def zero_variance_features(df: DataFrame, features: Sequence[str]) -> list[str]:
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
-    tiny = 1e-300
+    # Converges within some sqrt(max(a, b)) steps.
+    tiny, steps = 1e-300, 1000 + 20 * isqrt(int(max(a, b)))
     c, d = 1.0, 1.0 / max(1.0 - (a + b) * x / (a + 1.0), tiny)
     value = d
-    for m in range(1, 500):
+    for m in range(1, steps):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         for step in (even, odd):
@@ -145,21 +129,45 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = 1.0 + step / c
             c = c if abs(c) > tiny else tiny
             value *= c * d
-        if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+        if abs(c * d - 1.0) < 4e-16:
+            return value
+    raise ArithmeticError(f"the incomplete beta function of {a} and {b} at {x} does not converge")
+
+
+def _log_gamma_rest(a: float) -> float:
+    """ln(gamma(a)) without its large terms, (a - 1/2) ln(a) - a + ln(2 pi) / 2, for a of 10 and more."""
+    return 1 / (12 * a) - 1 / (360 * a**3) + 1 / (1260 * a**5) - 1 / (1680 * a**7)
+
+
+def _log_front(a: float, b: float, x: float, rest: float) -> float:
+    """ln(x^a rest^b / B(a, b)), without differences of large logarithms; ``rest`` is 1 - x."""
+    if min(a, b) >= 10:
+        n = a + b
+        # Every large term is the logarithm of a ratio near one.
+        large = a * log1p((x * n - a) / a) + b * log1p((rest * n - b) / b)
+        return large + 0.5 * log(a * b / (2 * pi * n)) + _log_gamma_rest(n) - _log_gamma_rest(a) - _log_gamma_rest(b)
+    if max(a, b) >= 10:
+        small, big = min(a, b), max(a, b)
+        n = a + b
+        # lgamma(n) - lgamma(big) by Stirling's series, where lgamma itself would lose all digits.
+        ratio = (big - 0.5) * log1p(small / big) + small * log(n) - small + _log_gamma_rest(n) - _log_gamma_rest(big)
+        p, q = (x, rest) if a <= b else (rest, x)
+        return ratio - lgamma(small) + small * log(p) + big * (log1p(-p) if p < 0.5 else log(q))
+    return lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(rest)
 
 
 def f_distribution_tail(f: float, df1: float, df2: float) -> float:
     """P(F > f) by the continued fraction of the incomplete beta function."""
     if f <= 0.0:
         return 1.0
-    x = df2 / (df2 + df1 * f)
+    x, rest = df2 / (df2 + df1 * f), df1 * f / (df2 + df1 * f)
     a, b = df2 / 2.0, df1 / 2.0
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1.0 - x)) if x < 1.0 else 0.0
+    if x == 0.0 or rest == 0.0:
+        return 0.0 if x == 0.0 else 1.0
+    front = exp(_log_front(a, b, x, rest))
     if x < (a + 1.0) / (a + b + 2.0):
         return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
+    return 1.0 - front * _beta_fraction(b, a, rest) / b
 
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -169,10 +177,11 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
     """
     groups = df.where(F.col(value).isNotNull()).groupBy(group).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"))
-    n = F.sum("n")
-    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - \
-        F.try_divide(F.sum(F.col("n") * F.col("mean")) * F.sum(F.col("n") * F.col("mean")), n)
-    sums = groups.agg(n.alias("n"), F.count(F.lit(1)).alias("groups"), between.alias("between"),
+    # Written, as the total mean is taken first: differences from it keep the digits that squares of large means lose.
+    groups = settle(groups, "groups")
+    total = groups.agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n"))).first()[0]
+    gap = F.col("mean") - F.lit(total)
+    sums = groups.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"), F.sum(F.col("n") * gap * gap).alias("between"),
                       F.sum(F.col("n") * F.col("var")).alias("within"))
     tested = sums.select(
         F.try_divide(F.try_divide(F.col("between"), F.col("groups") - 1),

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import equality_label, ratio
+from ..models.split import mark_test
 from ..operators.aggregate import mean_by_keys
 from ..operators.joins import map_lookup, role_playing_join
 from ..operators.sample import add_noisy, add_swapped, pairwise_difference
 from ..operators.stats import Scaling, fit_minmax
+from ..storage import settle
 
 
 def per_map_rates(players: DataFrame, rates: Mapping[str, tuple[str, str]], keep: Sequence[str]) -> DataFrame:
@@ -39,19 +41,20 @@ def difference_names(metrics: Sequence[str]) -> list[str]:
 
 
 def match_features(matches: DataFrame, teams: DataFrame, metrics: Sequence[str], swap_share: float = 0.5,
-                   noise_share: float = 0.0, noise: float = 0.08, seed: int = 42) -> tuple[DataFrame, Scaling]:
+                   noise_share: float = 0.0, noise: float = 0.08, seed: int = 42,
+                   test_percent: int | None = None) -> tuple[DataFrame, Scaling]:
     """The training table of decided matches and the scaling fitted on it.
 
     ``matches`` has match_id, season, both team ids and scores and the winner.
     A share of the matches is added with the sides exchanged, a share of those
-    rows with noise. Label 1 means that the second team won. Nothing wide is
-    written: the bounds and the table are computed from ``matches`` and
-    ``teams``, which should be settled.
+    rows with noise. Label 1 means that the second team won. With a test percentage the
+    table has ``is_test`` (by match), and only the other rows set the bounds. The paired
+    matches are written once; samples, bounds and table are taken from them.
     """
     sides = {"team1": ["team_1_id", "season"], "team2": ["team_2_id", "season"]}
     base = ["match_id", "season", "team_1_id", "team_2_id", "team_1_score", "team_2_score", "winner_id"]
-    paired = paired_matches(matches.where(F.col("winner_id").isNotNull()), teams, metrics, base, sides,
-                            ["team_id", "season"])
+    paired = settle(paired_matches(matches.where(F.col("winner_id").isNotNull()), teams, metrics, base, sides,
+                                   ["team_id", "season"]), "paired")
     flags = []
     if swap_share:
         paired = add_swapped(paired, swap_share, seed, ["match_id"])
@@ -63,7 +66,11 @@ def match_features(matches: DataFrame, teams: DataFrame, metrics: Sequence[str],
     label = equality_label(F.col("winner_id"), F.col("team_2_id")).alias("label")
     keep = ["match_id", F.col("season").alias("year"), *flags, "team_1_score", "team_2_score", label]
     table = pairwise_difference(paired, metrics, keep)
-    scaling = fit_minmax(table, difference_names(metrics))
+    fitted = table
+    if test_percent is not None:
+        table = mark_test(table, test_percent, seed, ["match_id"])
+        fitted = table.where("is_test = 0")
+    scaling = fit_minmax(fitted, difference_names(metrics))
     return scaling.apply(table), scaling
 
 
@@ -73,11 +80,12 @@ def coming_features(games: DataFrame, names: DataFrame, teams: DataFrame, metric
 
     ``games`` has game_id, two team names and the season whose averages count;
     ``names`` has name and id, of equal names the last id counts. A team without
-    averages gives NULL features.
+    averages gives NULL features. The ids of the teams are kept.
     """
     for side in ("team_1", "team_2"):
         games = map_lookup(games, f"{side}_name", names, "name", "id", f"{side}_id", ["id"])
-    paired = paired_matches(games, teams, metrics, ["game_id", "season"],
+    keep = ["game_id", "season", "team_1_id", "team_2_id"]
+    paired = paired_matches(games, teams, metrics, keep,
                             {"team1": ["team_1_id", "season"], "team2": ["team_2_id", "season"]},
                             ["team_id", "season"], how="left")
-    return scaling.apply(pairwise_difference(paired, metrics, ["game_id", "season"]))
+    return scaling.apply(pairwise_difference(paired, metrics, keep))

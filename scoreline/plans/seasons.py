@@ -36,7 +36,8 @@ def rolling_form(sides: DataFrame, lines: DataFrame, ratings: Sequence[str], n:
     ``sides`` has team_id, match_id and played_at, ``lines`` match_id, player_id
     and for every rating a sum and ``<rating>_games``. A player's rating is the
     sum over the matches by the games played; the players are added up and
-    divided by the number of matches that the team really has.
+    divided by the number of matches that the team really has. The quotient is rounded
+    to nine digits before it is cut, so that the order of addition does not show.
     """
     last = settle(latest_n(sides, ["team_id"], ["played_at", "match_id"], n).select("team_id", "match_id"), "last")
     played = last.groupBy("team_id").agg(F.count(F.lit(1)).alias("_matches"))
@@ -45,4 +46,4 @@ def rolling_form(sides: DataFrame, lines: DataFrame, ratings: Sequence[str], n:
     teams = players.groupBy("team_id").agg(
         *[F.sum(ratio(F.col(r), F.col(f"{r}_games"))).alias(r) for r in ratings])
     return teams.join(settle(played, "played"), "team_id").select(
-        "team_id", *[trunc_decimals(F.col(r) / F.col("_matches"), digits).alias(f"{r}_avg") for r in ratings])
+        "team_id", *[trunc_decimals(F.round(F.col(r) / F.col("_matches"), 9), digits).alias(f"{r}_avg") for r in ratings])

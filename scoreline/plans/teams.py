@@ -22,14 +22,14 @@ def roster_standings(standings: DataFrame, teams: DataFrame, current: DataFrame,
 
     Standings carry the team's name and percent texts. A player without a
     current team gets the one of the list of all players; players without any
-    are left out.
+    are left out. A team without a standing keeps its players.
     """
-    ranked = join_on(teams, standings, {"name": "team"}, "right").drop("team")
+    ranked = join_on(teams, standings, {"name": "team"}, "left").drop("team")
     ranked = ranked.withColumns({p: percent_to_ratio(F.col(p)) for p in percents})
     placed = lookup_with_fallback(statistics, [(current, "tag", "tag", "team_id"), (everyone, "tag", "tag", "team_id")],
                                   "team_id")
     placed = placed.where(F.col("team_id").isNotNull())
-    return placed.join(ranked.withColumnRenamed("id", "team_id"), "team_id")
+    return placed.join(ranked.withColumnRenamed("id", "team_id"), "team_id", "left")
 
 
 def compositions(roster: DataFrame, keys: Sequence[str], role: str, roles: Mapping[object, str]) -> DataFrame:
@@ -40,9 +40,13 @@ def compositions(roster: DataFrame, keys: Sequence[str], role: str, roles: Mappi
 
 def team_rows(roster: DataFrame, record: DataFrame, keys: Sequence[str], role: str, roles: Mapping[object, str],
               names: Mapping[str, str], win_rate: str) -> DataFrame:
-    """Role counts, composition key, name and win rate, one row per team."""
+    """Role counts, composition key, name and win rate, one row per team.
+
+    A record may have fewer of the keys: parts of a team share its win rate.
+    """
     counts = compositions(roster, keys, role, roles).join(constant_by_key(roster, keys, names), list(keys))
-    return counts.join(record.select(*keys, win_rate), list(keys))
+    of_record = [k for k in keys if k in record.columns]
+    return counts.join(record.select(*of_record, win_rate), of_record)
 
 
 def team_comparison(roster: DataFrame, record: DataFrame, keys: Sequence[str], role: str,

@@ -16,10 +16,12 @@ def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimat
                    test_percent: int = 15, seed: int = 42) -> tuple[Model, DataFrame]:
     """Fit on the training matches with balanced classes: the model and all rows with predictions.
 
-    The split goes by the match, so mirrored and noisy copies of a match stay on
+    The split (``is_test``, if the table has it) goes by the match, so mirrored and noisy copies of a match stay on
     its side of it. ``estimator`` must not have a weight column yet.
     """
-    marked = split.add_class_weights(split.mark_test(table, test_percent, seed, row_key), label)
+    if "is_test" not in table.columns:
+        table = split.mark_test(table, test_percent, seed, row_key)
+    marked = split.add_class_weights(table, label)
     keep = [c for c in marked.columns if c not in features]
     rows = train.training_table(marked, features, row_key, keep)
     model = estimator.copy().setWeightCol("weight").fit(rows.where(F.col("is_test") == 0))
@@ -33,7 +35,10 @@ def accuracy_by_part(scored: DataFrame, label: str, prediction: str = "predictio
     return parts[0].unionByName(parts[1])
 
 
-def held_out_report(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """Precision, recall and f1 per class on the held-out matches."""
-    return class_report(scored.where(F.col("is_test") == 1).withColumn(
+def held_out_report(scored: DataFrame, label: str, prediction: str = "prediction", copies: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and f1 per class on the held-out matches, without rows that a flag in ``copies`` marks as made."""
+    held = scored.where(F.col("is_test") == 1)
+    for flag in copies:
+        held = held.where(F.col(flag) == 0)
+    return class_report(held.withColumn(
         prediction, F.col(prediction).cast(scored.schema[label].dataType)), label, prediction)

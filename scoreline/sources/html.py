@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_name
+from ..session import ship_package
+from ..storage import settle
 
-# Fixed value: an anchor with a quoted target, and its text up to the end tag.
-_LINK = r'<a href="([^"]*)">([^<]*)</a>'
+# An anchor with its target in double, single or no quotes, its inner markup, and a tag in that.
+LINK = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>"""
+TAG = r"<[^>]*>"
 
 
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """Every link of a page: key, position from 1, target and text."""
-    found = F.arrays_zip(
-        F.regexp_extract_all(F.col(html), F.lit(_LINK), F.lit(1)).alias("href"),
-        F.regexp_extract_all(F.col(html), F.lit(_LINK), F.lit(2)).alias("label"))
-    return pages.select(key, F.posexplode(found).alias("position", "link")).select(
-        key, (F.col("position") + 1).alias("position"),
-        F.col("link").getItem("href").alias("href"), F.col("link").getItem("label").alias("label"))
+    """Every link of a page: key, position from 1, target and text without inner tags."""
+    parts = [F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(i)) for i in range(1, 5)]
+    found = F.arrays_zip(*[p.alias(f"g{i}") for i, p in enumerate(parts)])
+    rows = pages.select(key, F.posexplode(found).alias("position", "link")).select(key, "position", "link.*")
+    places = [c for c in rows.columns if c not in (key, "position")]
+    return rows.select(key, (F.col("position") + 1).alias("position"),
+                       F.concat(*[F.col(f"`{p}`") for p in places[:3]]).alias("href"),
+                       F.regexp_replace(F.col(f"`{places[3]}`"), F.lit(TAG), F.lit("")).alias("label"))
 
 
 def _span(attributes: list[tuple[str, str | None]], name: str) -> int:
@@ -115,6 +120,22 @@ class _TableReader(HTMLParser):
             self._open.pop().end_row()
 
 
+#: Rows of pages that a task gathers before it hands them on.
+_ROWS_AT_ONCE = 5000
+
+
+def _tables(text: str | None) -> list[_Table]:
+    reader = _TableReader()
+    reader.feed(text or "")
+    reader.close()
+    return reader.tables
+
+
+def _in_parts(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    while part := list(islice(rows, _ROWS_AT_ONCE)):
+        yield pd.DataFrame(part, columns=columns)
+
+
 def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Every row of every HTML table: key, table and row number from 0, cells.
 
@@ -122,37 +143,61 @@ def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = []
-            for name, text in zip(frame[key], frame[html], strict=True):
-                reader = _TableReader()
-                reader.feed(text or "")
-                reader.close()
-                found += [(name, table.number, number, cells)
-                          for table in reader.tables for number, cells in enumerate(table.rows)]
-            yield pd.DataFrame(found, columns=[key, "table_no", "row_no", "cells"])
+        rows = ((name, table.number, number, cells) for frame in frames for name, text in zip(frame[key], frame[html], strict=True)
+                for table in _tables(text) for number, cells in enumerate(table.rows))
+        return _in_parts(rows, [key, "table_no", "row_no", "cells"])
 
+    ship_package(pages.sparkSession)
     key_type = pages.schema[key].dataType.simpleString()
     return pages.select(key, html).mapInPandas(
         read, f"`{key}` {key_type}, table_no int, row_no int, cells array<string>")
 
 
+def _named(header: list[list[str]], rule: Callable[[str], str]) -> list[str | None]:
+    """The name of each column: its header cells joined; a repeated name is numbered, a column without a name has none."""
+    names: list[str | None] = []
+    for levels in zip(*header, strict=False):
+        plain = rule("_".join(levels)) if any(levels) else ""
+        name, repeated = plain, 0
+        while name and name in names:
+            repeated += 1
+            name = f"{plain}.{repeated}"
+        names.append(name or None)
+    return names
+
+
+def table_records(pages: DataFrame, key: str, html: str, table_no: int, header_rows: int = 2,
+                  rule: Callable[[str], str] = clean_name) -> DataFrame:
+    """The rows of one table of every page: key, row number from 0, and the cells by the names in the page's own header.
+
+    ``names`` has the names in the order of their columns; columns without a name are left out.
+    """
+
+    def records(table: _Table) -> Iterator[tuple[int, list[str], dict[str, str]]]:
+        names = _named(table.rows[:header_rows], rule)
+        for number, cells in enumerate(table.rows[header_rows:]):
+            yield number, [n for n in names if n], {n: c for n, c in zip(names, cells, strict=False) if n}
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((name, *record) for frame in frames for name, text in zip(frame[key], frame[html], strict=True)
+                for table in _tables(text) if table.number == table_no for record in records(table))
+        return _in_parts(rows, [key, "row_no", "names", "cells"])
+
+    ship_package(pages.sparkSession)
+    key_type = pages.schema[key].dataType.simpleString()
+    return pages.select(key, html).mapInPandas(read, f"`{key}` {key_type}, row_no int, names array<string>, cells map<string,string>")
+
+
 def wide_table(pages: DataFrame, key: str, html: str, table_no: int, header_rows: int = 2,
-               rule: Callable[[str], str] = clean_name) -> DataFrame:
-    """One table of every page as text columns named by its header rows.
+               rule: Callable[[str], str] = clean_name, most_columns: int = 1000) -> DataFrame:
+    """One table of every page as text columns, united by name; a page lacks what its header lacks (NULL).
 
-    The names come from the page with the smallest key; all pages share the layout.
+    Columns come in the order of their first place in any page, then by name. The names
+    are collected; more than ``most_columns`` are an error.
     """
-    rows = table_rows(pages, key, html).where(F.col("table_no") == table_no)
-    first = pages.agg(F.min(key)).first()[0]
-    header = table_rows(pages.where(F.col(key) == F.lit(first)), key, html).where(
-        (F.col("table_no") == table_no) & (F.col("row_no") < header_rows)).orderBy("row_no").collect()
-    names: list[str] = []
-    for levels in zip(*[r["cells"] for r in header], strict=True):
-        name, repeated = rule("_".join(levels)), 0
-        while name in names:
-            repeated += 1
-            name = f"{rule('_'.join(levels))}.{repeated}"
-        names.append(name)
-    return rows.where(F.col("row_no") >= header_rows).select(
-        key, *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    records = settle(table_records(pages, key, html, table_no, header_rows, rule), "records")
+    found = records.select(F.posexplode("names").alias("place", "name")).groupBy("name").agg(F.min("place").alias("place"))
+    names = [r["name"] for r in found.orderBy("place", "name").limit(most_columns + 1).collect()]
+    if len(names) > most_columns:
+        raise ValueError(f"the pages' headers have more than {most_columns} names")
+    return records.select(key, *[F.col("cells").getItem(n).alias(n) for n in names])

@@ -1,24 +1,48 @@
-"""Writing tables."""
+"""Writing tables.
+
+Rows are first written to a folder beside the table, and its files then renamed into
+place: the plan runs once, and a job that dies leaves the table as it was.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, mode: str) -> bool:
     """Replace or append to a Parquet table; an empty frame writes nothing.
 
-    Returns whether anything was written.
+    Returns whether anything was written. Readers see the old or the new table; between
+    the two renames of a replacement, for a moment, none.
     """
-    modes = {"replace": "overwrite", "append": "append"}
-    if df.isEmpty():
+    if mode not in ("replace", "append"):
+        raise ValueError("mode must be 'replace' or 'append'")
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    old, new = jvm.Path(path), jvm.Path(staged)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if spark.read.schema(df.schema).parquet(staged).isEmpty():
+        files.delete(new, True)
         return False
-    df.write.mode(modes[mode]).parquet(path)
+    if mode == "append" and files.exists(old):
+        for status in files.listStatus(new):
+            if status.getPath().getName().startswith("part-"):
+                files.rename(status.getPath(), jvm.Path(old, status.getPath().getName()))
+        files.delete(new, True)
+    else:
+        before = jvm.Path(f"{staged}-before")
+        existed = files.exists(old) and files.rename(old, before)
+        files.rename(new, old)
+        if existed:
+            files.delete(before, True)
     return True
 
 
 def replace_table(df: DataFrame, path: str) -> bool:
-    """Replace the table. The frame must not read from the same path."""
+    """Replace the table."""
     return write_table(df, path, "replace")
 
 

@@ -18,21 +18,23 @@ from pyspark.sql import types as T
 from ..operators.order import keep_one, latest_n
 
 
-def read_arriving(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1) -> DataFrame:
-    """A stream of the Parquet files that arrive in a folder."""
+def read_arriving(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
+    """A stream of the Parquet files that arrive in a folder, many to a batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def run_to_log(stream: DataFrame, log: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame],
-               timeout: int = 600) -> None:
-    """Process everything that has arrived, then stop."""
+               timeout: int | None = None) -> None:
+    """Process everything that has arrived, then stop; without a limit in seconds it takes as long as it takes."""
 
     def write(batch: DataFrame, number: int) -> None:
         reduce(batch).write.mode("overwrite").parquet(f"{log}/batch_no={number}")
 
     running = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()
-    if not running.awaitTermination(timeout):
+    if timeout is None:
+        running.awaitTermination()
+    elif not running.awaitTermination(timeout):
         running.stop()
         raise TimeoutError(f"the stream did not finish within {timeout} seconds")
 
@@ -49,7 +51,7 @@ def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
 
 
 def stream_upsert_latest(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
-                         order: Sequence[str], timeout: int = 600) -> DataFrame:
+                         order: Sequence[str], timeout: int | None = None) -> DataFrame:
     """The newest row per key, by ``order`` and then by arrival."""
     run_to_log(stream, log, checkpoint, lambda batch: keep_one(batch, keys, order, keep="last"), timeout)
     merged = read_log(stream.sparkSession, log, stream.schema)
@@ -57,7 +59,7 @@ def stream_upsert_latest(stream: DataFrame, log: str, checkpoint: str, keys: Seq
 
 
 def stream_rolling_last_n(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
-                          order: Sequence[str], value: str, n: int = 3, timeout: int = 600) -> DataFrame:
+                          order: Sequence[str], value: str, n: int = 3, timeout: int | None = None) -> DataFrame:
     """The mean of the last ``n`` values per key, and how many there were."""
     run_to_log(stream, log, checkpoint, lambda batch: latest_n(batch, keys, order, n), timeout)
     merged = read_log(stream.sparkSession, log, stream.schema)

@@ -4,14 +4,13 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from scoreline.catalog.registry import QUERIES, Tables
+from scoreline.catalog.registry import QUERIES, Tables, oracles
 from scoreline.operators import joins, order, sample
 from scoreline.models import train
 from scoreline.plans import features, seasons, teams, winner
 from scoreline.storage import settle
 
-ROWS_ONLY = sorted(set(entry.queries()) - set(entry.oracle_sql()))
+ROWS_ONLY = sorted(set(QUERIES) - set(oracles()))
 
 
 def plan_of(df):
@@ -56,7 +55,7 @@ def test_coming_games_without_averages_are_null(frame, played, teams_table):
     names = frame([("A", 1), ("B", 2), ("B", 9)], "name string, id int")
     games = frame([(1, "A", "A", 2024), (2, "A", "B", 2024), (3, "A", "Z", 2024)], "game_id int, team_1_name string, team_2_name string, season int")
     assert rows_of(features.coming_features(games, names, teams_table, ["mw"], scaling)) == [
-        (1, 2024, 0.5), (2, 2024, None), (3, 2024, None)]
+        (1, 2024, 1, 1, 0.5), (2, 2024, 1, 9, None), (3, 2024, 1, None, None)]
 
 
 def test_roster_standings_fallback(frame):

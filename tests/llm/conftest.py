@@ -1,11 +1,7 @@
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SCHEMA = ("doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, id STRING, row STRING, fp INT, digest INT, kept STRING, "
           "tokens STRING, removed INT, hash STRING, root INT, slot STRING, score STRING, length STRING, _key INT, vector INT")
 

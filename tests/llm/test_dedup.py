@@ -3,7 +3,6 @@
 import random
 from collections import Counter
 
-import brute
 import pytest
 
 from scoreline.llm import exact, simhash, suffix, windows
@@ -11,6 +10,8 @@ from scoreline.llm.common import workspace
 from scoreline.llm.components import connect
 from scoreline.llm.sketch import pack_gaps, repeats, unpack_gaps
 
+from . import brute
+
 
 def tuples(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)

@@ -5,7 +5,6 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-import brute
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -15,6 +14,8 @@ from tokenizers import Tokenizer
 
 from scoreline.llm import mixing, packing, secrets, sharding, toxicity, vectors
 
+from . import brute
+
 VOCABULARY = public_tokenizers.path(packing.VOCABULARY)
 
 

@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 
 from ..session import ship_package
 from .common import STEP_BYTES, slices
+from .rolling import mix
 
-#: Cells of a row as a power of two: two rows of bits are 64 MB, which bounds what is broadcast.
-CELL_BITS = 28
+#: Cells of a row as a power of two: two rows of bits are 128 MB, which bounds what is broadcast.
+CELL_BITS = 29
 ROWS = 2
 _SEGMENT_BITS = 20
 #: Hashes that a task sketches before it writes; more make the gaps smaller.
@@ -39,6 +40,11 @@ class Repeats:
     def __init__(self, bits: int) -> None:
         self.bits, self.rows = bits, np.zeros((ROWS, (1 << bits) // 8), np.uint8)
 
+    def add(self, hashes: np.ndarray) -> None:
+        for row in range(ROWS):
+            cell = _cells(hashes, row, self.bits)
+            np.bitwise_or.at(self.rows[row], (cell >> np.uint64(3)).astype(np.int64), np.uint8(1) << (cell & np.uint64(7)).astype(np.uint8))
+
     def test(self, hashes: np.ndarray) -> np.ndarray:
         passed = np.ones(len(hashes), bool)
         for row in range(ROWS):
@@ -47,6 +53,49 @@ class Repeats:
         return passed
 
 
+def members(df: DataFrame, column: str, bits: int = 26) -> Broadcast:
+    """Bits that tell which numbers may be among those of a column: two rows of ``2 ** bits`` whatever the input."""
+    spark = df.sparkSession
+    ship_package(spark)
+    size = 1 << min(18, bits) >> 3
+
+    def packed(segment: int, some: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([zlib.compress(some.tobytes(), 1)], pa.binary())], ["segment", "cells"])
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = Repeats(bits)
+        for batch in batches:
+            bitmap.add(mix(batch.column(0).to_numpy().view(np.uint64)))
+        for row in range(ROWS):
+            for i, some in enumerate(bitmap.rows[row].reshape(-1, size)):
+                if some.any():
+                    yield packed(row << 16 | i, some)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, merged = None, np.zeros(size, np.uint8)
+        for batch in batches:
+            for segment, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if segment != at:
+                    if at is not None:
+                        yield packed(at, merged)
+                    at, merged = segment, np.zeros(size, np.uint8)
+                merged |= np.frombuffer(zlib.decompress(data), np.uint8)
+        if at is not None:
+            yield packed(at, merged)
+
+    made = df.select(column).mapInArrow(own, "segment int, cells binary").repartition("segment").sortWithinPartitions("segment").mapInArrow(merge, "segment int, cells binary")
+    return spark.sparkContext.broadcast(_gathered(made, bits))
+
+
+def _gathered(segments: DataFrame, bits: int) -> Repeats:
+    bitmap = Repeats(bits)
+    for r in segments.toLocalIterator():
+        row, segment = r["segment"] >> 16, r["segment"] & 0xFFFF
+        some = np.frombuffer(zlib.decompress(bytes(r["cells"])), np.uint8)
+        bitmap.rows[row][segment * len(some):(segment + 1) * len(some)] = some
+    return bitmap
+
+
 def pack_gaps(cells: np.ndarray) -> bytes:
     """Sorted numbers as bytes: 255 means go on, anything less ends a gap."""
     gaps = np.diff(cells, prepend=0)
@@ -116,9 +165,4 @@ def repeats(df: DataFrame, text: str, hashes: Callable[[pa.RecordBatch], np.ndar
             yield done()
 
     made = df.mapInArrow(touched, "segment int, cells binary").repartition("segment").sortWithinPartitions("segment").mapInArrow(merge, "segment int, cells binary")
-    bitmap = Repeats(bits)
-    for r in made.toLocalIterator():
-        row, segment = r["segment"] >> 16, r["segment"] & 0xFFFF
-        some = np.frombuffer(zlib.decompress(bytes(r["cells"])), np.uint8)
-        bitmap.rows[row][segment * len(some):(segment + 1) * len(some)] = some
-    return spark.sparkContext.broadcast(bitmap)
+    return spark.sparkContext.broadcast(_gathered(made, bits))

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from . import sketch
+from .common import arrow_map
+from .rolling import mix
 
 
 def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -59,12 +62,23 @@ def by_group(process: Callable[[pa.Table], pa.RecordBatch], group: str, least: i
     return run
 
 
-def finish(rows: DataFrame, removed: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Bring the removed places (row, place, n) of each row together with the row, and finish it.
+def finish(rows: DataFrame, removed: DataFrame, known: Callable[[pa.RecordBatch, np.ndarray], dict], columns: str,
+           work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """Bring the removed places (row, place, n; a written table) of each row together with the row, and finish it.
 
-    ``rows`` has id, row, what is known of rows that lose nothing, and the text of the
-    others only, so that no more than those texts is shuffled.
+    ``known`` gets rows and which of them may lose something, and returns id, row, ``columns``
+    (final for rows that lose nothing), and the text of the others only: no more texts than
+    those are shuffled. Bits of a fixed size tell the rows apart.
     """
+    shared = sketch.members(removed, "row")
+
+    def split(batch: pa.RecordBatch) -> dict:
+        hit = shared.value.test(mix(batch.column("row").to_numpy().view(np.uint64)))
+        texts = [t if h else None for h, t in zip(hit.tolist(), batch.column("text").to_pylist(), strict=True)]
+        return {"id": batch.column("id"), "row": batch.column("row"), "text": pa.array(texts, pa.string())} | known(batch, hit)
+
+    kind = dict(rows.dtypes)["id"]
+    rows = arrow_map(rows, split, f"id {kind}, row bigint, text string, {columns}")
     gathered = removed.groupBy("row").agg(F.collect_list(F.struct("place", "n")).alias("removed")).withColumnRenamed("row", "_row")
     joined = rows.join(gathered, F.col("row") == F.col("_row"), "left").drop("_row")
     ship_package(rows.sparkSession)

@@ -196,14 +196,11 @@ def entries(rows: DataFrame, shared: Broadcast, kind: str, length: int = LENGTH,
                      f"gram bigint, suffix binary, before binary, id {kind}, row bigint, place int", limit=_STEP)
 
 
-def _known(batch: pa.RecordBatch, length: int, gram: int, bits: sketch.Repeats) -> dict:
-    found = Anchors(batch.column("text"), length, gram)
-    hit = np.zeros(batch.num_rows, bool)
-    hit[found.text[bits.test(found.grams)]] = True
-    texts = batch.column("text").to_pylist()
-    return {"id": batch.column("id"), "row": batch.column("row"), "n_bytes": pa.array(np.diff(found.offsets), pa.int64()),
-            "kept_sha256": pa.array([None if h else hashlib.sha256((t or "").encode()).hexdigest() for h, t in zip(hit.tolist(), texts, strict=True)], pa.string()),
-            "text": pa.array([t if h else None for h, t in zip(hit.tolist(), texts, strict=True)], pa.string())}
+def _known(batch: pa.RecordBatch, hit: np.ndarray) -> dict:
+    """The number of bytes, and the digest of texts that lose nothing."""
+    data = [(t or "").encode() for t in batch.column("text").to_pylist()]
+    return {"n_bytes": pa.array([len(d) for d in data], pa.int64()),
+            "kept_sha256": pa.array([None if h else hashlib.sha256(d).hexdigest() for h, d in zip(hit.tolist(), data, strict=True)], pa.string())}
 
 
 def _cut(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
@@ -249,8 +246,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = G
         part = index.add(entries(rows.where(inside), shared, kind, length, gram))
         removed = part if removed is None else removed.unionByName(part)
     index.close()
-    known = arrow_map(rows, lambda batch: _known(batch, length, gram, shared.value), f"id {kind}, row bigint, n_bytes bigint, kept_sha256 string, text string", limit=_STEP)
-    done = spans.finish(known, removed, lambda batch: _cut(batch, length), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    done = spans.finish(rows, removed, _known, "n_bytes bigint, kept_sha256 string", lambda batch: _cut(batch, length),
+                        f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return done.withColumnRenamed("id", key)
 
 

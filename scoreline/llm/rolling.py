@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 
@@ -16,7 +16,7 @@ def _constants(seed: int, entries: int) -> tuple[np.ndarray, int, int]:
     return table, base % (1 << _WIDTH), pow(base, -1, 1 << _WIDTH)
 
 
-@cache
+@lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> np.ndarray:
     made = np.full(size, base, dtype=np.uint64)
     made[0] = 1
@@ -37,7 +37,7 @@ class Rolling:
 
     def __init__(self, symbols: np.ndarray, seed: int = 0, entries: int = 256) -> None:
         table, base, inverse = _constants(seed, entries)
-        size = 1 << max(16, int(len(symbols)).bit_length())
+        size = 1 << max(20, int(len(symbols)).bit_length())
         self.undo = _powers(inverse, size)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(table[symbols] * _powers(base, size)[:len(symbols)], out=self.sums[1:])

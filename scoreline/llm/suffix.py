@@ -37,6 +37,8 @@ BATCHES = 3
 #: The sketch has one entry per anchor, some 30 bytes apart; two rows of bits are 32 MB.
 CELL_BITS = 27
 _STEP = 1 << 20
+#: Entries that a task scans at once, if no gram has more; the tables of powers are some hundred times their bytes.
+_ENTRIES = 5_000
 
 
 class Anchors:
@@ -177,7 +179,7 @@ class SuffixIndex:
         ship_package(self.spark)
         length = self.length
         sorted_rows = both.repartition("gram").sortWithinPartitions("gram", "suffix")
-        removed = settle(sorted_rows.mapInArrow(spans.by_group(lambda table: _scan(table, length), "gram", 20_000), "row bigint, place int, n int"), "removed")
+        removed = settle(sorted_rows.mapInArrow(spans.by_group(lambda table: _scan(table, length), "gram", _ENTRIES), "row bigint, place int, n int"), "removed")
         self.levels.append((1, level))
         return removed
 

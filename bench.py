@@ -9,8 +9,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
+from pyspark.sql import SparkSession
+
 from scoreline.catalog import QUERIES
 from scoreline.session import build_session
 
@@ -26,7 +29,11 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-    spark = build_session(f"local[{cpus}]", max(cpus, 4), "scoreline-bench")
+    with tempfile.TemporaryDirectory(prefix="scoreline-bench-") as shared:
+        measure(build_session(f"local[{cpus}]", max(cpus, 4), "scoreline-bench", shared), folder, cpus)
+
+
+def measure(spark: SparkSession, folder: str, cpus: int) -> None:
     spark.sparkContext.setLogLevel("OFF")
     names = sys.argv[1:] or HEADLINE
 

@@ -14,7 +14,7 @@ from ..functions.numbers import argmax, equality_label
 from ..functions.seeded import hash_gaussian
 from ..models import evaluate, simulate, split, train
 from ..operators.joins import role_playing_join
-from ..plans import features, winner
+from ..plans import features, teams, winner
 from ..storage import settle
 from . import views
 from .flows import METRICS, flow_role_matchup, noise_sql, team_features, training_features
@@ -173,10 +173,9 @@ def ml_boosted_trees(t):
 
 @query("ml_early_stopping")
 def ml_early_stopping(t):
-    rows = Training(t).assembled().withColumn("validation", F.col("is_test") == 1)
-    model = train.boosted_with_early_stop("label", "validation", rounds=30, depth=3).fit(rows)
-    held = model.transform(rows.where("validation"))
-    return held.select(*_PREDICTED, F.lit(model.getNumTrees).alias("rounds"))
+    fitted, held = _parts(Training(t).assembled())
+    model = train.fit_with_patience(train.boosted(rounds=100, depth=4), fitted, held, patience=50)
+    return model.transform(held).select(*_PREDICTED, F.lit(model.getNumTrees).alias("rounds"))
 
 
 def _members():
@@ -382,6 +381,36 @@ def flow_winner_report(t):
     return winner.held_out_report(scored, "label", copies=["swapped", "noisy"])
 
 
+@query("flow_winner_search")
+def flow_winner_search(t):
+    """Search, refit and the report on held-out originals; a part of the 50 draws and of the rounds."""
+    table, _ = training_features(t, swap_share=0.5, noise_share=0.25, test_percent=15)
+    _, scored, _ = winner.search_and_hold(settle(table), _DIFFS, train.boosted(rounds=10), train.BOOSTED_SETTINGS, "label", ["match_id"],
+                                          draws=3, folds=3)
+    return winner.held_out_report(scored, "label", copies=["swapped", "noisy"])
+
+
+@query("pred_best_vote")
+def pred_best_vote(t):
+    """The best voting combination, fitted on all rows, in the simulation of the coming games."""
+    work = Training(t)
+    rows = work.folded(3)
+    members = train.vote_members(rows.count(), trees=[20], depths=[5, 10], steps=[0.1], rounds=[10], strengths=[0.1, 10])
+    models = train.fit_best_vote(rows, members, train.vote_grid_search(rows, members, "fold"))
+    return work.simulated(lambda games: train.soft_vote(games, models), "vote", scale=0.01, limits=(0.0, 1.0))
+
+
+@query("flow_fitted_ranks")
+def flow_fitted_ranks(t):
+    """Players scored by weights fitted per role, and ranked."""
+    record = t.team_seasons.select("team_id", "season", "mw", "mw_pct")
+    rows = settle(t.player_seasons.join(record, ["team_id", "season"]), "roles")
+    names = ["kills", "deaths", "objective"]
+    weights = train.importance_weights(rows, "role", names, ["mw", "mw_pct"], trees=50)
+    ranked = teams.player_ranks(rows.select("player_id", "season", "role", *names), "role", weights, names)
+    return ranked.select("player_id", "season", "role", "weighted_score", "rank", "normalized_score")
+
+
 @query("flow_role_model")
 def flow_role_model(t):
     rows = train.index_classes(flow_role_matchup(t), "winner_id", "winner")

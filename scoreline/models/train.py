@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -260,6 +261,34 @@ def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator
     return combination_scores(scored, members, fold, label)
 
 
+def fit_best_vote(df: DataFrame, members: Mapping[str, Mapping[str, Estimator]], scores: DataFrame,
+                  parallelism: int = 3) -> dict[str, Model]:
+    """The members of the best combination of a vote search, fitted on all rows."""
+    best = scores.first()
+    return fit_members(df, {m: group[best[m].removeprefix(f"{m}_")] for m, group in members.items()}, parallelism)
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The round (from 1) with the least loss, looking no further than ``patience`` rounds without gain."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            break
+    return best + 1
+
+
+def fit_with_patience(estimator: GBTClassifier, fitted: DataFrame, validation: DataFrame, patience: int = 50) -> GBTClassificationModel:
+    """Boosted trees up to the round after which the validation rows gain nothing for ``patience`` rounds.
+
+    All rounds of the estimator are fitted once and judged in one pass; the trees up to the best round
+    are then fitted again, with the same seed and so the same trees.
+    """
+    losses = estimator.fit(fitted).evaluateEachIteration(validation.select("features", estimator.getLabelCol()))
+    return estimator.copy({estimator.maxIter: best_round(losses, patience)}).fit(fitted)
+
+
 def combination_scores(scored: DataFrame, members: Mapping[str, Iterable[str]], fold: str,
                        label: str = "label") -> DataFrame:
     """The mean accuracy over the folds of every combination, the best first.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.seeded import hash_bucket
 from ..models import split, train
 from ..models.evaluate import accuracy, class_report
 
@@ -28,6 +29,20 @@ def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimat
     return model, model.transform(rows)
 
 
+def search_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimator, grid: Mapping[str, Sequence], label: str,
+                    row_key: Sequence[str], draws: int = 50, folds: int = 5, seed: int = 42) -> tuple[Model, DataFrame, DataFrame]:
+    """Search settings on the training matches with balanced classes and refit the best: model, all rows scored, search table.
+
+    ``table`` has ``is_test``; the folds go by the match like the split, so that no copy of a match
+    is in two of them.
+    """
+    marked = split.add_class_weights(table, label)
+    marked = marked.withColumn("fold", hash_bucket(seed + 1, *[F.col(k) for k in row_key]) % folds)
+    rows = train.training_table(marked, features, row_key, [c for c in marked.columns if c not in features])
+    model, tried = train.random_search(rows.where("is_test = 0"), estimator.copy().setWeightCol("weight"), grid, draws, "fold", folds, seed)
+    return model, model.transform(rows), tried
+
+
 def accuracy_by_part(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """The accuracy on the training and on the held-out matches."""
     parts = [accuracy(scored.where(F.col("is_test") == flag), label, prediction).withColumn("part", F.lit(name))

@@ -11,11 +11,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "scoreline") -> SparkSession:
+                  app_name: str = "scoreline", shared_folder: str | None = None) -> SparkSession:
     """A session with adaptive execution, skew splitting and UTC timestamps.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` unset: the submit
     command decides them, and adaptive execution merges small partitions.
+    ``shared_folder`` becomes ``spark.checkpoint.dir``, where derived tables are written;
+    leave it out where the submit command names one.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+    if shared_folder:
+        builder = builder.config("spark.checkpoint.dir", shared_folder)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

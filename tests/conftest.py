@@ -14,8 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", 8, "scoreline-tests")
+def spark(tmp_path_factory):
+    session = build_session("local[8]", 8, "scoreline-tests", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import map_values
 from ..models.train import ols
 from ..operators.aggregate import mean_by_keys, mode_and_means, sides_to_rows
+from ..operators.order import category_codes
 from ..operators.sample import add_noisy, add_swapped
 from ..operators.stats import anova_oneway
 from ..plans import charts, features, seasons, teams
@@ -118,6 +119,53 @@ views.add_view("fx_noisy_diff", """
         <= floor(0.25 * count(*) OVER ())) s""")
 
 
+# A wide table: four measures of eight columns of a team's lines, beside the record, 35 metrics in all.
+_LINE_COLUMNS = {"quantity": "l_quantity", "price": "l_extendedprice", "discount": "l_discount", "tax": "l_tax", "line": "l_linenumber",
+                 "size": "p_size", "retail": "p_retailprice", "total": "o_totalprice"}
+_MEASURES = {"mean": F.avg, "low": F.min, "high": F.max, "spread": F.stddev_pop}
+_SQL_MEASURES = {"mean": "avg", "low": "min", "high": "max", "spread": "stddev_pop"}
+WIDE = [*RECORD, *[f"{c}_{m}" for c in _LINE_COLUMNS for m in _MEASURES]]
+_WIDE_DIFFS = features.difference_names(WIDE)
+views.add_view("fx_wide", """
+  SELECT s.team_id, s.season, CAST(mw AS DOUBLE) AS mw, CAST(ml AS DOUBLE) AS ml, mw_pct, """ + ", ".join(
+    f"{c}_{m}" for c in _LINE_COLUMNS for m in _MEASURES) + """
+  FROM fx_team_season s LEFT JOIN (
+    SELECT c_nationkey AS team_id, CAST(year(o_orderdate) AS INT) AS season, """ + ", ".join(
+    f"{f}(CAST({e} AS DOUBLE)) AS {c}_{m}" for c, e in _LINE_COLUMNS.items() for m, f in _SQL_MEASURES.items()) + """
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey
+    GROUP BY c_nationkey, CAST(year(o_orderdate) AS INT)) p ON p.team_id = s.team_id AND p.season = s.season""")
+views.add_view("fx_wide_pair", """
+  SELECT match_id, m.season, CASE WHEN winner_id = team_2_id THEN 1 ELSE 0 END AS label,
+         CASE WHEN winner_id = team_1_id THEN 1 ELSE 0 END AS swapped_label, """ + ", ".join(f"a.{m} - b.{m} AS {m}_diff" for m in WIDE) + """
+  FROM fx_match m JOIN fx_wide a ON a.team_id = team_1_id AND a.season = m.season
+                  JOIN fx_wide b ON b.team_id = team_2_id AND b.season = m.season
+  WHERE winner_id IS NOT NULL""")
+views.add_view("fx_wide_diff", """
+  SELECT match_id, season, 0 AS swapped, label, """ + ", ".join(_WIDE_DIFFS) + """ FROM fx_wide_pair
+  UNION ALL
+  SELECT match_id, season, 1, swapped_label, """ + ", ".join(f"-{d}" for d in _WIDE_DIFFS) + """ FROM (SELECT * FROM fx_wide_pair
+    QUALIFY row_number() OVER (ORDER BY md5('42|' || CAST(match_id AS VARCHAR))) <= floor(0.5 * count(*) OVER ())) s""")
+
+
+@query("flow_wide_features", """
+SELECT match_id, CAST(dense_rank() OVER (ORDER BY season) - 1 AS BIGINT) AS season_code, swapped, label, """ + ", ".join(
+    f"round(coalesce(({d} - min({d}) OVER ()) / nullif(max({d}) OVER () - min({d}) OVER (), 0), 0), 6) + 0.0 AS {d}" for d in _WIDE_DIFFS)
+    + " FROM fx_wide_diff")
+def flow_wide_features(t):
+    """The training table with 35 metrics and the season as a category."""
+    matches = t.settled_matches
+    lines = t.lineitem.join(t.part.select("p_partkey", "p_size", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey")).join(
+        t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("season")), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        t.customer.select("c_custkey", F.col("c_nationkey").alias("team_id")), F.col("o_custkey") == F.col("c_custkey"))
+    wide = lines.groupBy("team_id", "season").agg(*[
+        f(F.col(e).cast("double")).alias(f"{c}_{m}") for c, e in _LINE_COLUMNS.items() for m, f in _MEASURES.items()])
+    record = views.team_seasons(matches).select("team_id", "season", *[F.col(m).cast("double").alias(m) for m in RECORD])
+    teams_table = settle(record.join(wide, ["team_id", "season"], "left"), "wide")
+    table, _ = features.match_features(matches, teams_table, WIDE)
+    coded = category_codes(table, "year", "season_code").drop("year", "team_1_score", "team_2_score")
+    return _rounded(coded, _WIDE_DIFFS)
+
+
 @query("flow_match_features_noisy", "SELECT match_id, season AS year, swapped, noisy, label, " + ", ".join(
     f"round(({d} - min({d}) OVER ()) / nullif(max({d}) OVER () - min({d}) OVER (), 0), 6) + 0.0 AS {d}" for d in _DIFFS)
     + " FROM fx_noisy_diff")

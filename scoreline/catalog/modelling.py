@@ -189,6 +189,21 @@ def ml_soft_vote(t):
         "match_id", "label", "p_rf", "p_gbt", "p_lr", "vote_prob", "vote")
 
 
+@query("ml_held_out_rows", """
+SELECT model, match_id, CAST(CASE WHEN winner_id = team_2_id THEN 1 ELSE 0 END AS INT) AS label, TRUE AS is_probability, TRUE AS is_mean
+FROM fx_match m JOIN fx_team a ON a.team_id = team_1_id AND a.season = m.season JOIN fx_team b ON b.team_id = team_2_id AND b.season = m.season,
+     (VALUES ('rf'), ('gbt'), ('lr')) AS v(model)
+WHERE winner_id IS NOT NULL AND CAST(('0x' || substr(md5('42|' || CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20""")
+def ml_held_out_rows(t):
+    """What SQL can tell of fitted models: every held-out match once per model, its label, probabilities, and their mean as the vote."""
+    fitted, held = _parts(Training(t).assembled())
+    members = {"rf": train.forest(trees=50, depth=10), "gbt": train.boosted(rounds=10), "lr": train.logistic()}
+    scored = train.soft_vote(held, train.fit_members(fitted, members, parallelism=3))
+    mean = F.abs(F.col("vote_prob") - (F.col("p_rf") + F.col("p_gbt") + F.col("p_lr")) / 3) < 1e-12
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"p_{m}").between(0.0, 1.0).alias("is_probability")) for m in members])
+    return scored.select("match_id", "label", mean.alias("is_mean"), F.inline(cells))
+
+
 @query("ml_soft_vote_mean", """
 SELECT match_id, round((p_record + p_score) / 2, 6) + 0.0 AS vote_prob,
        CAST(CASE WHEN (p_record + p_score) / 2 > 0.5 THEN 1 ELSE 0 END AS INT) AS vote

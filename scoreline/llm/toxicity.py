@@ -38,6 +38,9 @@ LEAST_SEEN, LEAST_RATIO = 3, 8.0
 #: Lengths of the word beginnings that are looked up besides whole words.
 BEGINNINGS = (4, 5)
 
+#: Tokens whose signs a worker remembers; beyond that it starts a new memory.
+REMEMBERED = 120_000
+
 # What a sign may stand for; digits and signs in the shapes of letters.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
          "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "o"}
@@ -166,7 +169,7 @@ class Reader(dict):
         self.costs, self.known = costs, known
 
     def __missing__(self, token: str) -> tuple[str, ...]:
-        if len(self) > 300_000:
+        if len(self) > REMEMBERED:
             self.clear()
         signs = signs_of(restored_words(token, self.costs))
         self[token] = made = tuple(signs if self.known is None else (s for s in signs if s in self.known))

@@ -90,14 +90,38 @@ def _entries(batch: pa.RecordBatch, length: int, gram: int, bits: sketch.Repeats
     if not len(some):
         return None
     first, anchor, end, text = found.first[some], found.anchor[some], found.last[some] + length, found.text[some]
-    begin = found.offsets[text]
-    return {"gram": pa.array(found.grams[some].view(np.int64)), "suffix": _pieces(found.data, anchor, end), "before": _pieces(found.data, first, anchor),
-            "id": batch.column("id").take(pa.array(text)), "row": batch.column("row").take(pa.array(text)), "place": pa.array((first - begin).astype(np.int32))}
+    grams, rows, ids = found.grams[some].view(np.int64), batch.column("row").to_numpy(), batch.column("id")
+    # Of equal entries the earliest is sent on; the strings of the others are known to be later ones.
+    whole, check = (Rolling(found.data, seed).between(first, end) for seed in (0, 1))
+    place = first - found.offsets[text]
+    turn = np.empty(len(rows), np.int64)
+    turn[np.lexsort((rows, ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)))] = np.arange(len(rows))
+    order = np.lexsort((place, turn[text], check, whole, anchor - first, grams))
+    same = np.zeros(len(some), bool)
+    same[1:] = np.logical_and.reduce([v[order][1:] == v[order][:-1] for v in (grams, anchor - first, whole, check)])
+    lead, copy = order[~same], order[same]
+    strings = end - first - length + 1
+    # Runs of later strings that follow each other are one.
+    at = np.repeat(place[copy] - np.cumsum(strings[copy]) + strings[copy], strings[copy]) + np.arange(strings[copy].sum())
+    owner, begin, count = spans.runs(np.repeat(text[copy], strings[copy]), at)
+    spread = np.random.default_rng(int(rows[0])).integers(-(1 << 62), 1 << 62, len(owner))
+    every, nothing = np.concatenate([text[lead], owner]), np.zeros(len(owner), np.int64)
+    return {"gram": pa.array(np.concatenate([grams[lead], spread])),
+            "suffix": _pieces(found.data, np.concatenate([anchor[lead], nothing]), np.concatenate([end[lead], nothing])),
+            "before": _pieces(found.data, np.concatenate([first[lead], nothing]), np.concatenate([anchor[lead], nothing])),
+            "id": ids.take(pa.array(every)), "row": pa.array(rows[every]), "place": pa.array(np.concatenate([place[lead], begin]).astype(np.int32)),
+            "n": pa.array(np.concatenate([np.zeros(len(lead), np.int64), count]).astype(np.int32))}
 
 
 def _scan(table: pa.Table, length: int) -> pa.RecordBatch:
     """Removed runs of the batch's rows, among entries sorted by gram, suffix; whole grams at a time."""
     table = table.combine_chunks()
+    known = table["n"].to_numpy() > 0
+    sure = [table[c].to_numpy()[known] for c in ("row", "place", "n")]
+    if known.any():
+        table = table.filter(pa.array(~known)).combine_chunks()
+    if not table.num_rows:
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in sure], ["row", "place", "n"])
     gram, row, place, indexed = (table[c].to_numpy() for c in ("gram", "row", "place", "indexed"))
     ids = table["id"].combine_chunks() if isinstance(table["id"], pa.ChunkedArray) else table["id"]
     n = len(gram)
@@ -113,9 +137,8 @@ def _scan(table: pa.Table, length: int) -> pa.RecordBatch:
     data = np.empty(offset[-1], np.uint8)
     data[np.arange(len(before)) + np.repeat(offset[:-1] - before_at[:-1], left)] = before
     data[np.arange(len(suffix)) + np.repeat(offset[:-1] + left - suffix_at[:-1], right)] = suffix
-    one, two = Rolling(data), Rolling(data, 1)
     # Equal entries first: all but the earliest lose all their strings.
-    whole, check = one.between(offset[:-1], offset[1:]), two.between(offset[:-1], offset[1:])
+    whole, check = _hashes(data, offset[:-1], offset[1:])
     order = np.lexsort((rank, check, whole, left, gram))
     same = np.zeros(n, bool)
     same[1:] = (gram[order][1:] == gram[order][:-1]) & (left[order][1:] == left[order][:-1]) & (whole[order][1:] == whole[order][:-1]) & (check[order][1:] == check[order][:-1])
@@ -130,7 +153,7 @@ def _scan(table: pa.Table, length: int) -> pa.RecordBatch:
     entry = np.repeat(own, strings[own])
     inside = np.arange(len(entry)) - np.repeat(np.cumsum(strings[own]) - strings[own], strings[own])
     at = offset[:-1][entry] + inside
-    h, c = one.between(at, at + length), two.between(at, at + length)
+    h, c = _hashes(data, at, at + length)
     order = np.lexsort((inside, rank[entry], c, h))
     again = np.zeros(len(entry), bool)
     again[1:] = (h[order][1:] == h[order][:-1]) & (c[order][1:] == c[order][:-1])
@@ -139,7 +162,20 @@ def _scan(table: pa.Table, length: int) -> pa.RecordBatch:
     owner, begin, count = spans.runs(entry[order], inside[order])
     lost = np.flatnonzero(copy & ~indexed)
     owner, begin, count = np.concatenate([owner, lost]), np.concatenate([begin, np.zeros(len(lost), np.int64)]), np.concatenate([count, strings[lost]])
-    return pa.RecordBatch.from_arrays([pa.array(row[owner]), pa.array((place[owner] + begin).astype(np.int32)), pa.array(count.astype(np.int32))], ["row", "place", "n"])
+    made = row[owner], (place[owner] + begin).astype(np.int32), count.astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, b])) for a, b in zip(made, sure, strict=True)], ["row", "place", "n"])
+
+
+def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of stretches that begin in ascending order, a step of the bytes at a time."""
+    made = np.empty((2, len(begin)), np.uint64)
+    for low in range(0, len(data), _STEP):
+        a, b = np.searchsorted(begin, [low, low + _STEP])
+        if b > a:
+            part = data[low:end[a:b].max()]
+            for seed in (0, 1):
+                made[seed, a:b] = Rolling(part, seed).between(begin[a:b] - low, end[a:b] - low)
+    return made[0], made[1]
 
 
 def _as_text(column) -> pa.Array:
@@ -156,14 +192,14 @@ class SuffixIndex:
 
     def _write(self, entries: DataFrame) -> str:
         path = workspace(self.spark, "suffix-level")
-        entries.select("gram", "suffix", "before", "id", "row", "place").repartition("gram").sortWithinPartitions("gram", "suffix").write.parquet(path)
+        entries.select("gram", "suffix", "before", "id", "row", "place", "n").repartition("gram").sortWithinPartitions("gram", "suffix").write.parquet(path)
         return path
 
     def _merge_equal(self) -> None:
         """Merge the two last levels while they are of one size."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (batches, one), (_, two) = self.levels[-2:]
-            merged = self._write(self.spark.read.parquet(one).unionByName(self.spark.read.parquet(two)))
+            merged = self._write(self.spark.read.parquet(one).unionByName(self.spark.read.parquet(two)).where("n = 0"))
             self.levels[-2:] = [(2 * batches, merged)]
             for path in (one, two):
                 discard(self.spark, path)
@@ -175,7 +211,7 @@ class SuffixIndex:
         batch = self.spark.read.parquet(level)
         both = batch.withColumn("indexed", F.lit(False))
         for _, path in self.levels:
-            both = both.unionByName(self.spark.read.schema(batch.schema).parquet(path).withColumn("indexed", F.lit(True)))
+            both = both.unionByName(self.spark.read.schema(batch.schema).parquet(path).where("n = 0").withColumn("indexed", F.lit(True)))
         ship_package(self.spark)
         length = self.length
         sorted_rows = both.repartition("gram").sortWithinPartitions("gram", "suffix")
@@ -195,7 +231,7 @@ def gram_sketch(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: i
 
 def entries(rows: DataFrame, shared: Broadcast, kind: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     return arrow_map(rows, lambda batch: _entries(batch, length, gram, shared.value),
-                     f"gram bigint, suffix binary, before binary, id {kind}, row bigint, place int", limit=_STEP)
+                     f"gram bigint, suffix binary, before binary, id {kind}, row bigint, place int, n int", limit=_STEP)
 
 
 def _known(batch: pa.RecordBatch, hit: np.ndarray) -> dict:

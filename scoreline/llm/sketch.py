@@ -40,6 +40,15 @@ class Repeats:
     def __init__(self, bits: int) -> None:
         self.bits, self.rows = bits, np.zeros((ROWS, (1 << bits) // 8), np.uint8)
 
+    def __getstate__(self) -> dict:
+        # Most bits are clear: what is broadcast, and kept on disk by every executor, is a small part of them.
+        return {"bits": self.bits, "rows": [zlib.compress(row, 1) for row in self.rows]}
+
+    def __setstate__(self, state: dict) -> None:
+        self.bits, self.rows = state["bits"], np.zeros((ROWS, (1 << state["bits"]) // 8), np.uint8)
+        for row, data in zip(self.rows, state["rows"], strict=True):
+            row[:] = np.frombuffer(zlib.decompress(data), np.uint8)
+
     def add(self, hashes: np.ndarray) -> None:
         for row in range(ROWS):
             cell = _cells(hashes, row, self.bits)

@@ -8,9 +8,11 @@ them into one p-value: high for keys, low for words and names.
 
 How high a p-value must be depends on length, as short words pass such tests more
 often. Tokens that are letters only are the null class: for each length class the
-share of them above a p-value (of that class, and of shorter ones where it has few)
-estimates how many of the other tokens get there by chance, and the threshold is the
+share of them above a p-value (all of that class, or with those of shorter ones, which
+pass more often; carried on by a fitted tail where none is left) estimates how many
+of the other tokens that are not random get there by chance, and the threshold is the
 lowest one at which the expected share of false finds stays below the rate asked for.
+Without any letters-only token of that length or less nothing is told random.
 """
 
 from __future__ import annotations
@@ -40,10 +42,16 @@ LEAST_TOKEN = 16
 TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_TOKEN},}}={{0,2}}")
 #: Expected share of false finds among the tokens reported by the tests.
 FALSE_SHARE = 0.01
-#: Letters-only tokens that an estimate rests on; with fewer in a class, shorter ones are added.
-ENOUGH_WORDS = 1000
-#: Steps of the p-value's logarithm that thresholds are chosen from; the last one is p = 1.
-STEPS = 120
+#: Letters-only tokens that their tail is fitted to: those with the highest p-values, so many at least and this share of all.
+TOPMOST, TOP_SHARE = 20, 0.02
+#: How far below the share of a single one of the tokens the fit is believed.
+FURTHEST = 1000
+#: Steps of the p-value's logarithm, down to the least joint p-value of three held to 1e-12; the last one is p = 1.
+STEPS = 660
+#: The lowest threshold, p = 1e-6.
+LOWEST = STEPS - 120
+#: A random token's p-value is below this step (p = 0.01) once in a hundred times.
+FAILED = STEPS - 40
 
 # Each finds a superset of the texts in which the pattern matches, by a linear scan.
 _MAY = [r"(?i)(?:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}", r"AKIA[A-Z0-9]{12}", r"[0-9a-f]{32}",
@@ -116,29 +124,49 @@ def step(p: float) -> int:
     return max(0, STEPS + math.floor(20 * math.log10(max(p, 1e-300))))
 
 
-def thresholds(counts: list[tuple[int, int, bool, int]], rate: float = FALSE_SHARE) -> dict[int, int]:
-    """The lowest step to report, by length class; ``counts`` has (class, step, letters only, tokens).
+def chance(words: np.ndarray) -> np.ndarray:
+    """The share of plain tokens at each step or above, from their number by step; falls on where none was seen.
 
-    A class without a step that keeps the rate is left out.
+    Beyond the step that the topmost tokens reach the number of further steps is taken as
+    geometric, with a mean two standard errors above theirs. Towards p = 1 the tail falls
+    ever faster, so that this errs upwards. No share is below one in ``FURTHEST`` times the tokens.
+    """
+    above = words[::-1].cumsum()[::-1]
+    share = (1 + above) / (1 + above[0])
+    at = int(np.flatnonzero(above >= min(above[0], max(TOPMOST, TOP_SHARE * above[0])))[-1])
+    if at and above[at] >= TOPMOST:
+        mean = (1 + above[at + 1:].sum()) / above[at] * (1 + 2 / math.sqrt(above[at]))
+        fitted = (1 + above[at]) / (1 + above[0]) * (mean / (1 + mean)) ** np.arange(STEPS + 1 - at)
+        share[at:] = np.minimum(share[at:], np.maximum(fitted, 1 / (FURTHEST * (1 + above[0]))))
+    return share
+
+
+def thresholds(counts: list[tuple[int, int, bool, int]], rate: float = FALSE_SHARE) -> dict[tuple[int, bool], int]:
+    """The lowest step to report, by (class, letters only); ``counts`` has (class, step, letters only, tokens).
+
+    Tokens that are letters only count as false finds, so that their step is higher. A class
+    without a step that keeps the rate is left out.
     """
     null, other = defaultdict(lambda: np.zeros(STEPS + 1)), defaultdict(lambda: np.zeros(STEPS + 1))
     for cls, at, natural, n in counts:
         (null if natural else other)[cls][at] += n
     chosen = {}
     for cls, have in other.items():
-        below = np.zeros(STEPS + 1)
+        reached, best = have[::-1].cumsum()[::-1], np.full(STEPS + 1, np.inf)
+        words = np.zeros(STEPS + 1)
         for k in sorted((k for k in null if k <= cls), reverse=True):
-            below = below + null[k]
-            if below.sum() >= ENOUGH_WORDS:
-                break
-        chance = (1 + below[::-1].cumsum()[::-1]) / (1 + below.sum())
-        reached = have[::-1].cumsum()[::-1]
-        good = np.flatnonzero((reached > 0) & (have.sum() * chance <= rate * reached))
-        # Without enough words to compare with, only what a random token passes nine times in ten counts.
+            words = words + null[k]
+            # Tokens that are not random, by those that fail the tests; one in a hundred random ones does, too.
+            failed = words[:FAILED].sum() / words.sum()
+            natural = min(have.sum(), (1 + have[:FAILED].sum()) / failed) if failed else have.sum()
+            best = np.minimum(best, natural * chance(words))
+        good = np.flatnonzero((reached > 0) & (best <= rate * reached) & (np.arange(STEPS + 1) >= LOWEST))
         if len(good):
-            chosen[cls] = int(good[0])
-        elif 1 / (1 + below.sum()) > rate:
-            chosen[cls] = step(0.1)
+            at = chosen[cls, False] = int(good[0])
+            plain = null[cls][::-1].cumsum()[::-1] if cls in null else np.zeros(STEPS + 1)
+            kept = np.flatnonzero(best[at] + plain[at:] <= rate * (reached[at] + plain[at:]))
+            if len(kept):
+                chosen[cls, True] = at + int(kept[0])
     return chosen
 
 
@@ -168,11 +196,11 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
 
 
-def _report(batch: pa.RecordBatch, lowest: dict[int, int]) -> dict:
+def _report(batch: pa.RecordBatch, lowest: dict[tuple[int, bool], int]) -> dict:
     out = defaultdict(list)
     for base, tested in zip(batch.column("base").to_pylist(), batch.column("tested").to_pylist(), strict=True):
         spans = [(s["start"], s["end"], s["kind"]) for s in base]
-        random = [(t["start"], t["end"], "random") for t in tested if t["step"] >= lowest.get(t["class"], STEPS + 1)]
+        random = [(t["start"], t["end"], "random") for t in tested if t["step"] >= lowest.get((t["class"], t["natural"]), STEPS + 1)]
         for kind in KINDS[:3]:
             out[f"n_{kind}"].append(sum(k == kind for _, _, k in spans))
         out["n_random"].append(len(random))
@@ -187,8 +215,8 @@ def find_secrets(docs: DataFrame, rate: float = FALSE_SHARE, key: str = "doc_id"
     Spans are kind:start:end in code points. A token inside a span of a fixed pattern
     is not tested again. NULL and empty texts have no spans; texts of any length are
     read whole; repeated rows are reported each. An empty input gives no rows. Extra
-    columns are not read. Only counts per length class and step (some thousand rows)
-    reach the driver.
+    columns are not read. Only counts per length class and step (some ten thousand
+    rows) reach the driver.
     """
     kind = dict(docs.dtypes)[key]
     found = settle(arrow_map(docs.select(key, text), lambda batch: _scan(batch, key, text), f"id {kind}, {_SCHEMA}", text), "secrets")

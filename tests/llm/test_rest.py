@@ -266,6 +266,28 @@ def test_random_tokens_are_found_among_words(stored):
     assert sum(k % 8 == 0 for k in hit) >= 0.8 * planted and sum(k % 8 != 0 for k in hit) <= 0.05 * planted
 
 
+@pytest.mark.parametrize("n_words, n_names, n_keys", [(1000, 10_000, 10), (4000, 40_000, 40), (1000, 2000, 100), (100, 2000, 100)])
+def test_rare_keys_are_found_at_any_size(n_words, n_names, n_keys):
+    rng = random.Random(7)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    syllables = ["tion", "ment", "the", "er", "ing", "con", "pre", "al", "ism", "ness", "ly", "in"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    tokens = [word(22) for _ in range(n_words)] + [f"{word(10)}_{word(10)}_{rng.randrange(100)}" for _ in range(n_names)]
+    tokens += ["".join(rng.choice(symbols) for _ in range(64)) for _ in range(n_keys)]
+    placed = [(secrets.length_class(len(t)), secrets.step(secrets.randomness(t)), t.isalpha()) for t in tokens]
+    lowest = secrets.thresholds([(*where, n) for where, n in Counter(placed).items()])
+    hit = [at >= lowest.get((cls, plain), secrets.STEPS + 1) for cls, at, plain in placed]
+    found = sum(hit[-n_keys:])
+    assert found >= 0.9 * n_keys and sum(hit) - found <= max(1, 0.02 * found)
+
+
+def test_words_do_not_pass_for_the_keys_of_their_length():
+    """Most other tokens of the class are random, yet words that reach the same step are not reported with them."""
+    counts = [(p, True, n) for p, n in ((1e-9, 100), (0.003, 500), (0.1, 300), (0.55, 60))] + [(p, False, n) for p, n in ((0.1, 100), (0.3, 200), (0.7, 100))]
+    lowest = secrets.thresholds([(16, secrets.step(p), plain, n) for p, plain, n in counts])
+    assert lowest[16, False] <= secrets.step(0.3) and lowest.get((16, True), secrets.STEPS + 1) > secrets.step(0.55)
+
+
 def test_battery():
     rng = random.Random(1)
     p = [secrets.randomness("".join(rng.choice("0123456789abcdef") for _ in range(40))) for _ in range(400)]

@@ -1,8 +1,8 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A trigram model of letters is counted over all documents. Tokens that look disguised
-(signs and digits within words, letters set apart, repeated letters) become lattices
-of what they may stand for; Viterbi decoding picks the reading that model and
+A trigram model of letters is counted over all documents. Tokens with signs or digits
+that can stand for letters or set them apart, wherever in the token, become lattices
+of what they may stand for (numbers and words in common punctuation do not); Viterbi decoding picks the reading that model and
 channel together make likeliest. The restored words, with doubled letters made one,
 are looked up among words and word beginnings that the labelled documents show
 to be toxic, and a logistic function of what was found is the score.
@@ -106,13 +106,14 @@ def decode(token: str, costs: np.ndarray) -> str:
 
     A state is the last two symbols. A character may stand for itself, for a letter
     that it looks like, for a repetition of the letter before, or, as a separator, for
-    nothing or for the end of a word. Every state keeps its best reading.
+    nothing or for the end of a word. Every state keeps its best reading, as a chain of
+    letters that readings share, so that long tokens take time in proportion.
     """
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for character in token:
-        made: dict[tuple[int, int], tuple[float, str]] = {}
+        made: dict[tuple[int, int], tuple[float, tuple | None]] = {}
 
-        def offer(state: tuple[int, int], cost: float, text: str, made=made) -> None:
+        def offer(state: tuple[int, int], cost: float, text: tuple | None, made=made) -> None:
             if state not in made or cost < made[state][0]:
                 made[state] = (cost, text)
 
@@ -120,37 +121,62 @@ def decode(token: str, costs: np.ndarray) -> str:
         for (a, b), (cost, text) in states.items():
             row = costs[a, b]
             if own:
-                offer((b, own), cost + float(row[own]), text + character)
+                offer((b, own), cost + float(row[own]), (text, character))
                 if own == b:
                     offer((a, b), cost + REPEATED, text)
             for look in LOOKS.get(character, ""):
                 code = _symbol(look)
-                offer((b, code), cost + float(row[code]) + (AS_STAR if character == "*" else AS_LOOKED), text + look)
+                offer((b, code), cost + float(row[code]) + (AS_STAR if character == "*" else AS_LOOKED), (text, look))
                 if code == b:
                     offer((a, b), cost + AS_LOOKED + REPEATED, text)
             if not own and (character in SEPARATORS or character not in LOOKS):
                 offer((a, b), cost + SEPARATED, text)
                 if b:
-                    offer((0, 0), cost + OPENED + float(row[0]), text + " ")
+                    offer((0, 0), cost + OPENED + float(row[0]), (text, " "))
         states = made or states
-    return min((cost + float(costs[a, b, 0]), text) for (a, b), (cost, text) in states.items())[1]
+    ends = [(cost + float(costs[a, b, 0]), text) for (a, b), (cost, text) in states.items()]
+    least = min(cost for cost, _ in ends)
+    return min(_spelled(text) for cost, text in ends if cost == least)
+
+
+def _spelled(chain: tuple | None) -> str:
+    letters = []
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 _LETTER = "[^\\W\\d_]"
-_LOOK = "[" + re.escape("".join(LOOKS)) + "]"
-_DISGUISED = re.compile(rf"{_LETTER}(?:{_LOOK}|[._~^-])+{_LETTER}|^[\d@$]{_LETTER}{{2}}|({_LETTER})\1\1")
+_LOOKS = re.escape("".join(LOOKS))
+_LOOK = f"[{_LOOKS}]"
+#: A sign that stands for no letter, and a look-alike that is a sign and no digit.
+_MARK = rf"(?:[^\w{_LOOKS}]|_)"
+_SIGN = re.escape("".join(c for c in LOOKS if not c.isdigit()))
+#: Words in common punctuation and numbers with their signs; the lattice has no other reading of them.
+_PLAIN = re.compile(rf"{_MARK}*{_LETTER}*{_MARK}*|(?:{_MARK}|[(+#$€£])*\d+(?:[.,:;/'-]\d+)*(?:{_MARK}|[%!+$€£])*")
+_ENDS = [re.compile(p) for p in (rf"^(?:{_MARK}|[{_SIGN}])+", rf"(?:{_MARK}|[{_SIGN}])+$", r"^[\W\d_]+", r"[\W\d_]+$")]
 _SPACED = re.compile(rf"(?<![^\W_])(?:{_LETTER}|{_LOOK})(?:[ ._*-]{{1,2}}(?:{_LETTER}|{_LOOK})){{3,}}(?![^\W_])")
 #: Finds every text that the pattern above can match, by a linear scan.
-_MAY_BE_SPACED = r"(?:[\pL0-9@$!][ ._*-]{1,2}){3}[\pL0-9@$!]"
+_MAY_BE_SPACED = rf"(?:[\pL\pN{_LOOKS}][ ._*-]{{1,2}}){{3}}[\pL\pN{_LOOKS}]"
 _WORDS = re.compile(rf"{_LETTER}+")
 _DOUBLED = re.compile(r"(.)\1+")
 
 
+def readings(token: str) -> list[str]:
+    """The disguised token whole, and without the signs or all that is no letter at its ends, which may be punctuation."""
+    begin, end, first, last = _ENDS
+    opened = begin.sub("", token)
+    made = dict.fromkeys([token, opened, end.sub("", token), end.sub("", opened), last.sub("", first.sub("", token))])
+    return [t for t in made if not _PLAIN.fullmatch(t)]
+
+
 def restored_words(token: str, costs: np.ndarray) -> list[str]:
     """The lower-case words of a token, read through its disguise, doubled letters as one."""
-    read = _DOUBLED.sub(r"\1", decode(token, costs)) if _DISGUISED.search(token) else token
-    plain = _WORDS.findall(token) if read is token else _WORDS.findall(read) + _WORDS.findall(token)
-    return [_DOUBLED.sub(r"\1", w) for w in dict.fromkeys(plain)]
+    plain = _WORDS.findall(token)
+    if not _PLAIN.fullmatch(token):
+        plain = [w for t in readings(token) for w in _WORDS.findall(_DOUBLED.sub(r"\1", decode(t, costs)))] + plain
+    return list(dict.fromkeys(_DOUBLED.sub(r"\1", w) for w in plain))
 
 
 def signs_of(words: list[str]) -> list[str]:

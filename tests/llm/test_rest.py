@@ -321,6 +321,42 @@ def test_words_keep_their_letters(costs):
     assert toxicity.restored_words("worthless,", costs) == ["worthles"] and toxicity.restored_words("", costs) == []
 
 
+@pytest.mark.parametrize("disguised, plain", [("idi07", "idiot"), ("idio7", "idiot"), ("!diot", "idiot"), ("|diot", "idiot"), ("!d!07", "idiot"), ("7r@$#", "trash"),
+                                              ("1053r", "loser"), ("(l0wn", "clown"), ("m0r0n!", "moron"), ("(m0r0n)", "moron"), ("|053r!!", "loser"), ("i/d/i/o/t", "idiot"),
+                                              ("\"1d10t\"", "idiot"), ("clooooown!", "clown"), ("tra$#", "trash"), ("$tup!d,", "stupid")])
+def test_signs_anywhere_in_a_token(costs, disguised, plain):
+    assert plain in toxicity.restored_words(disguised, costs)
+
+
+@pytest.mark.parametrize("number", ["455", "$45.50", "(2024)", "12:30,", "45%", "#12", "+49", "1,000!"])
+def test_numbers_are_no_words(costs, number):
+    assert toxicity.restored_words(number, costs) == []
+
+
+@pytest.mark.parametrize("text", ["i d i * t", "m o r | n", "l o s € r", "( l o w n", "s t u p ¡ d", "# e l %", "² a b c"])
+def test_no_spaced_word_is_passed_over(text):
+    import pyarrow.compute as pc
+
+    assert toxicity._SPACED.search(text) and pc.match_substring_regex([text], toxicity._MAY_BE_SPACED)[0].as_py()
+
+
+def test_learning_and_disguise_by_signs_at_the_ends(stored, spark):
+    rng = random.Random(3)
+    plain = ["".join(rng.choice(["ka", "lo", "mi", "te", "sha", "vu", "ren"]) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    bad = ["idiot", "moron", "pathetic", "worthless"]
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(plain) for _ in range(40)]
+        if i % 4 == 0:
+            words[3:3] = rng.sample(bad, 2)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    hidden = ["idi07 and m0r0n!", "!d!07 w0r7#13$$", "|diot (p@7#37!c)", "i d i * t and m o r | n", "p a t h € t i c and i d i o 7"]
+    rows += [(1000 + i, " ".join(plain[:20]) + f" {t} " + plain[3]) for i, t in enumerate(hidden)] + [(2000, " ".join(plain[:20]) + " 1 2 3 4 (2024) $45.50 455 90%! " + plain[3])]
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.op1_toxicity(stored(rows), spark.createDataFrame(labels, "doc_id BIGINT, quality INT, toxic INT")).collect()}
+    assert [found[1000 + i] for i in range(len(hidden))] == [1] * len(hidden) and not found[2000]
+
+
 def test_learning_and_disguise(stored, spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice(["ka", "lo", "mi", "te", "sha", "vu", "ren"]) for _ in range(rng.randint(1, 4))) for _ in range(300)]

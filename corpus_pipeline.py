@@ -1,7 +1,9 @@
 """A training corpus from raw documents: five stages, each written and read again before the next.
 
 Each stage takes (spark, docs, folder of the tables) and returns a DataFrame. All but the last
-return the columns of the documents.
+return the columns of the documents. What is decided about a row holds for that row: rows
+with one doc_id, or without any, are told apart by their place in the stored files that ``docs``
+is read from.
 """
 
 from __future__ import annotations
@@ -13,15 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreline.llm import exact, mixing, packing, simhash, toxicity
-from scoreline.llm.common import documents, rows_by_key, settle, unused, workspace
+from scoreline.llm.common import documents, named_rows, settle, unused, workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic; all rows with one doc_id go if one of them is."""
-    scores = toxicity.op1_toxicity(docs, documents(spark, sf_dir, "labels"))
-    return rows_by_key(docs, settle(scores.where("predicted = 1").select("doc_id"), "rejected"), "left_anti")
+    """Rows that are not predicted toxic."""
+    row = unused(docs, "_row")
+    rows, model = named_rows(docs, row), toxicity.train(docs, documents(spark, sf_dir, "labels"))
+    rejected = settle(toxicity.score(rows, model, key=row).where("predicted = 1").select(row), "rejected")
+    return rows.join(rejected, row, "left_anti").select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +38,25 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document that names it."""
-    found = simhash.op3_simhash(docs)
-    return rows_by_key(docs, found.where("doc_id <=> component_id").select("doc_id"), "left_semi")
+    """Of each SimHash component the row with the smallest doc_id (NULL last), of several the first in the files."""
+    row, key = unused(docs, "_row"), unused(docs, "_key")
+    rows = named_rows(docs, row)
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(row).alias("row")).alias(key), "text")
+    found = simhash.near_duplicates(keyed, key=key)
+    kept = settle(found.where(F.col(key) == F.col("component_id")).select(F.col(key)["row"].alias(row)), "kept")
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn by calibrated probabilities."""
-    return rows_by_key(docs, mixing.op2_mixing(docs).where("selected").select("doc_id"), "left_semi")
+    """The documents drawn by calibrated probabilities; doc_id and cell decide."""
+    cell = {"source": F.coalesce(F.col("source").cast("string"), F.lit("")), "lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
+            "topic": mixing.topic_of(F.coalesce(F.col("text"), F.lit("")))}
+    drawn = mixing.op2_mixing(docs).where("selected").select("doc_id", *cell).distinct()
+    others = {name: unused(docs, f"_{name}") for name in drawn.columns}
+    same = F.col("doc_id").eqNullSafe(F.col(others["doc_id"]))
+    for name, own in cell.items():
+        same &= own == F.col(others[name])
+    return docs.join(drawn.toDF(*others.values()), same, "left_semi")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

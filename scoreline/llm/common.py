@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from ..storage import settle, workspace
 
-__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "settle", "slices", "rows_by_key", "text_bytes", "unused", "workspace"]
+__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "named_rows", "settle", "slices", "text_bytes", "unused", "workspace"]
 
 #: Bytes of text that one step inside a task works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -75,10 +75,10 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def rows_by_key(docs: DataFrame, keys: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
-    """``left_semi`` or ``left_anti`` join of whole rows with the first column of ``keys``; NULL equals NULL."""
-    other = unused(docs, "_key")
-    return docs.join(keys.select(F.col(keys.columns[0]).alias(other)), F.col(key).eqNullSafe(F.col(other)), how)
+def named_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, read from stored files, with a name of every row: its file and place, however the files are split."""
+    place = docs.metadataColumn("_metadata")
+    return docs.withColumn(name, F.concat_ws(":", place["row_index"].cast("string"), place["file_path"]))
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -121,6 +121,35 @@ def test_empty_documents(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_decisions_hold_for_rows_not_for_doc_ids(spark, folder, stored, tmp_path):
+    """Toxic and clean texts, near copies, and cells that share a doc_id or have none."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    clean, toxic = docs.where("doc_id = 1").first()["text"], docs.where("doc_id = 4").first()["text"]
+    more = [(None, toxic), (None, clean + " one"), (None, clean + " two"), (7000, toxic), (7000, clean + " three")]
+    wide = [(k, t, "en", "src0", len(t), "x", 1) for k, t in more]
+    docs.unionByName(spark.createDataFrame(wide, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = rows_in(corpus_pipeline.drop_toxic(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), folder))
+    assert [(k, t) in kept for k, t in more] == [False, True, True, False, True]
+
+
+@pytest.mark.parametrize("ids", [(5, 5, 5), (None, None, None), (None, 5, 5), (9, None, 9)])
+def test_one_of_near_copies_stays_whatever_their_doc_ids(spark, stored, texts, ids):
+    alone = [(5, "quite another text of its own"), (None, "and one more that nothing is near to")]
+    before = stored([*((k, texts[8]) for k in ids), *alone])
+    after = rows_in(corpus_pipeline.drop_near_copies(spark, before, ""))
+    near = [k for k, t in after if t == texts[8]]
+    assert near == [min((k for k in ids if k is not None), default=None)] and all(r in after for r in alone)
+
+
+def test_rows_of_one_doc_id_are_drawn_by_their_cells(spark, monkeypatch):
+    path = settle(spark.range(400).selectExpr("id % 200 AS doc_id", "'some words' AS text", "'en' AS lang", "IF(id < 200, 'rare', 'common') AS source"), "cells")
+    wishes = {"source": {"rare": 0.9, "common": 0.1}, "lang": {"en": 1.0}, "topic": {"prose": 1.0}}
+    monkeypatch.setattr(mixing, "op2_mixing", lambda docs: mixing.mix(docs, wishes, 0.5))
+    chosen = sorted((r["doc_id"], r["source"]) for r in mixing.op2_mixing(path).where("selected").collect())
+    after = sorted((r["doc_id"], r["source"]) for r in corpus_pipeline.draw_mixture(spark, path, "").collect())
+    assert after == chosen and len({k for k, _ in chosen}) < 200
+
+
 def test_registered():
     names = entry.queries()
     for n in range(1, 11):

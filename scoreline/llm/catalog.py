@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, packing, secrets, sharding, simhash, suffix, toxicity, vectors, windows
+from . import exact, language, mixing, packing, phrases, secrets, sharding, simhash, suffix, toxicity, turns, vectors, windows
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,9 @@ QUERIES: dict[str, Query] = {
     "op8_windows": _over("documents", windows.op8_windows),
     "op10_secrets": _over("documents", secrets.op10_secrets),
     "op9_packing": _over("documents", packing.op9_packing),
+    "op11_language": _over("documents", language.op11_language),
+    "op12_turns": _over("conversations", turns.op12_turns),
+    "op13_phrases": _over("documents", phrases.op13_phrases),
 }
 
 ORACLES: dict[str, str] = {"op5_exact_dedup": exact.OP5_SQL}

@@ -143,7 +143,7 @@ def _positions(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndar
     """For each language and step: the codes of rows on end, and the positions that a phrase may start from."""
     codes, langs = batch.column("codes"), np.array(batch.column("lang").to_pylist(), object)
     offsets = codes.offsets.to_numpy().astype(np.int64)
-    values, offsets = codes.values.to_numpy(zero_copy_only=False), offsets
+    values = codes.values.to_numpy(zero_copy_only=False)
     for lang in dict.fromkeys(langs.tolist()):
         rows = np.flatnonzero(langs == lang)
         part = np.cumsum(offsets[rows + 1] - offsets[rows]) // _STEP
@@ -246,7 +246,7 @@ def candidates(codes: DataFrame, words: int, least: int = LEAST, heavy_at_once:
     found = []
     for part in range(parts):
         low, high = (part << bits) // parts, ((part + 1) << bits) // parts
-        cells = np.sort(np.array([r[0] for r in heavy.where((F.col("cell") >= low) & (F.col("cell") < high)).toLocalIterator()], np.int64))
+        cells = np.sort(heavy.where((F.col("cell") >= low) & (F.col("cell") < high)).toArrow()["cell"].to_numpy())
         if len(cells):
             found.append(settle(_phrases_in(codes, cells, bits), "phrases"))
     if not found:
@@ -299,6 +299,7 @@ class Trie:
         self.base, self.check, self.accept = (np.full(1024, -1, np.int64) for _ in range(3))
         self.used = np.zeros(1024, bool)
         self.used[0] = True
+        self.end, self.random = 1, np.random.default_rng(1)
         state = np.zeros(len(rows), np.int64)  # of each row at the present depth
         for depth in range(rows.shape[1]):
             alive = np.flatnonzero(rows[:, depth] != 0)
@@ -313,6 +314,8 @@ class Trie:
             state[alive] = self._place(parents, symbols)[edge]
             ends = alive[rows[alive, depth + 1] == 0] if depth + 1 < rows.shape[1] else alive
             self.accept[state[ends]] = order[ends]
+        del self.used, self.random
+        self.base, self.check, self.accept = (a[:self.end + 1].copy() for a in (self.base, self.check, self.accept))
 
     def _place(self, parents: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Give the children of every parent (rows sorted by parent, then symbol) their states."""
@@ -327,25 +330,26 @@ class Trie:
             self.used[placed[own]] = True
             self.base[parents[cuts[i]]] = base
         single = cuts[sizes == 1]
-        self._grow(len(self.used) + len(single))
+        self._grow(self.end + len(single) + 1)
         placed[single] = np.flatnonzero(~self.used)[:len(single)]
         self.used[placed[single]] = True
+        self.end = max(self.end, int(placed.max()))
         self.base[parents[single]] = placed[single] - symbols[single]
         self.check[placed] = parents
         return placed
 
     def _fit(self, symbols: np.ndarray) -> int:
-        """A base whose children all find free places: one of the first free places, or else the end."""
+        """A base whose children all find free places: the first that does of some tried at random, or else the end."""
         span = int(symbols[-1] - symbols[0]) + 1
-        end = int(np.flatnonzero(self.used)[-1]) + 1
-        self._grow(end + span + 1)
-        free = np.flatnonzero(~self.used[:end])[:512]
-        self._grow(int(free[-1]) + span + 1 if len(free) else 0)
-        for some in np.array_split(free, max(1, len(free) * len(symbols) // 100_000)):
-            fits = ~self.used[some[:, None] + (symbols - symbols[0])].any(axis=1)
-            if fits.any():
-                return int(some[np.argmax(fits)] - symbols[0])
-        return end - int(symbols[0])
+        tried = np.sort(self.random.integers(1, self.end + 1, max(8, min(512, 200_000 // len(symbols)))))
+        self._grow(self.end + span + 1)
+        fits = ~self.used[tried]
+        for at in symbols[1:] - symbols[0]:
+            tried = tried[fits]
+            fits = ~self.used[tried + at]
+        first = int(tried[np.argmax(fits)]) if fits.any() else self.end + 1
+        self.end = max(self.end, first + span)
+        return first - int(symbols[0])
 
     def _grow(self, size: int) -> None:
         if size > len(self.used):

@@ -38,7 +38,7 @@ SMOOTHING = 0.5
 HELD_OUT = 2
 UNDETERMINED = "und"
 #: Bytes of words a worker remembers the scores of.
-_REMEMBERED = 8 << 20
+_REMEMBERED = 32 << 20
 #: Distinct words a task counts before it writes them.
 _FLUSH = 200_000
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -63,24 +63,27 @@ class Model:
         self.languages = languages
         self.prior = np.log(np.array(documents, float) / max(sum(documents), 1)) if languages else np.zeros(0)
         self.word_row, self.words = self._table(words)
-        self.run_row, self.runs = {}, {}
-        for n in range(1, LONGEST_RUN + 1):
-            self.run_row[n], self.runs[n] = self._table(runs.get(n, {}))
+        # A run of n letters counts for one of them, as n runs share a letter.
+        tables = [(n, *self._table(runs.get(n, {}))) for n in range(1, LONGEST_RUN + 1)]
+        names = [run for _, rows, _ in tables for run in rows]
+        self.run_row = {run: i for i, run in enumerate(names)}
+        self.runs = np.concatenate([table / n for n, _, table in tables])
 
     def _table(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
         table = np.array(list(counts.values()), float).reshape(len(counts), len(self.languages)) + SMOOTHING
         return {name: i for i, name in enumerate(counts)}, np.log(table / table.sum(axis=0)) if len(counts) else table
 
     def unseen(self, word: str) -> np.ndarray:
-        """The score of a word that is not in the table; a run of n letters counts for one of them, as n runs share a letter."""
-        total = np.zeros(len(self.languages))
-        for tried in runs_of(word):
-            for run in tried:
-                row = self.run_row[len(run)].get(run)
+        """The score of a word that is not in the table: from each place the longest known run."""
+        edged, known, rows = f"\x02{word}\x03", self.run_row, []
+        for at in range(len(edged) - 1):
+            for n in range(LONGEST_RUN, 0, -1):
+                # Near the end a longer slice is a shorter run, which is met again.
+                row = known.get(edged[at:at + n])
                 if row is not None:
-                    total += self.runs[len(run)][row] / len(run)
+                    rows.append(row)
                     break
-        return total
+        return self.runs[np.array(rows, np.int64)].sum(axis=0)
 
 
 class Reader(dict):
@@ -156,7 +159,8 @@ def _most_frequent(counts: DataFrame, name: str, most: int, languages: list[str]
     """The entries with the largest total (ties by the entry), each with its count per language: at most ``most`` rows."""
     total = F.sum("n").alias("total")
     sums = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"l{i}") for i, lang in enumerate(languages)]
-    rows = counts.groupBy(name).agg(total, *sums).orderBy(F.col("total").desc(), name).limit(most).drop("total")
+    # Written first: the rows are chosen by a task, not from what every task sends to the driver.
+    rows = settle(counts.groupBy(name).agg(total, *sums).orderBy(F.col("total").desc(), name).limit(most).drop("total"), "frequent")
     return {r[0]: list(r[1:]) for r in rows.collect()}
 
 

@@ -115,7 +115,7 @@ def test_language_rows_and_odd_texts(frame_of):
 
 def test_language_tables_are_bounded_and_unseen_words_scored(spoken):
     model = language.train(spoken, most_words=5, most_runs=20)
-    assert len(model.word_row) == 5 and all(len(t) <= 20 for t in model.run_row.values())
+    assert len(model.word_row) == 5 and len(model.run_row) <= 4 * 20
     reader = language.Reader(model)
     right = [reader.score(t)[0] == lang for _, t, lang in language_rows()]
     assert sum(right) / len(right) > 0.8

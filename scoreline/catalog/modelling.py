@@ -1,8 +1,7 @@
 """Splits, models, evaluation and simulation.
 
 The training table is the one of the flagship flow without mirrored rows; training rows
-alone set the bounds of its scaling. The searches run parts of the full lists of settings
-here; the sizes are arguments of the library.
+alone set the bounds of its scaling. Searches fit on ``search.FIT_ROWS`` labelled rows at most.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import argmax, equality_label
 from ..functions.seeded import hash_gaussian
-from ..models import evaluate, simulate, split, train
+from ..models import boosting, calibration, evaluate, search, simulate, split, train
 from ..operators.joins import role_playing_join
 from ..plans import features, teams, winner
 from ..storage import settle
@@ -27,6 +26,12 @@ _LABELLED = """
 views.add_view("fx_labelled", _LABELLED)
 
 
+views.add_view("fx_raw_diff", """
+  SELECT m.match_id, m.season, m.status, m.winner_id, """ + ", ".join(f"a.{m} - b.{m} AS {m}_diff" for m in METRICS) + """
+  FROM fx_match m JOIN fx_team a ON a.team_id = team_1_id AND a.season = m.season
+                  JOIN fx_team b ON b.team_id = team_2_id AND b.season = m.season""")
+
+
 class Training:
     """Decided and coming matches as model inputs."""
 
@@ -115,6 +120,11 @@ def _parts(rows):
     return rows.where(F.col("is_test") == 0), rows.where(F.col("is_test") == 1)
 
 
+def _weighted(work, *keep, prepare=lambda rows: rows):
+    """The input of fits with balanced weights."""
+    return work.assembled("weight", *keep, prepare=lambda rows: split.add_class_weights(prepare(rows), "label"))
+
+
 _PREDICTED = ["match_id", "label", "prediction"]
 
 
@@ -164,18 +174,82 @@ def ml_logistic(t):
         *_PREDICTED, train.positive_probability().alias("probability"))
 
 
+def _boosted(rows, settings, watched=None):
+    """A fit on the training rows of a written table, with balanced weights."""
+    bins = boosting.fit_bins(rows.where(F.col("is_test") == 0))
+    taught = rows if watched else rows.where(F.col("is_test") == 0)
+    return boosting.Fit(boosting.binned_rows(taught, bins, weight="weight", watched=watched), bins, settings)
+
+
 @query("ml_boosted_trees")
 def ml_boosted_trees(t):
-    fitted, held = _parts(Training(t).assembled())
-    return train.boosted(rounds=50, depth=5).fit(fitted).transform(held).select(
-        *_PREDICTED, train.positive_probability().alias("probability"))
+    """Leaf-wise boosting with sums of second derivatives, on a table of any size."""
+    rows = _weighted(Training(t))
+    model = _boosted(rows, boosting.Settings(leaves=31, depth=5, child_weight=0.1)).go_on(50)
+    return model.predict(_parts(rows)[1]).select(*_PREDICTED, "probability")
 
 
 @query("ml_early_stopping")
 def ml_early_stopping(t):
-    fitted, held = _parts(Training(t).assembled())
-    model = train.fit_with_patience(train.boosted(rounds=100, depth=4), fitted, held, patience=50)
-    return model.transform(held).select(*_PREDICTED, F.lit(model.getNumTrees).alias("rounds"))
+    """500 rounds allowed; the fit stops when 50 rounds brought the held-out rows nothing, and keeps the trees of the best round."""
+    rows = _weighted(Training(t))
+    fit = _boosted(rows, boosting.Settings(leaves=15, depth=4, child_weight=0.1), watched="is_test")
+    fit.go_on(500, patience=50)
+    return fit.best().predict(_parts(rows)[1]).select(*_PREDICTED, F.lit(fit.best_round()).alias("rounds"))
+
+
+_ROUND_ONE = boosting.Settings(leaves=4, step=0.1, child_weight=1.0, penalty=1.0)
+views.add_view("fx_cell", """
+  SELECT match_id, feature, label, CASE WHEN high > low THEN least(floor((value - low) / (high - low) * """ + str(boosting.CELLS) + """), """
+               + str(boosting.CELLS - 1) + """) ELSE 0 END AS cell
+  FROM (SELECT *, min(value) OVER (PARTITION BY feature) AS low, max(value) OVER (PARTITION BY feature) AS high
+        FROM (""" + " UNION ALL ".join(
+    f"SELECT match_id, {i} AS feature, CASE WHEN m.winner_id = m.team_2_id THEN 1 ELSE 0 END AS label, round({d}, 6) + 0.0 AS value "
+    f"FROM fx_raw_diff d JOIN fx_match m USING (match_id) WHERE m.winner_id IS NOT NULL" for i, d in enumerate(_DIFFS)) + """) u) r""")
+views.add_view("fx_bin", f"""
+  SELECT match_id, feature, label, CAST(floor({boosting.BINS} * below / (SELECT count(DISTINCT match_id) FROM fx_cell)) AS BIGINT) AS bin
+  FROM fx_cell JOIN (SELECT feature, cell, sum(n) OVER (PARTITION BY feature ORDER BY cell) - n AS below
+                     FROM (SELECT feature, cell, count(*) AS n FROM fx_cell GROUP BY feature, cell) c) b USING (feature, cell)""")
+
+
+def _round_one_sql():
+    """The first tree in SQL: the leaf of the largest gain is split, three times."""
+    unit, s = boosting.UNIT, _ROUND_ONE
+
+    def strength(g, h):
+        return f"(({g}) / {unit}.0) * (({g}) / {unit}.0) / (({h}) / {unit}.0 + {s.penalty})"
+
+    steps = [f"""
+sums AS (SELECT match_id, feature, bin, CAST(floor((p - label) * {unit} + 0.5) AS BIGINT) AS g, CAST(floor(p * (1 - p) * {unit} + 0.5) AS BIGINT) AS h
+         FROM fx_bin, (SELECT avg(label) AS p FROM (SELECT DISTINCT match_id, label FROM fx_bin) d) a),
+leaf0 AS (SELECT DISTINCT match_id, CAST(1 AS BIGINT) AS node FROM sums)"""]
+    for i in range(s.leaves - 1):
+        steps.append(f"""
+cuts{i} AS (SELECT node, feature, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, sum(g) OVER v AS g, sum(h) OVER v AS h, sum(n) OVER v AS n
+  FROM (SELECT node, feature, bin, sum(g) AS g, sum(h) AS h, count(*) AS n FROM sums JOIN leaf{i} USING (match_id) GROUP BY node, feature, bin) q
+  WINDOW w AS (PARTITION BY node, feature ORDER BY bin), v AS (PARTITION BY node, feature)),
+best{i} AS (SELECT node, feature, bin AS cut, {strength('gl', 'hl')} + {strength('g - gl', 'h - hl')} - {strength('g', 'h')} AS gain FROM cuts{i}
+  WHERE nl >= {s.least_rows} AND n - nl >= {s.least_rows} AND hl >= {s.child_weight} * {unit} AND h - hl >= {s.child_weight} * {unit} AND bin < {boosting.BINS - 1}
+  ORDER BY gain DESC, node, feature, cut LIMIT 1),
+leaf{i + 1} AS (SELECT l.match_id, CASE WHEN l.node <> b.node THEN l.node WHEN s.bin <= b.cut THEN 2 * l.node ELSE 2 * l.node + 1 END AS node
+  FROM leaf{i} l, best{i} b JOIN sums s ON s.feature = b.feature WHERE s.match_id = l.match_id)""")
+    last = s.leaves - 1
+    splits = " UNION ALL ".join(f"SELECT node, CAST(feature AS BIGINT) AS feature, CAST(cut AS BIGINT) AS cut, CAST(NULL AS DOUBLE) AS value FROM best{i}" for i in range(last))
+    return ("WITH " + ",".join(steps) + f"""
+{splits} UNION ALL
+SELECT node, -1, 0, round(-{s.step} * (sum(g) / {unit}.0) / (sum(h) / {unit}.0 + {s.penalty}), 9) + 0.0
+FROM leaf{last} JOIN sums USING (match_id) WHERE feature = 0 GROUP BY node""")
+
+
+@query("ml_boosted_first_round", _round_one_sql())
+def ml_boosted_first_round(t):
+    """The splits of the first tree and the boosted value of each leaf, on all decided matches; node 1 is the root, its children 2 and 3, and so on."""
+    work = Training(t)
+    raw = _rounded(work.scaling.invert(work.rows), _DIFFS)
+    rows = settle(train.assemble(raw, _DIFFS).select("match_id", "label", "features"), "raw")
+    bins = boosting.fit_bins(rows)
+    tree = boosting.Fit(boosting.binned_rows(rows, bins), bins, _ROUND_ONE).go_on(1).trees[0]
+    return t.spark.createDataFrame(boosting.named_nodes(tree), "node bigint, feature bigint, cut bigint, value double").withColumn("value", F.round("value", 9))
 
 
 def _members():
@@ -215,20 +289,23 @@ def ml_soft_vote_mean(t):
     return _rounded(train.average_vote(rows, ["p_record", "p_score"]).drop("p_record", "p_score"), ["vote_prob"])
 
 
+def _sampled(work, folds, **extra):
+    """The bounded sample of a search, with its folds."""
+    rows = _weighted(work, "fold", prepare=lambda rows: split.add_folds(rows, "label", folds, 42, ["match_id"]))
+    return search.sample(rows, boosting.fit_bins(rows.where(F.col("is_test") == 0)), weight="weight", **extra)
+
+
 @query("ml_grid_search")
 def ml_grid_search(t):
-    rows = Training(t).folded(3)
-    members = train.vote_members(rows.count(), trees=[5], depths=[3, 5], steps=[0.1], rounds=[3], strengths=[0.1, 10],
-                                 iterations=50)
-    return train.vote_grid_search(rows, members, "fold")
+    """All 324 combinations over 3 folds."""
+    return search.vote_search(t.spark, _sampled(Training(t), 3))
 
 
 @query("ml_random_search")
 def ml_random_search(t):
-    rows = Training(t).folded(3)
-    _, table = train.random_search(
-        rows, train.boosted(rounds=3), train.BOOSTED_SETTINGS, draws=3, fold="fold", folds=3)
-    return table
+    """50 of 972 settings over 5 folds, 500 rounds allowed; held-out rows tell when to stop."""
+    rows = _sampled(Training(t), 5, watched="is_test")
+    return search.random_search(t.spark, rows, search.drawn_settings(search.BOOSTED_SETTINGS, 50)).drop("number")
 
 
 @query("ml_cross_val_score")
@@ -237,14 +314,37 @@ def ml_cross_val_score(t):
     return train.cross_val_scores(rows, train.forest(trees=50, depth=10), "fold")
 
 
+class _Calibrated:
+    """Forests of five folds of the training rows, and their calibrators."""
+
+    def __init__(self, t):
+        work = Training(t)
+        rows = work.assembled("fold", prepare=lambda rows: split.add_folds(rows, "label", 5, 42, ["match_id"]))
+        fitted, self.held = _parts(rows)
+        self.models, scores = calibration.out_of_fold(fitted, train.forest(trees=100, depth=10), keep=["match_id"])
+        self.targets = calibration.with_targets(scores)
+        self.calibrators = calibration.fit_platt(self.targets)
+
+
 @query("ml_calibration")
 def ml_calibration(t):
-    rows = split.mark_test(Training(t).assembled(), 30, 7, ["match_id"], "is_held")
-    fitted = rows.where((F.col("is_test") == 0) & (F.col("is_held") == 0))
-    model = train.forest(trees=100, depth=10).fit(fitted)
-    calibration = train.calibrate(model, rows.where((F.col("is_test") == 0) & (F.col("is_held") == 1)))
-    return train.apply_calibrated(model, calibration, rows.where(F.col("is_test") == 1)).select(
-        "match_id", "label", "raw_score", "calibrated_prob")
+    """Held-out matches by the forests of five folds, each calibrated on the rows that it had not seen."""
+    work = _Calibrated(t)
+    return calibration.apply(work.held, work.models, work.calibrators).select("match_id", "label", "calibrated_prob")
+
+
+@query("ml_calibration_equations", f"""
+SELECT CAST(fold AS INT) AS fold, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives, TRUE AS shift_holds, TRUE AS slope_holds
+FROM (SELECT match_id, CAST(label AS BIGINT) AS label, ({_PLACE} - 1) % 5 AS fold FROM fx_labelled
+      WHERE match_id IN (SELECT match_id FROM fx_raw_diff)) f
+WHERE CAST(('0x' || substr(md5('42|' || CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 >= 20
+GROUP BY fold""")
+def ml_calibration_equations(t):
+    """Every training match is scored once, by its fold, and the equations of each fold's calibrator hold to 1e-6."""
+    work = _Calibrated(t)
+    left = calibration.equations(work.targets, work.calibrators).select("fold", *[(F.abs(f"rest_{n}") < 1e-6).alias(f"{n}_holds") for n in ("shift", "slope")])
+    counts = work.targets.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").cast("bigint").alias("positives"))
+    return counts.join(left, "fold")
 
 
 # A rule instead of a model: the side with the better record of the season before wins.
@@ -323,12 +423,6 @@ def eval_vote_argmax(t):
     return _rule(t).select("match_id", argmax(F.col("team_1_guess"), F.col("team_2_guess")).alias("vote"))
 
 
-views.add_view("fx_raw_diff", """
-  SELECT m.match_id, m.season, m.status, m.winner_id, """ + ", ".join(f"a.{m} - b.{m} AS {m}_diff" for m in METRICS) + """
-  FROM fx_match m JOIN fx_team a ON a.team_id = team_1_id AND a.season = m.season
-                  JOIN fx_team b ON b.team_id = team_2_id AND b.season = m.season""")
-
-
 _TRAINED = ("winner_id IS NOT NULL AND "
             "CAST(('0x' || substr(md5('42|' || CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 >= 20")
 
@@ -398,21 +492,19 @@ def flow_winner_report(t):
 
 @query("flow_winner_search")
 def flow_winner_search(t):
-    """Search, refit and the report on held-out originals; a part of the 50 draws and of the rounds."""
+    """Search (50 settings, 5 folds, 500 rounds with patience), refit and the report on held-out originals."""
     table, _ = training_features(t, swap_share=0.5, noise_share=0.25, test_percent=15)
-    _, scored, _ = winner.search_and_hold(settle(table), _DIFFS, train.boosted(rounds=10), train.BOOSTED_SETTINGS, "label", ["match_id"],
-                                          draws=3, folds=3)
+    _, scored, _ = winner.search_and_hold(settle(table), _DIFFS, "label", ["match_id"])
     return winner.held_out_report(scored, "label", copies=["swapped", "noisy"])
 
 
 @query("pred_best_vote")
 def pred_best_vote(t):
-    """The best voting combination, fitted on all rows, in the simulation of the coming games."""
+    """The best of 324 voting combinations, fitted on all rows of the search, in the simulation of the coming games."""
     work = Training(t)
-    rows = work.folded(3)
-    members = train.vote_members(rows.count(), trees=[20], depths=[5, 10], steps=[0.1], rounds=[10], strengths=[0.1, 10])
-    models = train.fit_best_vote(rows, members, train.vote_grid_search(rows, members, "fold"))
-    return work.simulated(lambda games: train.soft_vote(games, models), "vote", scale=0.01, limits=(0.0, 1.0))
+    rows = _sampled(work, 3)
+    vote = search.fit_vote(t.spark, rows, search.vote_search(t.spark, rows).first().asDict())
+    return work.simulated(vote.predict, "vote", scale=0.01, limits=(0.0, 1.0))
 
 
 @query("flow_fitted_ranks")

@@ -14,7 +14,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -53,24 +52,6 @@ def model_input(df: DataFrame, features: Sequence[str], neutral: Mapping[str, fl
     return assemble(df.withColumn(MISSING, count).withColumns(filled), [*features, MISSING])
 
 
-# The settings the full searches choose from. A depth of 30, the
-# most Spark allows, stands for unlimited depth.
-VOTE_SETTINGS = {
-    "trees": [50, 100, 200],
-    "depths": [5, 10, 30],
-    "steps": [0.01, 0.1, 0.2],
-    "rounds": [50, 100, 200],
-    "strengths": [0.01, 0.1, 1, 10],
-}
-BOOSTED_SETTINGS = {
-    "maxDepth": [4, 5, 6],
-    "stepSize": [0.01, 0.05, 0.1],
-    "subsamplingRate": [0.6, 0.8, 1.0],
-    "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
-    "minInfoGain": [0.1],
-}
-
-
 def training_table(df: DataFrame, features: Sequence[str], row_key: Sequence[str], keep: Sequence[str],
                    neutral: Mapping[str, float] | None = None) -> DataFrame:
     """The written input of fits: ``keep`` and the feature vector of ``model_input``.
@@ -109,24 +90,6 @@ def logistic(label: str = "label", iterations: int = 1000, penalty: float = 0.0,
     return LogisticRegression(labelCol=label, maxIter=iterations, regParam=penalty, **extra)
 
 
-def vote_members(rows: int, trees: Sequence[int], depths: Sequence[int], steps: Sequence[float], rounds: Sequence[int],
-                 strengths: Sequence[float], label: str = "label", seed: int = 42,
-                 iterations: int = 1000) -> dict[str, dict[str, Estimator]]:
-    """The settings of the three voting members; ``VOTE_SETTINGS`` holds the full lists.
-
-    A strength ``c`` weighs the summed loss against the penalty, so for ``rows``
-    training rows Spark's penalty is ``1 / (c * rows)``.
-    """
-    def name(text: str) -> str:
-        return text.replace(".", "_")  # a column name with a dot would need back-ticks
-
-    return {
-        "rf": {f"trees{n}_depth{d}": forest(label, n, d, seed) for n in trees for d in depths},
-        "gbt": {name(f"step{s}_rounds{n}"): boosted(label, n, step=s, seed=seed) for s in steps for n in rounds},
-        "lr": {name(f"c{c}"): logistic(label, iterations, 1.0 / (c * rows)) for c in strengths},
-    }
-
-
 def index_classes(df: DataFrame, column: str, result: str, invalid: str = "error") -> DataFrame:
     """Class numbers for a target with many values, such as the winning team itself; a row without a class is an error."""
     indexer = StringIndexer(inputCol=column, outputCol=result, stringOrderType="alphabetAsc", handleInvalid=invalid)
@@ -261,34 +224,6 @@ def vote_grid_search(df: DataFrame, members: Mapping[str, Mapping[str, Estimator
     return combination_scores(scored, members, fold, label)
 
 
-def fit_best_vote(df: DataFrame, members: Mapping[str, Mapping[str, Estimator]], scores: DataFrame,
-                  parallelism: int = 3) -> dict[str, Model]:
-    """The members of the best combination of a vote search, fitted on all rows."""
-    best = scores.first()
-    return fit_members(df, {m: group[best[m].removeprefix(f"{m}_")] for m, group in members.items()}, parallelism)
-
-
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """The round (from 1) with the least loss, looking no further than ``patience`` rounds without gain."""
-    best = 0
-    for at, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = at
-        elif at - best >= patience:
-            break
-    return best + 1
-
-
-def fit_with_patience(estimator: GBTClassifier, fitted: DataFrame, validation: DataFrame, patience: int = 50) -> GBTClassificationModel:
-    """Boosted trees up to the round after which the validation rows gain nothing for ``patience`` rounds.
-
-    All rounds of the estimator are fitted once and judged in one pass; the trees up to the best round
-    are then fitted again, with the same seed and so the same trees.
-    """
-    losses = estimator.fit(fitted).evaluateEachIteration(validation.select("features", estimator.getLabelCol()))
-    return estimator.copy({estimator.maxIter: best_round(losses, patience)}).fit(fitted)
-
-
 def combination_scores(scored: DataFrame, members: Mapping[str, Iterable[str]], fold: str,
                        label: str = "label") -> DataFrame:
     """The mean accuracy over the folds of every combination, the best first.
@@ -350,22 +285,3 @@ def cross_val_scores(df: DataFrame, estimator: Estimator, fold: str, label: str
         held = held.select(fold, (F.col("prediction") == F.col(label)).cast("double").alias("hit"))
         scored = held if scored is None else scored.unionByName(held)
     return scored.groupBy(fold).agg(F.avg("hit").alias("accuracy"), F.count("hit").alias("rows"))
-
-
-def calibrate(model: Model, held_out: DataFrame, label: str = "label") -> Model:
-    """Platt scaling: a logistic fit of the label on the raw score of held-out rows."""
-    scored = _raw_score(model.transform(held_out)).select(label, "raw_score")
-    rows = settle(assemble(scored, ["raw_score"], result="score_vector"), "calibration")
-    return LogisticRegression(labelCol=label, featuresCol="score_vector", predictionCol="calibrated",
-                              probabilityCol="calibrated_probability", rawPredictionCol="calibrated_raw").fit(rows)
-
-
-def _raw_score(df: DataFrame) -> DataFrame:
-    return df.withColumn("raw_score", vector_to_array("rawPrediction").getItem(1))
-
-
-def apply_calibrated(model: Model, calibration: Model, df: DataFrame) -> DataFrame:
-    """Add the calibrated probability of class 1 as ``calibrated_prob``."""
-    scored = assemble(_raw_score(model.transform(df)), ["raw_score"], result="score_vector")
-    return calibration.transform(scored).withColumn(
-        "calibrated_prob", positive_probability("calibrated_probability"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.seeded import hash_bucket
-from ..models import split, train
+from ..models import boosting, search, split, train
 from ..models.evaluate import accuracy, class_report
 
 
@@ -29,18 +29,23 @@ def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimat
     return model, model.transform(rows)
 
 
-def search_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimator, grid: Mapping[str, Sequence], label: str,
-                    row_key: Sequence[str], draws: int = 50, folds: int = 5, seed: int = 42) -> tuple[Model, DataFrame, DataFrame]:
+def search_and_hold(table: DataFrame, features: Sequence[str], label: str, row_key: Sequence[str], grid: Mapping[str, Sequence] = search.BOOSTED_SETTINGS,
+                    draws: int = 50, folds: int = 5, patience: int = 50, seed: int = 42) -> tuple[boosting.Model, DataFrame, DataFrame]:
     """Search settings on the training matches with balanced classes and refit the best: model, all rows scored, search table.
 
     ``table`` has ``is_test``; the folds go by the match like the split, so that no copy of a match
-    is in two of them.
+    is in two of them. Test matches tell when to stop. At most about ``search.FIT_ROWS`` rows are fitted on.
     """
+    spark = table.sparkSession
     marked = split.add_class_weights(table, label)
     marked = marked.withColumn("fold", hash_bucket(seed + 1, *[F.col(k) for k in row_key]) % folds)
     rows = train.training_table(marked, features, row_key, [c for c in marked.columns if c not in features])
-    model, tried = train.random_search(rows.where("is_test = 0"), estimator.copy().setWeightCol("weight"), grid, draws, "fold", folds, seed)
-    return model, model.transform(rows), tried
+    bins = boosting.fit_bins(rows.where("is_test = 0"))
+    own = search.sample(rows, bins, label=label, weight="weight", watched="is_test", row_key=row_key[0])
+    settings = search.drawn_settings(grid, draws, seed)
+    tried = search.random_search(spark, own, settings, patience)
+    model = search.fit_boosted(spark, own, settings[tried.first()["number"]], patience)
+    return model, model.predict(rows), tried
 
 
 def accuracy_by_part(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -135,12 +135,6 @@ def test_combination_scores_match_brute_force(frame):
         assert found[(f"a_{i + 1}", f"b_{j + 1}")] == pytest.approx(sum(sum(v) / len(v) for v in right.values()) / 3)
 
 
-def test_full_vote_settings(spark):
-    members = train.vote_members(100, **train.VOTE_SETTINGS)
-    assert {m: len(s) for m, s in members.items()} == {"rf": 9, "gbt": 9, "lr": 4}
-    assert members["lr"]["c0_1"].getRegParam() == pytest.approx(0.1)
-
-
 def test_random_search_and_cross_validation(assembled):
     rows = settle(split.add_folds(assembled, "label", 3, 42, ["id"]))
     model, table = train.random_search(rows, train.forest(trees=3), {"maxDepth": [1, 2, 3], "minInfoGain": [0.0, 0.1]},
@@ -156,14 +150,6 @@ def test_early_stopping_stops(assembled):
     assert model.getNumTrees < 40
 
 
-def test_calibration_is_monotone(assembled):
-    model = train.forest(trees=5, depth=3).fit(assembled.where("is_test = 0"))
-    calibration = train.calibrate(model, assembled.where("is_test = 1"))
-    rows = train.apply_calibrated(model, calibration, assembled).select("raw_score", "calibrated_prob").orderBy("raw_score").collect()
-    values = [r[1] for r in rows]
-    assert all(0 <= v <= 1 for v in values) and values == sorted(values)
-
-
 def test_ols(frame):
     rng = random.Random(4)
     rows = []

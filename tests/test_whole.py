@@ -153,7 +153,3 @@ def test_samples_need_a_unique_key(frame):
     with pytest.raises(ValueError, match="unique"):
         sample.sample_n(rows, 15, 1, ["k"]).count()
     assert sample.sample_n(rows, 15, 1, ["k", "i"]).count() == 15
-
-
-def test_patience():
-    assert train.best_round([3, 2, 1, 1.5, 1.4, 0.5], 3) == 6 and train.best_round([3, 2, 1, 1.5, 1.4, 1.3, 0.5], 3) == 3 and train.best_round([1], 5) == 1

@@ -2,7 +2,7 @@
 
 1. ``encode`` reads the texts once: words are counted, and texts become rows of word codes (XXH64; the
    counted words are checked for equal codes, and another seed is taken if there are any).
-2. ``candidates`` counts hashes of all phrases in cells, twice as many words as cells; a cell's count is at least that of each of
+2. ``candidates`` counts hashes of all phrases in cells, half as many as words; a cell's count is at least that of each of
    its phrases, so a phrase as frequent as asked lies in a cell that is. The phrases of such cells are gathered, and one
    stays (Apriori) only if what remains of it without its first and without its last word stayed.
 3. ``count`` puts the candidates into double-array tries, ``TRIE_PHRASES`` in each, broadcasts one trie at a time, and
@@ -39,13 +39,15 @@ TOP = 2000
 TRIE_PHRASES = 200_000
 HEAVY_CELLS = 4_000_000
 #: Positions of a row of codes, and positions a task works on at a time.
-_ROW = 512
+_ROW = 192
 _STEP = 1 << 18
 _SEGMENT_BITS = 20
-_FLUSH_HASHES = 3_000_000
-_FLUSH_WORDS = 200_000
+_FLUSH_HASHES = 2_000_000
+_FLUSH_WORDS = 100_000
 _CHUNK = 1 << 20
 _SEEDS = 8
+#: Parts that a language's phrases are ranked in before they are ranked together.
+_PARTS = 64
 
 _TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _EDGE = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
@@ -442,8 +444,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     named = kept.select("*", F.posexplode("phrase").alias("at", "code")).join(words.select("lang", "code", "word"), ["lang", "code"])
     spelled = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda w: w["word"]), " ")
     named = named.groupBy("lang", "phrase", "a", "cut").agg(spelled.alias("spelled"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), F.col("spelled")))
-    best = named.withColumn("rank", rank).where(F.col("rank") <= top).join(totals, "lang")
+    order = [F.col("cut.score").desc(), F.col("a").desc(), F.col("spelled")]
+    # The best of each part of a language first, so that no task takes all phrases of one.
+    near = F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("spelled"), F.lit(_PARTS))).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    best = named.withColumn("near", near).where(F.col("near") <= top).withColumn("rank", rank).where(F.col("rank") <= top).join(totals, "lang")
     return best.select("lang", F.col("rank").cast("bigint").alias("rank"), F.col("spelled").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score")
 
 

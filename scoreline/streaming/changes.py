@@ -1,21 +1,22 @@
-"""Keep a table of latest rows from arriving files.
+"""Keep a table of current rows from arriving files.
 
-Every micro-batch is reduced to the rows that can still matter and written to
-its own folder of a change log; a batch that is replayed after a failure
-replaces its folder. Readers merge the log. No batch rewrites what is stored,
-and no state is held between batches.
+Every micro-batch is reduced to the rows that can still matter and stored as a segment of
+a table of snapshots (``sources.snapshots``): a replayed batch is not stored twice, segments of
+equal size merge, and the number of segments stays logarithmic in the batches. No batch rewrites all that is stored.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.order import keep_one, latest_n
+from ..operators.order import keep_one
+from ..sources.snapshots import ARRIVAL, Snapshots
+from .state import last_rows, state_store
 
 
 def read_arriving(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -23,14 +24,22 @@ def read_arriving(spark: SparkSession, path: str, schema: T.StructType, files_pe
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_to_log(stream: DataFrame, log: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame],
-               timeout: int | None = None) -> None:
-    """Process everything that has arrived, then stop; without a limit in seconds it takes as long as it takes."""
+def run_to_log(stream: DataFrame, log: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame],
+               mode: str = "append", timeout: int | None = None) -> None:
+    """Process everything that has arrived, then stop; without a limit in seconds it takes as long as it takes.
+
+    ``reduce`` gets a batch, ``merge`` the rows of several with their ``ARRIVAL``. A checkpoint that was lost is another
+    source: what it reads again is stored again, as the later arrival.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    stored = Snapshots(spark, log)
 
     def write(batch: DataFrame, number: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{log}/batch_no={number}")
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        stored.append(reduce(batch), (query, number))
+        stored.compact(schema, merge)
 
-    running = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
+    running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()
     if timeout is None:
         running.awaitTermination()
@@ -39,34 +48,32 @@ def run_to_log(stream: DataFrame, log: str, checkpoint: str, reduce: Callable[[D
         raise TimeoutError(f"the stream did not finish within {timeout} seconds")
 
 
-def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
-    """All rows of the log with their batch number; an absent log is empty."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch_no", T.LongType())])
-    try:
-        return spark.read.schema(numbered).parquet(log)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], numbered)
-
-
 def stream_upsert_latest(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
                          order: Sequence[str], timeout: int | None = None) -> DataFrame:
     """The newest row per key, by ``order`` and then by arrival."""
-    run_to_log(stream, log, checkpoint, lambda batch: keep_one(batch, keys, order, keep="last"), timeout)
-    merged = read_log(stream.sparkSession, log, stream.schema)
-    return keep_one(merged, keys, [*order, "batch_no"], keep="last").drop("batch_no")
+    def newest(rows: DataFrame) -> DataFrame:
+        return keep_one(rows, keys, [*order, ARRIVAL], keep="last")
+
+    run_to_log(stream, log, checkpoint, lambda batch: keep_one(batch, keys, order, keep="last"), newest, timeout=timeout)
+    return newest(Snapshots(stream.sparkSession, log).read(stream.schema)).drop(ARRIVAL)
 
 
 def stream_rolling_last_n(stream: DataFrame, log: str, checkpoint: str, keys: Sequence[str],
                           order: Sequence[str], value: str, n: int = 3, timeout: int | None = None) -> DataFrame:
-    """The mean of the last ``n`` values per key, and how many there were."""
-    run_to_log(stream, log, checkpoint, lambda batch: latest_n(batch, keys, order, n), timeout)
-    merged = read_log(stream.sparkSession, log, stream.schema)
-    return latest_n(merged, keys, order, n).groupBy(*keys).agg(
-        F.avg(value).alias(f"{value}_avg"), F.count(value).alias("games"))
+    """The mean of the last ``n`` values per key, and how many there were.
+
+    The last rows of a key are state of the stream; a batch stores only the keys whose mean it may have changed.
+    """
+    def newest(rows: DataFrame) -> DataFrame:
+        return keep_one(rows, keys, [ARRIVAL], keep="last")
+
+    means = last_rows(stream, keys, order, value, n)
+    with state_store(stream.sparkSession):
+        run_to_log(means, log, checkpoint, lambda batch: batch, newest, "update", timeout)
+    found = newest(Snapshots(stream.sparkSession, log).read(means.schema))
+    return found.select(*keys, F.col("mean").alias(f"{value}_avg"), "games")
 
 
 def compact(current: DataFrame, log: str) -> None:
-    """Start a new log that holds the current rows as its first batch."""
-    current.write.mode("error").parquet(f"{log}/batch_no=-1")
+    """Start a new log that holds the current rows as its first segment."""
+    Snapshots(current.sparkSession, log).replace(current)

@@ -154,6 +154,40 @@ def ml_rf_regressor_multi(t):
     return held.select("match_id", "team_1_score", "team_1_score_pred", "team_2_score", "team_2_score_pred")
 
 
+_DECIDED = """fx_match m JOIN fx_team a ON a.team_id = team_1_id AND a.season = m.season JOIN fx_team b ON b.team_id = team_2_id AND b.season = m.season
+  WHERE winner_id IS NOT NULL"""
+_HELD = "CAST(('0x' || substr(md5('42|' || CAST(match_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20"
+
+
+@query("ml_multiclass_facts", f"""
+SELECT match_id, winner, TRUE AS is_class FROM (
+  SELECT match_id, CAST(dense_rank() OVER (ORDER BY CAST(winner_id AS VARCHAR)) - 1 AS DOUBLE) AS winner FROM {_DECIDED}) w WHERE {_HELD}""")
+def ml_multiclass_facts(t):
+    """What SQL can tell of the winner as a class: the held-out matches, the number of their class, and that a class of training matches is predicted."""
+    scored = settle(ml_multiclass_winner(t))
+    classes = Training(t).matches.where(F.col("winner_id").isNotNull()).select("winner_id").distinct().count()
+    is_class = F.col("prediction").between(0, classes - 1) & (F.col("prediction") == F.floor("prediction"))
+    return scored.select("match_id", "winner", is_class.alias("is_class"))
+
+
+@query("ml_regression_facts", f"""
+SELECT match_id, TRUE AS team_1_within, TRUE AS team_2_within FROM (SELECT match_id FROM {_DECIDED}) w WHERE {_HELD}""")
+def ml_regression_facts(t):
+    """A forest's means lie within the scores it was fitted on."""
+    rows = Training(t).rows.where("is_test = 0")
+    scores = ["team_1_score", "team_2_score"]
+    limits = rows.agg(*[f(s).alias(f"{f.__name__}_{s}") for s in scores for f in (F.min, F.max)]).first()
+    within = [F.col(f"{s}_pred").between(float(limits[f"min_{s}"]) - 1e-9, float(limits[f"max_{s}"]) + 1e-9).alias(f"{s[:6]}_within") for s in scores]
+    return ml_rf_regressor_multi(t).select("match_id", *within)
+
+
+@query("ml_weight_facts", "SELECT DISTINCT role, TRUE AS adds_up, TRUE AS is_share FROM fx_player_season")
+def ml_weight_facts(t):
+    """Every role has weights that are shares of one."""
+    names = [F.col(n) for n in ("kills", "deaths", "objective")]
+    return ml_importance_weights(t).select("role", (F.abs(sum(names[1:], names[0]) - 1) < 1e-9).alias("adds_up"), F.least(*names).between(0.0, 1.0).alias("is_share"))
+
+
 @query("ml_feature_importance")
 def ml_feature_importance(t):
     fitted, _ = _parts(Training(t).assembled())

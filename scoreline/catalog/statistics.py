@@ -169,6 +169,30 @@ def stat_kmeans_roles(t):
                                                      "centre_deaths_pm", "centre_objective_pm")
 
 
+@query("stat_kmeans_facts", """
+SELECT player_id, season, TRUE AS is_nearest, TRUE AS is_mean FROM fx_player_season WHERE maps <> 0""")
+def stat_kmeans_facts(t):
+    """What SQL can tell of clusters: every row with numbers is in one, its centre is the nearest in standard units and the mean of its members."""
+    names = ["kills_pm", "deaths_pm", "objective_pm"]
+    rates = _player_rates(t)
+    rows, centres = train.kmeans_roles(rates, names)
+    scaling, rows = S.fit_standard(rates, names), settle(rows)
+    known = {r["role_cluster"]: r for r in centres.collect()}
+
+    def distance(number):
+        return sum(((F.col(n) - F.lit(known[number][n])) / F.lit(scaling.scale[n])) ** 2 for n in names)
+
+    least = F.least(*[distance(n) for n in known])
+    own = F.coalesce(*[F.when(F.col("role_cluster") == n, distance(n)) for n in known])
+    means = rows.groupBy("role_cluster").agg(*[F.avg(n).alias(f"mean_{n}") for n in names])
+    # The search ends when no centre moves by 1e-4.
+    close = F.lit(True)
+    for n in names:
+        close &= F.abs(F.col(n) - F.col(f"mean_{n}")) < 1e-3 * scaling.scale[n]
+    near = settle(centres.join(means, "role_cluster").select("role_cluster", close.alias("is_mean")))
+    return rows.join(near, "role_cluster").select("player_id", "season", (own <= least * (1 + 1e-9)).alias("is_nearest"), "is_mean")
+
+
 _MEANS = {"kills": "average_kills", "deaths": "average_death", "objective": "average_objective_time"}
 
 

@@ -30,9 +30,15 @@ def links(pages: DataFrame, key: str, html: str) -> DataFrame:
                        F.regexp_replace(F.col(f"`{places[3]}`"), F.lit(TAG), F.lit("")).alias("label"))
 
 
+# The largest spans that HTML knows; larger ones are cut to them.
+_MOST = {"colspan": 1000, "rowspan": 65534}
+
+
 def _span(attributes: list[tuple[str, str | None]], name: str) -> int:
     value = (dict(attributes).get(name) or "1").strip()
-    return max(int(value), 1) if value.isdigit() else 1
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    return min(max(int(value), 1), _MOST[name]) if len(value.lstrip("0")) < 10 else _MOST[name]
 
 
 class _Table:

@@ -110,3 +110,10 @@ def test_html_spans(frame):
     df = html.wide_table(frame([("u", page)], "url string, html string"), "url", "html", 0)
     assert df.columns == ["url", "Player_Player", "Overall_KD", "Overall_KD.1"]
     assert rows_of(df) == [("u", "a", "1", None), ("u", "b", "2", "3")]
+
+
+def test_spans_are_numbers_within_the_limits_of_html(frame):
+    page = "<table><tr><th colspan='²'>A<th>B</tr><tr><td colspan='5000000'>x</td></tr><tr><td rowspan='99999999999999999999'>y</td><td colspan=''>z</td></tr></table>"
+    rows = html.wide_table(frame([("u", page)], "url string, html string"), "url", "html", 0).collect()
+    assert html._span([("colspan", "5000000")], "colspan") == 1000 and html._span([("rowspan", "9" * 20)], "rowspan") == 65534
+    assert html._span([("colspan", "²")], "colspan") == 1 and html._span([("colspan", "007")], "colspan") == 7 and len(rows) == 1

@@ -126,6 +126,14 @@ def join_positional(t):
     return J.join_on(first, second, ["game_id"])
 
 
+@query("join_side_by_side", """
+SELECT o_orderkey, o_totalprice, c_custkey, c_acctbal FROM (SELECT o_orderkey, o_totalprice, row_number() OVER () AS n FROM orders) o
+FULL JOIN (SELECT c_custkey, c_acctbal, row_number() OVER () AS n FROM customer) c USING (n)""")
+def join_side_by_side(t):
+    """Two tables without a common key, row by row in the order of their files."""
+    return J.side_by_side(t.orders.select("o_orderkey", "o_totalprice"), t.customer.select("c_custkey", "c_acctbal"))
+
+
 @query("join_index", """
 SELECT m.match_id, CAST(m.winner_id AS DOUBLE) AS winner_id, o_totalprice FROM fx_match m JOIN orders ON o_orderkey = m.match_id""")
 def join_index(t):

@@ -195,6 +195,26 @@ def sink_append(t):
     return tables.scan(t.spark, path)
 
 
+@query("sink_snapshot_replace", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0")
+def sink_snapshot_replace(t):
+    """A table of snapshots, replaced by some of its own rows."""
+    path, rows = workspace(t.spark, "snapshots"), t.orders.select("o_orderkey", "o_totalprice")
+    sinks.store_snapshot(rows, path, "replace")
+    sinks.store_snapshot(sinks.read_snapshot(t.spark, path, rows.schema).where("o_orderkey % 2 = 0"), path, "replace")
+    return sinks.read_snapshot(t.spark, path, rows.schema)
+
+
+@query("sink_snapshot_append", "SELECT c_custkey, c_name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def sink_snapshot_append(t):
+    """Two batches, of which the second comes twice, as after a failure."""
+    path, customers = workspace(t.spark, "snapshots"), t.customer.select("c_custkey", "c_name")
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"))
+    stored = [sinks.store_snapshot(rows, path, "append", ("load", n)) for n, rows in ((0, customers), (1, suppliers), (1, suppliers))]
+    if stored != [True, True, False]:
+        raise AssertionError("a batch must be stored once")
+    return sinks.read_snapshot(t.spark, path, customers.schema)
+
+
 @query("sink_skip_empty", "SELECT o_orderkey, o_orderstatus FROM orders")
 def sink_skip_empty(t):
     path = workspace(t.spark, "skip")

@@ -12,9 +12,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import settle
 from .order import keep_one
 
 
@@ -77,3 +78,30 @@ def lookup_with_fallback(df: DataFrame, sources: Sequence[tuple[DataFrame, str,
 def delete_arriving(stored: DataFrame, arriving: DataFrame, key: str) -> DataFrame:
     """Stored rows whose key does not arrive again."""
     return stored.join(arriving.select(key).distinct(), key, "left_anti")
+
+
+def numbered_rows(stored: DataFrame, result: str) -> DataFrame:
+    """Number the rows of stored files from 0: by file, then by place in the file, however the files are split for reading.
+
+    Rows are counted per file, and a file begins where those before it end; no task sees all rows.
+    """
+    place = stored.metadataColumn("_metadata")
+    counts = settle(stored.select(place["file_path"].alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")), "files")
+    # One row per file.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = settle(counts.select(F.col("_file").alias("_name"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")), "offsets")
+    rows = stored.withColumns({"_file": place["file_path"], "_index": place["row_index"]})
+    return rows.join(offsets, F.col("_file") == F.col("_name")).withColumn(result, F.col("_offset") + F.col("_index")).drop("_file", "_name", "_index", "_offset")
+
+
+def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The first row of one stored table beside the first of the other, and so on, without a common key.
+
+    Where one table is shorter, its columns are NULL. Both must be read from files as they are (a filtered frame
+    is settled first); a column that both have is an error.
+    """
+    both = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+    if both:
+        raise ValueError(f"columns of both tables: {sorted(both)}")
+    first, second = numbered_rows(left, "_number"), numbered_rows(right, "_other")
+    return first.join(second, F.col("_number") == F.col("_other"), "full").drop("_number", "_other")

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from .snapshots import ARRIVAL, Snapshots
 
 
 def write_table(df: DataFrame, path: str, mode: str) -> bool:
@@ -48,3 +51,20 @@ def replace_table(df: DataFrame, path: str) -> bool:
 
 def append_table(df: DataFrame, path: str) -> bool:
     return write_table(df, path, "append")
+
+
+def store_snapshot(df: DataFrame, path: str, mode: str, batch: tuple[str, int] | None = None) -> bool:
+    """Replace or append to a table of snapshots: readers see the old or the new rows at any moment.
+
+    ``batch`` is a source and its number; one that was stored before is left out, so that a job can be run
+    again after it died. Returns whether anything was stored. ``read_snapshot`` reads the table.
+    """
+    if mode not in ("replace", "append"):
+        raise ValueError("mode must be 'replace' or 'append'")
+    table = Snapshots(df.sparkSession, path)
+    return (table.replace if mode == "replace" else table.append)(df, batch)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of the newest snapshot; a table that was never stored is empty."""
+    return Snapshots(spark, path).read(schema).drop(ARRIVAL)

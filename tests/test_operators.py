@@ -205,3 +205,26 @@ def test_weighted_score(frame):
     weights = frame([("s", 0.5, 1.0), ("t", 1.0, 0.0)], "role string, a double, b double")
     assert {r["role"]: r["score"] for r in stats.weighted_score(df, "role", weights, ["a", "b"], "score").collect()} == {
         "s": 4.0, "t": 2.0}
+
+
+@pytest.mark.parametrize(("first", "second"), [(50, 50), (50, 7), (3, 40), (0, 4), (0, 0)])
+def test_side_by_side_under_any_split(spark, tmp_path, first, second):
+    def store(name, n, files):
+        path = str(tmp_path / name)
+        spark.range(n).select(F.col("id").alias(name), F.lit("x" * 100).alias(f"{name}_text")).repartitionByRange(files, name).sortWithinPartitions(name).write.parquet(path)
+        return spark.read.parquet(path).select(name)
+
+    left, right = store("a", first, 4), store("b", second, 3)
+    wanted = sorted(((i if i < first else None, i if i < second else None) for i in range(max(first, second))), key=repr)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128MB", "200"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert sorted((tuple(r) for r in J.side_by_side(left, right).collect()), key=repr) == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_side_by_side_needs_different_columns(small, spark):
+    with pytest.raises(ValueError, match="r_name"):
+        J.side_by_side(spark.read.parquet(f"{small}/region.parquet"), spark.read.parquet(f"{small}/region.parquet"))

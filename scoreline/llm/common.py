@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import inspect
 from collections.abc import Callable, Iterator
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from ..storage import settle, workspace
 
-__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "named_rows", "settle", "slices", "text_bytes", "unused", "workspace"]
+__all__ = ["arrow_map", "ascii_lower", "discard", "documents", "give_back", "named_rows", "settle", "slices", "text_bytes", "unused", "workspace"]
 
 #: Bytes of text that one step inside a task works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -67,6 +69,16 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sche
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return memory that earlier tasks of a Python worker freed to the system: a worker lives on, and its pools keep what they had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps its own ways
+        pass
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or with underlines before it, such that ``df`` has no column of that name in any case."""
     taken = {c.lower() for c in df.columns}

@@ -25,13 +25,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, settle
+from .common import arrow_map, give_back, settle
 
 SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words, and parts of words, whose ids a worker remembers; beyond that it starts a new memory.
-REMEMBERED = 400_000
+#: Bytes of words, and as many of parts of words, whose ids a worker remembers; beyond that it starts a new memory.
+REMEMBERED = 24 << 20
+#: What an entry takes beside its letters and ids.
+_ENTRY_BYTES = 200
+#: Bytes of text tokenised at a time.
+_STEP = 1 << 20
 #: Parallel buckets in which the pieces of one length are numbered, for each partition of a shuffle.
 BUCKETS_PER_PARTITION = 2
 
@@ -62,12 +66,14 @@ class Words:
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.room = {"words": REMEMBERED, "parts": REMEMBERED}
 
     def part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
             spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
             found = self.parts[part] = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.room["parts"] -= _ENTRY_BYTES + 2 * len(part) + len(found)
         return found
 
     def word(self, word: str) -> bytes:
@@ -78,20 +84,23 @@ class Words:
         return b"".join([self.part(p) for p in _PARTS.findall(word.lower())])
 
     def ids(self, words: list[str]) -> list[bytes]:
-        for memory in (self.words, self.parts):
-            if len(memory) > REMEMBERED:
+        for name, memory in (("words", self.words), ("parts", self.parts)):
+            if self.room[name] < 0:
                 memory.clear()
+                self.room[name] = REMEMBERED
         known, made = self.words, []
         for w in words:
             found = known.get(w)
             if found is None:
                 found = known[w] = self.word(w)
+                self.room["words"] -= _ENTRY_BYTES + 2 * len(w) + len(found)
             made.append(found)
         return made
 
 
 @cache
 def _words(file: str) -> Words:
+    give_back()  # a worker's first step here may follow other work
     return Words(file)
 
 
@@ -210,7 +219,7 @@ def pack(docs: DataFrame, file: str, most: int = SEQUENCE, end_id: int = END_ID,
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[key]
     made = arrow_map(docs.select(key, text), lambda batch: _pieces(batch, file, key, text, end_id, most),
-                     f"id {kind}, start bigint, length int, ids_crc32 bigint, doc_tokens bigint", text)
+                     f"id {kind}, start bigint, length int, ids_crc32 bigint, doc_tokens bigint", text, _STEP)
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = settle(made.withColumn("row", F.monotonically_increasing_id()).withColumn(
         "bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")), "pieces")

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from scoreline.models import boosting, search
 from scoreline.catalog.registry import QUERIES, Tables, oracles
 from scoreline.operators import joins, order, sample
 from scoreline.models import train
@@ -117,8 +118,18 @@ def test_large_sides_are_joined_by_shuffle(spark, small):
     assert shuffled == rows_of(QUERIES["join_role_playing"](spark, small))
 
 
+@pytest.fixture
+def short_fits(monkeypatch):
+    """Fewer rounds and trees of the searches and boosted fits, whose full sizes take minutes."""
+    for grid, sizes in ((search.BOOSTED_SETTINGS, {"rounds": [8]}), (search.VOTE_SETTINGS, {"trees": [2, 4, 8], "rounds": [2, 4, 8]})):
+        for name, values in sizes.items():
+            monkeypatch.setitem(grid, name, values)
+    go_on = boosting.Fit.go_on
+    monkeypatch.setattr(boosting.Fit, "go_on", lambda self, rounds, patience=None: go_on(self, min(rounds, 4), patience))
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
-def test_rows_only_queries_give_rows(name, spark, small):
+def test_rows_only_queries_give_rows(name, spark, small, short_fits):
     df = QUERIES[name](spark, small)
     assert df.count() > 0
     for column, kind in df.dtypes:

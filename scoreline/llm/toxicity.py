@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -101,40 +103,55 @@ def _symbol(letter: str) -> int:
     return int(_CODE[i]) if i < len(_CODE) else 60
 
 
-def decode(token: str, costs: np.ndarray) -> str:
+def flat_costs(costs: np.ndarray | array) -> array:
+    """The costs as one row of numbers, which plain Python reads several times as fast as a table of numpy's."""
+    return costs if isinstance(costs, array) else array("d", costs.astype(np.float64).tobytes())
+
+
+@lru_cache(maxsize=4096)
+def _channel(character: str) -> tuple[int, tuple[tuple[int, str, float], ...], bool]:
+    """A character's own symbol, the letters that it may stand for with their costs, and whether it may stand for nothing."""
+    own, price = _symbol(character), AS_STAR if character == "*" else AS_LOOKED
+    return own, tuple((_symbol(look), look, price) for look in LOOKS.get(character, "")), not own and (character in SEPARATORS or character not in LOOKS)
+
+
+def decode(token: str, costs: np.ndarray | array) -> str:
     """The likeliest letters (blanks where words end) behind a disguised token, by Viterbi search.
 
-    A state is the last two symbols. A character may stand for itself, for a letter
+    A state is the last two symbols, as one number. A character may stand for itself, for a letter
     that it looks like, for a repetition of the letter before, or, as a separator, for
     nothing or for the end of a word. Every state keeps its best reading, as a chain of
     letters that readings share, so that long tokens take time in proportion.
     """
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    costs = flat_costs(costs)
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for character in token:
-        made: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-
-        def offer(state: tuple[int, int], cost: float, text: tuple | None, made=made) -> None:
-            if state not in made or cost < made[state][0]:
-                made[state] = (cost, text)
-
-        own = _symbol(character)
-        for (a, b), (cost, text) in states.items():
-            row = costs[a, b]
+        own, looks, silent = _channel(character)
+        made: dict[int, tuple[float, tuple | None]] = {}
+        best = made.get
+        for state, (cost, text) in states.items():
+            last, row = state % LETTERS, state * LETTERS
             if own:
-                offer((b, own), cost + float(row[own]), (text, character))
-                if own == b:
-                    offer((a, b), cost + REPEATED, text)
-            for look in LOOKS.get(character, ""):
-                code = _symbol(look)
-                offer((b, code), cost + float(row[code]) + (AS_STAR if character == "*" else AS_LOOKED), (text, look))
-                if code == b:
-                    offer((a, b), cost + AS_LOOKED + REPEATED, text)
-            if not own and (character in SEPARATORS or character not in LOOKS):
-                offer((a, b), cost + SEPARATED, text)
-                if b:
-                    offer((0, 0), cost + OPENED + float(row[0]), (text, " "))
+                to, total = last * LETTERS + own, cost + costs[row + own]
+                if (held := best(to)) is None or total < held[0]:
+                    made[to] = (total, (text, character))
+                if own == last and ((held := best(state)) is None or cost + REPEATED < held[0]):
+                    made[state] = (cost + REPEATED, text)
+            for code, look, price in looks:
+                to, total = last * LETTERS + code, cost + costs[row + code] + price
+                if (held := best(to)) is None or total < held[0]:
+                    made[to] = (total, (text, look))
+                if code == last and ((held := best(state)) is None or cost + AS_LOOKED + REPEATED < held[0]):
+                    made[state] = (cost + AS_LOOKED + REPEATED, text)
+            if silent:
+                if (held := best(state)) is None or cost + SEPARATED < held[0]:
+                    made[state] = (cost + SEPARATED, text)
+                if last:
+                    total = cost + OPENED + costs[row]
+                    if (held := best(0)) is None or total < held[0]:
+                        made[0] = (total, (text, " "))
         states = made or states
-    ends = [(cost + float(costs[a, b, 0]), text) for (a, b), (cost, text) in states.items()]
+    ends = [(cost + costs[state * LETTERS], text) for state, (cost, text) in states.items()]
     least = min(cost for cost, _ in ends)
     return min(_spelled(text) for cost, text in ends if cost == least)
 
@@ -161,6 +178,8 @@ _SPACED = re.compile(rf"(?<![^\W_])(?:{_LETTER}|{_LOOK})(?:[ ._*-]{{1,2}}(?:{_LE
 _MAY_BE_SPACED = rf"(?:[\pL\pN{_LOOKS}][ ._*-]{{1,2}}){{3}}[\pL\pN{_LOOKS}]"
 _WORDS = re.compile(rf"{_LETTER}+")
 _DOUBLED = re.compile(r"(.)\1+")
+#: Marks that often follow a word.
+_BEHIND = frozenset(",.;:?)'\"")
 
 
 def readings(token: str) -> list[str]:
@@ -171,7 +190,7 @@ def readings(token: str) -> list[str]:
     return [t for t in made if not _PLAIN.fullmatch(t)]
 
 
-def restored_words(token: str, costs: np.ndarray) -> list[str]:
+def restored_words(token: str, costs: np.ndarray | array) -> list[str]:
     """The lower-case words of a token, read through its disguise, doubled letters as one."""
     plain = _WORDS.findall(token)
     if not _PLAIN.fullmatch(token):
@@ -183,22 +202,34 @@ def signs_of(words: list[str]) -> list[str]:
     """What is looked up for a token: its words and their beginnings (marked by a hyphen)."""
     found = list(words)
     for w in words:
-        found += [w[:n] + "-" for n in BEGINNINGS if len(w) > n]
-    return list(dict.fromkeys(found))
+        for n in BEGINNINGS:
+            if len(w) > n:
+                found.append(w[:n] + "-")
+    return found if len(words) == 1 else list(dict.fromkeys(found))
 
 
 class Reader(dict):
-    """Signs by token, remembered; ``known`` keeps those with a weight only."""
+    """Signs by token, remembered; ``known`` keeps those with a weight only.
+
+    Two generations are remembered: when the younger is full it becomes the older,
+    whose tokens come back as they are met, so that frequent tokens are read once.
+    """
 
     def __init__(self, costs: np.ndarray, known: dict[str, float] | None = None) -> None:
         super().__init__()
-        self.costs, self.known = costs, known
+        self.costs, self.known, self.older = flat_costs(costs), known, {}
 
     def __missing__(self, token: str) -> tuple[str, ...]:
-        if len(self) > REMEMBERED:
+        if len(self) > REMEMBERED // 2:
+            self.older = dict(self)
             self.clear()
-        signs = signs_of(restored_words(token, self.costs))
-        self[token] = made = tuple(signs if self.known is None else (s for s in signs if s in self.known))
+        made = self.older.get(token)
+        if made is None:
+            # Most tokens are one word, as it is or with one mark behind; what the general way finds in them is that word.
+            word = token if token.isalpha() else token[:-1] if token[-1:] in _BEHIND and token[:-1].isalpha() else None
+            signs = signs_of([_DOUBLED.sub(r"\1", word)] if word else restored_words(token, self.costs))
+            made = tuple(signs if self.known is None else [s for s in signs if s in self.known])
+        self[token] = made
         return made
 
     def documents(self, column: pa.Array) -> list[tuple[list[tuple[str, ...]], int]]:

@@ -46,6 +46,55 @@ def test_digest_index_outlives_batches(spark, stored):
     assert exact.DigestIndex(spark, folder, 4).table().count() == 4
 
 
+def test_digest_index_keeps_its_buckets_in_another_session(spark, stored):
+    folder, rows = workspace(spark, "index"), stored([(i, f"text {i}") for i in range(500)])
+    index = exact.DigestIndex(spark, folder, 8)
+    assert exact.deduplicate(rows, index).where("kept").count() == 500
+    index.close()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        again = exact.DigestIndex(spark, folder)
+        assert again.buckets == 8 and exact.deduplicate(rows, again).where("kept").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact.DigestIndex(spark, folder, 4)
+
+
+def test_digest_index_without_its_number_is_refused(spark):
+    folder = workspace(spark, "index")
+    spark.range(3).write.parquet(folder)
+    with pytest.raises(ValueError, match="number of buckets"):
+        exact.DigestIndex(spark, folder, 4)
+
+
+def test_a_batch_that_is_run_again_keeps_its_documents(spark, stored, monkeypatch):
+    index = exact.DigestIndex(spark, workspace(spark, "index"), 4)
+    exact.deduplicate(stored([(1, "one"), (2, "two")]), index, batch="a")
+    rows = stored([(3, "TWO"), (4, "three"), (5, "four"), (6, "Four")])
+    wanted = [(3, False, True), (4, True, False), (5, False, False), (6, True, False)]
+    # Died after the append, and before it: the verdicts of the batch are the same each time, and no digest lies in the index twice.
+    exact.deduplicate(rows, index, batch="b")
+    assert tuples(exact.deduplicate(rows, index, batch="b"), "doc_id", "kept", "known") == wanted
+    with monkeypatch.context() as broken:
+        broken.setattr(exact.DigestIndex, "append", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            exact.deduplicate(stored([(7, "five")]), index, batch="c")
+    assert tuples(exact.deduplicate(stored([(7, "five")]), index, batch="c"), "doc_id", "kept") == [(7, True)]
+    assert index.table().count() == index.table().select("digest").distinct().count() == 5
+    assert tuples(exact.deduplicate(rows, index, batch="d"), "doc_id", "kept") == [(3, False), (4, False), (5, False), (6, False)]
+
+
+def test_a_compacted_index_knows_the_same(spark, stored):
+    index = exact.DigestIndex(spark, workspace(spark, "index"), 2)
+    for i in range(3):
+        exact.deduplicate(stored([(i, f"text {i}")]), index)
+    made = index.compact(workspace(spark, "index"))
+    assert tuples(made.table(), "digest", "keep_id", "batch") == tuples(index.table(), "digest", "keep_id", "batch")
+    assert tuples(exact.deduplicate(stored([(9, "Text 1"), (10, "new")]), made), "doc_id", "kept") == [(10, True), (9, False)]
+
+
 def test_digest_index_is_not_shuffled(spark, stored):
     index = exact.DigestIndex(spark, workspace(spark, "index"), 4)
     exact.deduplicate(stored([(i, str(i)) for i in range(50)]), index)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -53,7 +54,19 @@ def test_mix_against_plain_version(docs, doc_rows):
     joined = found.merge(wanted, on=["source", "lang", "topic"], suffixes=("", "_wanted"))
     assert np.allclose(joined["probability"], joined["probability_wanted"])
     texts = {k: t or "" for k, t in doc_rows}
-    assert all(n == 1 + sum(c in " \t\n\v\f\r" for c in texts[None if pd.isna(k) else int(k)]) for k, n in zip(found["doc_id"], found["tokens"]))
+    assert all(n == max(len(re.findall(r"[^\x20\x09-\x0D]+", texts[None if pd.isna(k) else int(k)])), 1) for k, n in zip(found["doc_id"], found["tokens"]))
+
+
+def test_runs_of_blanks_part_words_once(spark):
+    texts = [" " * 1000, "a  b", "a b\n\n\n", "", "\u00a0", " a\tb\x0bc\x0cd\re "]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").orderBy("i").select(mixing.tokens_of(F.col("text")).alias("n")).collect()
+    assert [r["n"] for r in found] == [1, 2, 2, 1, 1, 5]
+
+
+def test_targets_that_contradict_each_other_are_told():
+    cells = pd.DataFrame({"source": ["a", "b"], "lang": ["x", "y"], "topic": ["t", "t"], "tokens": [10, 10]})
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.calibrate(cells, {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, 0.5)
 
 
 def test_mix_draws_by_probability(spark):

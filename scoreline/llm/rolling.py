@@ -32,6 +32,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    n = min(len(left), len(right))
+    return mix(left[:n] * np.uint64(0x9E3779B97F4A7C15) + right[:n])
+
+
+def stretches(values: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` values from every place, made of hashes of 1, 2, 4, ... values that are mixed anew each time.
+
+    Other than a polynomial modulo 2^64 it has no sequences that collide by their form.
+    """
+    n = max(len(values) - width + 1, 0)
+    made, done, part, size = None, 0, values, 1
+    while True:
+        if width & size:
+            made = part if made is None else _joined(made, part[done:])
+            done += size
+        if 2 * size > width:
+            return made[:n]
+        part = _joined(part, part[size:])
+        size *= 2
+
+
 class Rolling:
     """64-bit hashes of stretches of ``symbols`` (numbers below ``entries``); equal stretches hash alike."""
 

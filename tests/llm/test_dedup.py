@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from scoreline.llm import exact, simhash, suffix, windows
@@ -173,6 +174,36 @@ def test_byte_strings(docs, doc_rows, batches, bits):
     assert tuples(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute.strings(doc_rows), key=repr)
 
 
+def test_windows_that_differ_in_a_word_are_different(stored):
+    # Thue-Morse letters: a word and its complement have one polynomial modulo 2^64, whatever the base.
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    tail = " ".join(f"w{i}" for i in range(19))
+    texts = ["x" + "".join("ab"[b ^ turned] for b in bits) + " " + tail for turned in (0, 1)]
+    of_words = [" ".join("ab"[b ^ turned] for b in bits) for turned in (0, 1)]
+    found = windows.op8_windows(stored([(1, texts[0]), (2, texts[1]), (3, texts[1])]))
+    assert tuples(found, "doc_id", "n_removed") == [(1, 0), (2, 0), (3, 20)]
+    found = windows.remove_repeated_windows(stored([(1, of_words[0]), (2, of_words[1])]), 1024)
+    assert tuples(found, "doc_id", "n_removed") == [(1, 0), (2, 0)]
+
+
+def test_hashes_of_stretches():
+    random.seed(5)
+    words = [random.choice(["a", "b", "ab", "0123456789abcdef", "0123456789abcdefg", "0123456789abcdefh", "é" * 8, "é" * 9]) for _ in range(400)]
+    for width in (1, 2, 3, 7, 20):
+        made = windows.Words(pa.array([" ".join(words), None, "", " ".join(words[:50])]), width)
+        texts = [tuple(words[i:i + width]) for i in range(401 - width)] + [tuple(words[i:i + width]) for i in range(51 - width)]
+        for seed in (0, 1):
+            hashes = made.hashes(made.windows, seed).tolist()
+            assert len(hashes) == len(texts) and len(set(zip(texts, hashes, strict=True))) == len(set(texts)) == len(set(hashes))
+
+
+def test_equal_windows_across_batches():
+    rows = [(h, 7 << 32 | i, i, 100 * h + i) for h in range(3) for i in range(40)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("hash", "tail", "id", "row"), r, strict=True)) for r in rows[i:i + 7]]) for i in range(0, len(rows), 7)]
+    found = [r for b in windows._later_of(iter(batches), 10) for r in b.to_pylist()]
+    assert sorted(r["row"] for r in found) == [r[3] for r in rows if r[2]] and sum(r["n"] for r in found) == 117
+
+
 def test_levels_grow_geometrically(spark, docs):
     rows = suffix.spans.numbered(docs, "doc_id", "text")
     entries = suffix.entries(rows, suffix.gram_sketch(rows, bits=8), "bigint")

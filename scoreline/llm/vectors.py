@@ -209,10 +209,10 @@ def near_vectors(vectors: DataFrame, limit: float = LIMIT, missed: float = MISSE
         "digest", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "id").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(least, "root").select("digest", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id")
-    joined = rows.select("key", F.when(F.col("vector").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return joined.select(F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
-                         component.eqNullSafe(F.col("key")).alias("kept"))
+    # Unusable vectors may be any share of the rows; without a key to join by they would meet in one task.
+    alone = rows.where("vector IS NULL").select("key", F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id"))
+    joined = rows.where("vector IS NOT NULL").select("key", "digest").join(named, "digest").select("key", F.col("n_links").cast("bigint").alias("n_links"), "component_id")
+    return joined.unionByName(alone).select(F.col("key").alias(key), "n_links", "component_id", F.col("component_id").eqNullSafe(F.col("key")).alias("kept"))
 
 
 def _links(classes: DataFrame, size: int, n: int, limit: float, missed: float) -> DataFrame:

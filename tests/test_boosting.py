@@ -258,3 +258,33 @@ def test_calibrators_of_equal_scores_and_one_class(frame):
     left = {r["fold"]: r for r in calibration.equations(targets, fitted).collect()}
     assert all(abs(left[n]["rest_shift"]) < 1e-6 and abs(left[n]["rest_slope"]) < 1e-6 for n in (0, 1))
     assert calibration.fit_platt(targets.where("fold > 5")) == {}
+
+
+def test_rows_that_differ_in_their_key_only_are_merged_and_fit_the_same_trees(spark, table, bins):
+    """Five copies of every match under new keys: as many rows to fit on as without them."""
+    many = settle(table.withColumn("match_id", F.explode(F.array(*[F.col("match_id") + 1000 * i for i in range(5)]))))
+    plain = boosting.binned_rows(many, bins, weight="weight", watched="is_test")
+    merged = boosting.binned_rows(many, bins, weight="weight", watched="is_test", merge=True)
+    assert plain.count() == 4500 and merged.count() <= 900 and merged.agg(F.sum("copies")).first()[0] == 4500
+    settings = Settings(leaves=8, depth=3, child_weight=0.1)
+    one, two = boosting.Fit(plain, bins, settings), boosting.Fit(merged, bins, settings)
+    assert same(one.go_on(3, patience=9).trees, two.go_on(3, patience=9).trees) and one.watched == pytest.approx(two.watched, abs=1e-9)
+    with pytest.raises(ValueError, match="row by itself"):
+        boosting.Fit(merged, bins, Settings(rows=0.5))
+
+
+def test_children_at_the_greatest_depth_ask_for_no_sums(table, bins):
+    own = local(table, bins)
+    first, second = boosting.derivatives(np.zeros(len(own.row)), own.label, own.weight)
+    rows, asked = boosting.LocalRows(own.binned, first, second, np.arange(len(own.row))), []
+
+    def sums(tree, nodes):
+        asked.append(list(nodes))
+        return rows.sums(tree, nodes)
+
+    settings = Settings(leaves=4, depth=2, least_rows=5)
+    tree = boosting.grow(settings, sums, boosting.drawn_columns(settings, 3, 0), boosting.newton_value(settings))
+    assert (tree.feature >= 0).sum() == 3 and len(asked) == 2
+    at = tree.leaf(own.binned)
+    for leaf in np.unique(at):
+        assert tree.value[leaf] == pytest.approx(-settings.step * first[at == leaf].sum() / second[at == leaf].sum())

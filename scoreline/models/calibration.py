@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import settle
-from .train import _fit_all, positive_probability
+from .train import _fit_all, counted, merged, positive_probability
 
 #: What a calibrator's equations may differ from zero by, a row.
 TOLERANCE = 1e-12
@@ -21,7 +21,8 @@ def out_of_fold(df: DataFrame, estimator: Estimator, fold: str = "fold", label:
                 parallelism: int = 4) -> tuple[dict[int, Model], DataFrame]:
     """A model per fold, fitted on the others, and the written scores (probability of class 1) of every row by its fold's model."""
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
-    models = dict(zip(folds, _fit_all([(estimator, df.where(F.col(fold) != n)) for n in folds], parallelism), strict=True))
+    rows = merged(df, [fold, label])
+    models = dict(zip(folds, _fit_all([(counted(estimator), rows.where(F.col(fold) != n)) for n in folds], parallelism), strict=True))
     parts = [m.transform(df.where(F.col(fold) == n)).select(F.col(fold).alias("fold"), F.col(label).cast("double").alias("label"),
                                                            positive_probability().alias("score"), *keep) for n, m in models.items()]
     return models, settle(reduce(DataFrame.unionByName, parts), "scores")

@@ -25,7 +25,7 @@ def train_and_hold(table: DataFrame, features: Sequence[str], estimator: Estimat
     marked = split.add_class_weights(table, label)
     keep = [c for c in marked.columns if c not in features]
     rows = train.training_table(marked, features, row_key, keep)
-    model = estimator.copy().setWeightCol("weight").fit(rows.where(F.col("is_test") == 0))
+    model = train.counted(estimator, "weight").fit(train.merged(rows.where(F.col("is_test") == 0), [label], "weight"))
     return model, model.transform(rows)
 
 

@@ -288,3 +288,13 @@ def test_children_at_the_greatest_depth_ask_for_no_sums(table, bins):
     at = tree.leaf(own.binned)
     for leaf in np.unique(at):
         assert tree.value[leaf] == pytest.approx(-settings.step * first[at == leaf].sum() / second[at == leaf].sum())
+
+
+def test_a_level_is_a_job_on_held_blocks_and_no_plan_of_its_own(binned, bins, monkeypatch):
+    fit, planned = boosting.Fit(binned, bins, Settings(leaves=8, depth=3)), []
+    plan = type(binned).mapInArrow
+    monkeypatch.setattr(type(binned), "mapInArrow", lambda *a, **k: planned.append(1) or plan(*a, **k))
+    trees = list(fit.go_on(3, patience=9).trees)
+    assert len(trees) == 3 and not planned
+    monkeypatch.setattr(boosting, "_DIRECT", 0)  # sums are added up by tasks first, as with many partitions
+    assert same(trees, boosting.Fit(binned.repartition(6), bins, Settings(leaves=8, depth=3)).go_on(3, patience=9).trees)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scoreline.operators.order import latest_n
 from scoreline.sources import snapshots
 from scoreline.sources.snapshots import Snapshots
-from scoreline.streaming import changes
+from scoreline.streaming import changes, state
 
 SCHEMA = "id int, ts timestamp, v double"
 
@@ -116,6 +116,18 @@ def test_unchanged_keys_are_not_stored_again(spark, frame, places):
     assert rows_of(spark.read.parquet(f"{log}/{last}").select("id")) == [(4,)]
 
 
+def test_state_is_updated_by_buckets_and_not_key_by_key(spark, frame, places, monkeypatch):
+    arriving, log, progress = places
+    schema = frame([], SCHEMA).schema
+    monkeypatch.setattr(state, "BUCKETS", 2)
+    for minute in (5, 3, 7):
+        land(frame, [(i, at(minute), float(i + minute)) for i in range(300)], arriving)
+    means = changes.stream_rolling_last_n(changes.read_arriving(spark, arriving, schema, 1), log, progress, ["id"], ["ts"], "v", 2)
+    assert sorted(rows_of(means)) == [(i, i + 6.0, 2) for i in range(300)]
+    plan = state.last_rows(changes.read_arriving(spark, arriving, schema), ["id"], ["ts"], "v", 2)._jdf.queryExecution().analyzed().toString()
+    assert "bucket" in plan and "TransformWithState" not in plan
+
+
 def test_a_stream_order_needs_whole_numbers(spark, frame, places):
     (lambda p: land(frame, [(1, at(1), 1.0)], p))(places[0])
     stream = changes.read_arriving(spark, places[0], frame([], SCHEMA).schema)

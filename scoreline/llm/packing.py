@@ -30,7 +30,8 @@ from .common import arrow_map, give_back, settle
 SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Bytes of words, and as many of parts of words, whose ids a worker remembers; beyond that it starts a new memory.
+#: Bytes of words, and as many of parts of words, whose ids a worker remembers. Half of it is the memory in use; when that is full it becomes
+#: the one of before, from which what occurs again is taken over, so that frequent words are never forgotten.
 REMEMBERED = 24 << 20
 #: What an entry takes beside its letters and ids.
 _ENTRY_BYTES = 200
@@ -66,13 +67,18 @@ class Words:
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.room = {"words": REMEMBERED, "parts": REMEMBERED}
+        self.words_before: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
+        self.room = {"words": REMEMBERED // 2, "parts": REMEMBERED // 2}
 
     def part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-            found = self.parts[part] = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            found = self.parts_before.get(part)
+            if found is None:
+                spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+                found = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.parts[part] = found
             self.room["parts"] -= _ENTRY_BYTES + 2 * len(part) + len(found)
         return found
 
@@ -84,17 +90,21 @@ class Words:
         return b"".join([self.part(p) for p in _PARTS.findall(word.lower())])
 
     def ids(self, words: list[str]) -> list[bytes]:
-        for name, memory in (("words", self.words), ("parts", self.parts)):
-            if self.room[name] < 0:
-                memory.clear()
-                self.room[name] = REMEMBERED
-        known, made = self.words, []
+        if self.room["words"] < 0:
+            self.words, self.words_before, self.room["words"] = {}, self.words, REMEMBERED // 2
+        if self.room["parts"] < 0:
+            self.parts, self.parts_before, self.room["parts"] = {}, self.parts, REMEMBERED // 2
+        known, before, made, taken = self.words, self.words_before, [], 0
         for w in words:
             found = known.get(w)
             if found is None:
-                found = known[w] = self.word(w)
-                self.room["words"] -= _ENTRY_BYTES + 2 * len(w) + len(found)
+                found = before.get(w)
+                if found is None:
+                    found = self.word(w)
+                known[w] = found
+                taken += _ENTRY_BYTES + 2 * len(w) + len(found)
             made.append(found)
+        self.room["words"] -= taken
         return made
 
 

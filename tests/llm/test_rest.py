@@ -396,3 +396,15 @@ def test_no_labels(docs, doc_rows, empty, spark):
     none = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
     assert toxicity.op1_toxicity(docs, none).where("predicted = 0").count() == len(doc_rows)
     assert toxicity.op1_toxicity(empty, none).count() == 0
+
+
+def test_frequent_words_outlive_a_full_memory(monkeypatch):
+    asked = []
+    steps = [["often", *(f"rare{chr(97 + i)}{chr(97 + j)}" for j in range(20))] for i in range(6)]
+    wanted = [packing.Words(VOCABULARY).ids(step) for step in steps]
+    monkeypatch.setattr(packing, "REMEMBERED", 8000)
+    words = packing.Words(VOCABULARY)
+    model = words.model
+    words.model = type("Counted", (), {"tokenize": lambda self, part: asked.append(part) or model.tokenize(part)})()
+    assert [words.ids(step) for step in steps] == wanted and asked.count("often") == 1
+    assert len(words.words) + len(words.words_before) < 6 * 20

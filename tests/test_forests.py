@@ -1,11 +1,15 @@
 """Forests on merged rows."""
 
 import random
+import time
+from functools import cache
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scoreline import session
 from scoreline.models import boosting, forests, train
 from scoreline.models.forests import Forest
 from scoreline.storage import settle
@@ -91,3 +95,24 @@ def test_missing_labels_and_single_classes(table):
         Forest(labelCol="score", regression=True).fit(table.withColumn("score", F.when(F.col("match_id") > 5, F.col("score"))))
     scored = Forest(numTrees=2).fit(table.where("label = 1")).transform(table)
     assert scored.where("prediction <> 1").count() == 0
+
+
+def test_a_regression_reads_sums_of_cells(table, monkeypatch):
+    """Draws of many labels in a cell are one row, also when a task gives its sums out early, and the trees are those of all rows."""
+    forest = Forest(labelCol="score", numTrees=4, maxDepth=4, regression=True, weightCol="weight")
+    drawn = forests._drawn_rows(forest, table, boosting.fit_bins(table, bins=forests.BINS), 4)
+    assert drawn.columns == ["bins", "sums"] and drawn.count() == drawn.select("bins").distinct().count() <= 40
+    by_cell = forest.fit(table).trees
+    monkeypatch.setattr(forests, "_HELD_CELLS", 3)
+    assert same(by_cell, forest.fit(table).trees)
+    monkeypatch.setattr(forests, "_SHARED", 1 << 40)
+    assert "sums" not in forests._drawn_rows(forest, table, boosting.fit_bins(table, bins=forests.BINS), 4).columns
+    assert same(by_cell, forest.fit(table).trees)
+
+
+def test_fits_side_by_side_ship_the_package_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(session, "_ship", cache(lambda *key: (time.sleep(0.2), calls.append(key))))
+    with ThreadPool(4) as pool:
+        pool.map(session.ship_package, [spark] * 4, chunksize=1)
+    assert len(calls) == 1

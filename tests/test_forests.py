@@ -116,3 +116,13 @@ def test_fits_side_by_side_ship_the_package_once(spark, monkeypatch):
     with ThreadPool(4) as pool:
         pool.map(session.ship_package, [spark] * 4, chunksize=1)
     assert len(calls) == 1
+
+
+def test_counted_rows_fit_the_forest_of_all_rows(table):
+    """Uneven copies move the bins, which count every row that a merged one stands for."""
+    uneven = settle(table.where("match_id % 40 < 3 OR match_id < 400"))
+    neutral = {n: 0.0 for n in "abc"}
+    plain = Forest(numTrees=4, maxDepth=4, weightCol="weight").fit(settle(train.model_input(uneven.drop("features"), ["a", "b", "c"], neutral))).trees
+    rows = train.merged_input(uneven.drop("features"), ["a", "b", "c"], ["label"], neutral, "weight")
+    assert rows.count() < uneven.count() and rows.agg(F.sum("copies")).first()[0] == uneven.count()
+    assert same(plain, train.fit_counted(Forest(numTrees=4, maxDepth=4), rows, "weight").trees)

@@ -1,6 +1,7 @@
 """Splits, evaluation, models and simulation."""
 
 import random
+import re
 
 import pytest
 from conftest import rows_of
@@ -195,3 +196,15 @@ def test_noise_stays_within_limits(frame):
     games = frame([(1, 0.99), (2, 0.01)], "game int, f double")
     drawn = simulate.noisy_draws(games, "game", ["f"], 500, 0.15, limits=(0.0, 1.0))
     assert drawn.count() == 1000 and drawn.where("f < 0 OR f > 1").count() == 0
+
+
+def test_limited_noise_is_compiled(frame, capsys):
+    """The JVM interprets methods of 8,000 bytes and more; six features are those of a match."""
+    names = [f"f{i}" for i in range(6)]
+    games = frame([("a-b", *[0.5] * 5, None)], "game string, " + ", ".join(f"{n} double" for n in names))
+    drawn = simulate.noisy_draws(games, "game", names, 5, 0.01, limits=(0.0, 1.0))
+    total = drawn.agg(*[F.sum(n) for n in names])
+    assert total.collect()[0][5] is None
+    total.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes

@@ -126,3 +126,18 @@ def test_counted_rows_fit_the_forest_of_all_rows(table):
     rows = train.merged_input(uneven.drop("features"), ["a", "b", "c"], ["label"], neutral, "weight")
     assert rows.count() < uneven.count() and rows.agg(F.sum("copies")).first()[0] == uneven.count()
     assert same(plain, train.fit_counted(Forest(numTrees=4, maxDepth=4), rows, "weight").trees)
+
+
+@pytest.mark.parametrize("features", [3, 9])
+def test_rows_go_down_all_trees_together(features):
+    """The same sums as tree by tree, on uneven trees, single leaves, classes and means; repeated rows are found as rows."""
+    draw = np.random.default_rng(features)
+    binned = draw.integers(0, 6, (500, features)).astype(np.uint8)
+    own, place = forests._distinct(binned)
+    assert len(own) == len(np.unique(binned, axis=0)) and np.array_equal(own[place], binned)
+    for shape in ((2,), ()):
+        uneven = boosting.Tree(*[np.array(a) for a in ([0, -1, features - 1, 1, -1, -1, -1], [2, 0, 4, 0, 0, 0, 0], [1, -1, 3, 5, -1, -1, -1],
+                                                      [2, -1, 4, 6, -1, -1, -1])], draw.random((7, *shape)))
+        leaf = boosting.Tree(*[np.array([n]) for n in (-1, 0, -1, -1)], draw.random((1, *shape)))
+        plain = sum(t.values(own) for t in (uneven, leaf, uneven))
+        assert np.array_equal(forests._sum_of_values([uneven, leaf, uneven], own), plain.reshape(len(own), -1))

@@ -36,6 +36,20 @@ def test_match_features(played, teams_table):
     assert scaling.shift == {"mw_diff": -2.0} and scaling.scale == {"mw_diff": 4.0}
 
 
+def test_matches_are_counted_before_teams_join(frame, teams_table):
+    """A row per season, pair of teams, label and part, whatever the number of matches; fits and scaling are those of all matches."""
+    kinds = [(2024, 1, 2, 1), (2024, 2, 1, 1), (2024, 1, 3, 3), (2024, 3, 2, None), (2023, 1, 2, 1), (None, 1, 2, 2), (2024, 1, 2, 2)]
+    matches = frame([(i, *kinds[i % 7][:3], 1.0, 0.0, kinds[i % 7][3]) for i in range(700)],
+                    "match_id int, season int, team_1_id int, team_2_id int, team_1_score double, team_2_score double, winner_id int")
+    table, scaling = features.match_features(matches, teams_table, ["mw"], swap_share=0.0, test_percent=20)
+    counted, same = features.pairing_features(matches, teams_table, ["mw"], 20, train.COPIES)
+    keys = ["year", "label", "is_test", "mw_diff"]
+    assert counted.count() == 8 and scaling == same
+    assert rows_of(counted.groupBy(*keys).agg(F.sum("copies"))) == rows_of(table.groupBy(*keys).count())
+    merged = [train.merged_input(rows, ["mw_diff"], ["label"]).select("label", "features", "copies", "copies_weight") for rows in (table, counted)]
+    assert rows_of(merged[0]) == rows_of(merged[1]) and merged[1].agg(F.sum("copies")).first()[0] == 400
+
+
 def test_mirrored_matches_flip_the_label(played, teams_table):
     table, _ = features.match_features(played, teams_table, ["mw"], swap_share=1.0)
     both = {(r["match_id"], r["swapped"]): r for r in table.collect()}

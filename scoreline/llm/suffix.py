@@ -7,8 +7,8 @@ repetition shows up between suffixes that begin with the same gram and the few b
 before them. An entry is the suffix after its anchor, the bytes before, and where the run
 of strings with that anchor begins; entries are partitioned by gram and sorted by suffix.
 
-A count-min sketch of all grams tells which entries can match anything; only those
-are stored and moved. Batches of documents come in order. A batch is sorted,
+The grams that repeat are counted out exactly, and bits whose number follows theirs tell
+which entries can match anything; only those are stored and moved. Batches of documents come in order. A batch is sorted,
 merge-scanned together with the levels of the index, and every string of it that an earlier
 entry contains is removed. Then the batch becomes a level, after levels
 of equal size were merged, so that an index of n batches has about log2 n levels.
@@ -26,16 +26,14 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import sketch, spans
-from .common import arrow_map, discard, settle, text_bytes, workspace
-from .rolling import Rolling
+from .common import arrow_map, discard, settle, shuffles_dropped, text_bytes, workspace
+from .rolling import Rolling, mix
 
 LENGTH = 100
 #: Bytes of a gram: short enough that strings share anchors, long enough to be seldom repeated by chance.
 GRAM = 40
 #: Batches that the registered query cuts the documents into.
 BATCHES = 3
-#: The sketch has one entry per anchor, some 30 bytes apart; two rows of bits are 32 MB.
-CELL_BITS = 27
 _STEP = 1 << 20
 #: Entries that a task scans at once, if no gram has more; the tables of powers are some hundred times their bytes.
 _ENTRIES = 5_000
@@ -86,7 +84,7 @@ def _pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
 
 def _entries(batch: pa.RecordBatch, length: int, gram: int, bits: sketch.Repeats) -> dict | None:
     found = Anchors(batch.column("text"), length, gram)
-    some = np.flatnonzero(bits.test(found.grams))
+    some = np.flatnonzero(bits.test(mix(sketch.prefixes(found.grams))))
     if not len(some):
         return None
     first, anchor, end, text = found.first[some], found.anchor[some], found.last[some] + length, found.text[some]
@@ -102,8 +100,12 @@ def _entries(batch: pa.RecordBatch, length: int, gram: int, bits: sketch.Repeats
     lead, copy = order[~same], order[same]
     strings = end - first - length + 1
     # Runs of later strings that follow each other are one.
-    at = np.repeat(place[copy] - np.cumsum(strings[copy]) + strings[copy], strings[copy]) + np.arange(strings[copy].sum())
-    owner, begin, count = spans.runs(np.repeat(text[copy], strings[copy]), at)
+    copy = copy[np.lexsort((place[copy], text[copy]))]
+    after = place[copy] + strings[copy]
+    fresh = np.ones(len(copy), bool)
+    fresh[1:] = (text[copy][1:] != text[copy][:-1]) | (place[copy][1:] != after[:-1])
+    owner, begin = text[copy][fresh], place[copy][fresh]
+    count = np.add.reduceat(strings[copy], np.flatnonzero(fresh)) if len(copy) else begin
     spread = np.random.default_rng(int(rows[0])).integers(-(1 << 62), 1 << 62, len(owner))
     every, nothing = np.concatenate([text[lead], owner]), np.zeros(len(owner), np.int64)
     return {"gram": pa.array(np.concatenate([grams[lead], spread])),
@@ -192,7 +194,8 @@ class SuffixIndex:
 
     def _write(self, entries: DataFrame) -> str:
         path = workspace(self.spark, "suffix-level")
-        entries.select("gram", "suffix", "before", "id", "row", "place", "n").repartition("gram").sortWithinPartitions("gram", "suffix").write.parquet(path)
+        with shuffles_dropped(self.spark):
+            entries.select("gram", "suffix", "before", "id", "row", "place", "n").repartition("gram").sortWithinPartitions("gram", "suffix").write.parquet(path)
         return path
 
     def _merge_equal(self) -> None:
@@ -215,7 +218,8 @@ class SuffixIndex:
         ship_package(self.spark)
         length = self.length
         sorted_rows = both.repartition("gram").sortWithinPartitions("gram", "suffix")
-        removed = settle(sorted_rows.mapInArrow(spans.by_group(lambda table: _scan(table, length), "gram", _ENTRIES), "row bigint, place int, n int"), "removed")
+        with shuffles_dropped(self.spark):
+            removed = settle(sorted_rows.mapInArrow(spans.by_group(lambda table: _scan(table, length), "gram", _ENTRIES), "row bigint, place int, n int"), "removed")
         self.levels.append((1, level))
         return removed
 
@@ -225,8 +229,12 @@ class SuffixIndex:
         self.levels = []
 
 
-def gram_sketch(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int = CELL_BITS) -> Broadcast:
-    return sketch.repeats(rows.select("text"), "text", lambda batch: Anchors(batch.column("text"), length, gram).grams, bits, _STEP)
+def gram_sketch(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bits: int | None = None) -> Broadcast:
+    """Bits that tell which grams of anchors may repeat, as many as the repeated ones need if ``bits`` does not say."""
+    spark = rows.sparkSession
+    with shuffles_dropped(spark):
+        found = settle(sketch.repeated(rows.select("text"), "text", lambda batch: Anchors(batch.column("text"), length, gram).grams, _STEP), "grams")
+    return sketch.members(found, "hash", sketch.bits_for(found.count()) if bits is None else bits)
 
 
 def entries(rows: DataFrame, shared: Broadcast, kind: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -259,7 +267,7 @@ def _cut(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
 
 
 def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, key: str = "doc_id", text: str = "text",
-                            bits: int = CELL_BITS) -> DataFrame:
+                            bits: int | None = None) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256.
 
     The first of equal strings is the one with the smallest key (NULL first), of rows with

@@ -7,9 +7,10 @@ import pyarrow as pa
 import pytest
 
 from scoreline.llm import exact, simhash, suffix, windows
-from scoreline.llm.common import workspace
+from scoreline.llm.common import shuffles_dropped, workspace
 from scoreline.llm.components import connect
-from scoreline.llm.sketch import pack_gaps, repeats, unpack_gaps
+from scoreline.llm.rolling import mix
+from scoreline.llm.sketch import bits_for, members, pack_gaps, prefixes, repeated, repeats, unpack_gaps
 
 from . import brute
 
@@ -162,6 +163,31 @@ def test_sketch_loses_no_repeated_hash(spark, docs):
     assert passed[:50].all() and passed[50:].mean() < 0.05
 
 
+def test_repeated_hashes_are_told_exactly_however_many_there_are(spark):
+    import numpy as np
+
+    # The least of some, as anchors have them: all lie in a small part of their range.
+    hashes = np.unique(np.random.default_rng(2).integers(0, 1 << 58, 400_000, dtype=np.int64)).view(np.uint64)
+    parts = [np.concatenate([hashes[i::4], hashes[:500], hashes[:3], hashes[600:601]]) for i in range(4)]
+    texts = spark.createDataFrame([(str(i),) for i in range(4)], "text STRING").repartition(3)
+    found = repeated(texts, "text", lambda batch: parts[int(batch.column("text")[0].as_py())], 1)
+    wanted = sorted(prefixes(np.append(hashes[:500], hashes[600])).astype(np.int64).tolist())
+    assert sorted(r[0] for r in found.collect()) == wanted
+    bits = members(spark.createDataFrame([(h,) for h in wanted], "hash BIGINT"), "hash", bits_for(len(wanted))).value
+    passed = bits.test(mix(prefixes(hashes)))
+    assert passed[:500].all() and passed[600] and passed[601:].mean() < 0.06
+
+
+def test_bits_for_grams_follow_their_number(spark, docs):
+    rows = suffix.spans.numbered(docs, "doc_id", "text")
+    bits = suffix.gram_sketch(rows).value
+    assert bits.bits == 16 and [bits_for(n) for n in (0, 1 << 14, (1 << 14) + 1, 30_000_000, 1 << 40)] == [16, 16, 17, 27, 30]
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with shuffles_dropped(spark):
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
 @pytest.mark.parametrize("bits", [28, 8])
 def test_word_windows(docs, doc_rows, bits):
     found = windows.remove_repeated_windows(docs, bits=bits)

@@ -2,16 +2,19 @@
 
 1. ``encode`` reads the texts once: words are counted, and texts become rows of word codes (XXH64; the
    counted words are checked for equal codes, and another seed is taken if there are any).
-2. ``candidates`` counts hashes of all phrases in cells, half as many as words; a cell's count is at least that of each of
-   its phrases, so a phrase as frequent as asked lies in a cell that is. The phrases of such cells are gathered, and one
-   stays (Apriori) only if what remains of it without its first and without its last word stayed.
-3. ``count`` puts the candidates into double-array tries, ``TRIE_PHRASES`` in each, broadcasts one trie at a time, and
-   advances the states of all text positions at once, word by word; the accepting states are counted
-   by ``bincount`` and the counts of all shards of the text are added up.
+2. ``heavy_cells`` counts hashes of all phrases in cells, half as many as words; a cell's count is at least that of each of
+   its phrases, so a phrase as frequent as asked lies in a cell that is. ``occurrences`` gathers from every text position
+   the words that may begin such a phrase there: the longest whose parts all lie in such cells. Equal ones become one row
+   with their number. Of the phrases they begin with, ``candidates``, one stays (Apriori) only if what remains of it
+   without its first and without its last word stayed.
+3. ``count`` deals candidates and occurrences out by their first two words, puts the candidates of each part, about
+   ``TRIE_PHRASES`` at most, into a double-array trie, and advances the states of all its occurrences at once, word by word;
+   the accepting states are counted by ``bincount``. Every occurrence meets one trie, so that more phrases mean more
+   tries, but no more work for each position.
 4. ``collocations`` scores them by DataFrame joins.
 
-Cells grow with the input and are merged segment by segment, heavy cells and tries are broadcast in parts of a fixed size;
-each part costs one pass over the codes.
+Cells grow with the input and are merged segment by segment; of the heavy ones, bits whose number follows theirs are
+broadcast. The codes are read twice, whatever the number of cells and phrases.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import settle, slices
+from . import sketch
+from .common import settle, shuffles_dropped, slices
 from .rolling import mix
 from .sketch import pack_gaps, unpack_gaps
 
@@ -35,15 +39,21 @@ LEAST = 30
 #: A phrase goes if a longer one that holds it has this share of its count, in hundredths.
 ABSORBED = 80
 TOP = 2000
-#: Phrases of one trie, and heavy cells, that are broadcast at a time.
+#: Phrases of one trie, and heavy cells whose number the broadcast bits follow; with more, more occurrences pass, and none is lost.
 TRIE_PHRASES = 200_000
-HEAVY_CELLS = 4_000_000
+HEAVY_CELLS = 128_000_000
+#: Parts at least that phrases are counted in.
+_SHARDS = 64
 #: Positions of a row of codes, and positions a task works on at a time.
 _ROW = 192
 _STEP = 1 << 18
 _SEGMENT_BITS = 20
 _FLUSH_HASHES = 2_000_000
 _FLUSH_WORDS = 100_000
+#: Occurrences that a task holds before it merges equal ones.
+_FLUSH_ROWS = 500_000
+#: First bits of the hash of two words, by which occurrences are dealt out to be merged.
+_PAIR_BITS = 12
 _CHUNK = 1 << 20
 _SEEDS = 8
 #: Parts that a language's phrases are ranked in before they are ranked together.
@@ -216,46 +226,108 @@ def heavy_cells(codes: DataFrame, bits: int, least: int = LEAST) -> DataFrame:
     return sketches.mapInArrow(merge, "cell bigint")
 
 
-def _phrases_in(codes: DataFrame, cells: np.ndarray, bits: int) -> DataFrame:
-    """Distinct phrases (lang, size, c1, ...; 0 after the last word) that lie in one of the sorted ``cells``."""
-    shared = codes.sparkSession.sparkContext.broadcast(cells)
+def _beginnings(lang: str, flat: np.ndarray, at: np.ndarray, heavy: sketch.Repeats, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and words (0 after the last) of what may begin a frequent phrase at the positions ``at``, where anything does."""
+    codes = flat.view(np.uint64)
+    h = mix(codes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+    longest, hashes = np.zeros(len(flat), np.int8), np.zeros(len(flat), np.uint64)
+    place = np.flatnonzero(flat[:-1])
+    place = place[flat[place + 1] != 0]
+    for length in range(2, LONGEST + 1):
+        h = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[length - 1:])
+        # Of a longer phrase both parts of one word less must be such phrases.
+        place = place[heavy.test(mix(h[place] >> np.uint64(64 - bits)))]
+        longest[place], hashes[place] = length, h[place]
+        place = place[:-1][np.diff(place) == 1]
+    at = at[longest[at] > 0]
+    words = flat[at[:, None] + np.arange(LONGEST)]
+    words[np.arange(LONGEST) >= longest[at, None]] = 0
+    return hashes[at], words
+
+
+def _pairs(lang: str, words: np.ndarray) -> np.ndarray:
+    """The hashes of the first two words of rows, as ``_hashes`` has them."""
+    codes = words.view(np.uint64)
+    return mix(mix(codes[:, 0] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) * np.uint64(0x9E3779B97F4A7C15) + codes[:, 1])
+
+
+def _merged(hashes: np.ndarray, words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal rows of words, mostly side by side when sorted by hash, as one."""
+    order = np.argsort(hashes, kind="stable")
+    words = words[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    return hashes[order][first], words[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def occurrences(codes: DataFrame, heavy: DataFrame, bits: int, heavy_at_once: int = HEAVY_CELLS) -> DataFrame:
+    """lang, c1, ..., n: how many text positions these words (0 after the last) follow, as far as they may begin a frequent phrase; written."""
+    shared = sketch.members(heavy, "cell", sketch.bits_for(min(heavy.count(), heavy_at_once)))
+
+    def packed(lang: str, held: tuple) -> pa.RecordBatch:
+        """Rows by segments of the hash of their first two words, as bytes; neighbours begin alike."""
+        _, words, n = held
+        pair = _pairs(lang, words)
+        order = np.argsort(pair)
+        segment = (pair[order] >> np.uint64(64 - _PAIR_BITS)).astype(np.int32)
+        segments, first = np.unique(segment, return_index=True)
+        parts, numbers = np.split(words[order], first[1:]), np.split(n[order], first[1:])
+        return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(segments), np.int32))), pa.array(segments, pa.int32()),
+                                           pa.array([part.T.tobytes() for part in parts], pa.binary()), pa.array([part.tobytes() for part in numbers], pa.binary())],
+                                          ["lang", "segment", "words", "n"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        held: dict[str, list[tuple]] = {}
         for batch in batches:
             for lang, flat, at in _positions(batch):
-                for length, place, h in _hashes(lang, flat, at):
-                    cell = (h >> np.uint64(64 - bits)).astype(np.int64)
-                    hit = own[np.minimum(np.searchsorted(own, cell), len(own) - 1)] == cell
-                    place, h = place[hit], h[hit]
-                    order = np.argsort(h, kind="stable")
-                    words = flat[place[order, None] + np.arange(length)]
-                    new = np.ones(len(words), bool)
-                    new[1:] = (words[1:] != words[:-1]).any(axis=1)
-                    words = np.pad(words[new], ((0, 0), (0, LONGEST - length)))
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(np.full(len(words), length, np.int32)),
-                                                      *[pa.array(np.ascontiguousarray(c)) for c in words.T]], ["lang", "size", *_CODES])
-
-    return codes.mapInArrow(work, "lang string, size int, " + ", ".join(f"{c} bigint" for c in _CODES)).distinct()
-
-
-def candidates(codes: DataFrame, words: int, least: int = LEAST, heavy_at_once: int = HEAVY_CELLS) -> DataFrame:
-    """All phrases that may occur ``least`` times, written: none that does is missing."""
-    bits = max(16, int(max(words // 2, 1) - 1).bit_length())
-    heavy = settle(heavy_cells(codes, bits, least), "heavy")
-    # Parts of the cells' range, each with about ``heavy_at_once`` of them.
-    parts = max(1, -(-heavy.count() // heavy_at_once))
-    found = []
-    for part in range(parts):
-        low, high = (part << bits) // parts, ((part + 1) << bits) // parts
-        cells = np.sort(heavy.where((F.col("cell") >= low) & (F.col("cell") < high)).toArrow()["cell"].to_numpy())
-        if len(cells):
-            found.append(settle(_phrases_in(codes, cells, bits), "phrases"))
-    if not found:
-        return codes.sparkSession.createDataFrame([], "lang string, size int, " + ", ".join(f"{c} bigint" for c in _CODES))
-    phrases = found[0]
-    for more in found[1:]:
-        phrases = phrases.unionByName(more)
+                hashes, words = _beginnings(lang, flat, at, shared.value, bits)
+                if not len(hashes):
+                    continue
+                own = held.setdefault(lang, [])
+                own.append(_merged(hashes, words, np.ones(len(hashes), np.int64)))
+                if sum(len(n) for _, _, n in own) >= _FLUSH_ROWS:
+                    own[:] = [_merged(*map(np.concatenate, zip(*own, strict=True)))]
+                    if len(own[0][2]) >= _FLUSH_ROWS // 2:
+                        yield packed(lang, own.pop())
+        for lang, own in held.items():
+            if own:
+                yield packed(lang, _merged(*map(np.concatenate, zip(*own, strict=True))))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def done() -> pa.RecordBatch:
+            words, n = (np.concatenate(part) for part in zip(*held, strict=True))
+            codes, h = words.view(np.uint64), np.zeros(len(n), np.uint64)
+            for i in range(LONGEST):
+                h = mix(h * np.uint64(0x9E3779B97F4A7C15) + codes[:, i])
+            _, words, n = _merged(h, words, n)
+            return pa.RecordBatch.from_arrays([pa.array([at[1]] * len(n), pa.string()), *[pa.array(np.ascontiguousarray(c)) for c in words.T], pa.array(n)], ["lang", *_CODES, "n"])
+
+        for batch in batches:
+            for segment, lang, words, n in zip(*[batch.column(c).to_pylist() for c in ("segment", "lang", "words", "n")], strict=True):
+                if (segment, lang) != at:
+                    if at is not None:
+                        yield done()
+                    at, held = (segment, lang), []
+                held.append((np.frombuffer(words, np.int64).reshape(LONGEST, -1).T, np.frombuffer(n, np.int64)))
+        if at is not None:
+            yield done()
+
+    ship_package(codes.sparkSession)
+    parts = codes.mapInArrow(work, "lang string, segment int, words binary, n binary").repartition("segment").sortWithinPartitions("segment", "lang")
+    return settle(parts.mapInArrow(merge, "lang string, " + ", ".join(f"{c} bigint" for c in _CODES) + ", n bigint"), "occurrences")
+
+
+def candidates(found: DataFrame) -> DataFrame:
+    """lang, size, c1, ...: all phrases that may be frequent, from a written table of occurrences; written, and none that is frequent is missing."""
+    longest = F.lit(2)
+    for name in _CODES[2:]:
+        longest += (F.col(name) != 0).cast("int")
+    begun = found.select("lang", *_CODES, F.explode(F.sequence(F.lit(2), longest)).alias("size"))
+    cut = [F.when(F.col("size") > i, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c) for i, c in enumerate(_CODES)]
+    phrases = settle(begun.select("lang", "size", *cut).distinct(), "phrases")
     kept = phrases.where("size = 2")
     made = kept
     for size in range(3, LONGEST + 1):
@@ -359,52 +431,80 @@ class Trie:
             self.used = np.concatenate([self.used, np.zeros(more, bool)])
             self.base, self.check, self.accept = (np.concatenate([a, np.full(more, -1, np.int64)]) for a in (self.base, self.check, self.accept))
 
-    def accepted(self, lang: str, flat: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
-        """The phrases found from the positions ``at``, in order of length; all positions go on together."""
+    def advanced(self, lang: str, flat: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Which of the positions ``at`` a phrase was found from, and the phrase, in order of length; all positions go on together."""
         if lang not in self.lang:
             return
-        state = np.full(len(at), self.base[0] + self.lang[lang])
+        which, state = np.arange(len(at)), np.full(len(at), self.base[0] + self.lang[lang])
         symbols = self.symbols(flat)
         for depth in range(self.phrases.shape[1]):
             symbol = symbols[at + depth]
             to = self.base[state] + symbol
             known = (symbol != 0) & (to >= 0) & (to < len(self.check))
             known[known] = self.check[to[known]] == state[known]
-            at, state = at[known], to[known]
+            at, which, state = at[known], which[known], to[known]
             found = self.accept[state]
-            yield found[found >= 0]
-
-
-def count(codes: DataFrame, phrases: DataFrame, at_once: int = TRIE_PHRASES) -> DataFrame:
-    """lang, size, c1, ..., n: the occurrences of each phrase of a written table, overlaps included."""
-    spark = codes.sparkSession
-    ship_package(spark)
-    shards = max(1, -(-phrases.count() // at_once))
-    schema = "lang string, " + ", ".join(f"{c} bigint" for c in _CODES) + ", n bigint"
-    made = spark.createDataFrame([], schema)
-
-    def counter(shared):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trie = shared.value
-            counts = np.zeros(len(trie.langs), np.int64)
-            for batch in batches:
-                for lang, flat, at in _positions(batch):
-                    for found in trie.accepted(lang, flat, at):
-                        counts += np.bincount(found, minlength=len(counts))
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([trie.langs[i] for i in seen.tolist()], pa.string()),
-                                              *[pa.array(np.ascontiguousarray(c)) for c in trie.phrases[seen].T], pa.array(counts[seen])], ["lang", *_CODES, "n"])
+            yield which[found >= 0], found[found >= 0]
+
+    def accepted(self, lang: str, flat: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+        """The phrases found from the positions ``at``, in order of length."""
+        for _, found in self.advanced(lang, flat, at):
+            yield found
+
 
-        return work
+def count(found: DataFrame, phrases: DataFrame, at_once: int = TRIE_PHRASES) -> DataFrame:
+    """lang, c1, ..., n: the occurrences of each phrase of a written table, overlaps included; written."""
+    shards = max(_SHARDS, -(-phrases.count() // at_once))
+    names = ["lang", *_CODES, "n"]
 
-    for shard in range(shards):
-        # About ``at_once`` rows of four numbers: the proven size of what is gathered and broadcast.
-        own = phrases.where(F.pmod(F.xxhash64("lang", *_CODES), F.lit(shards)) == shard).select("lang", *_CODES).toArrow()
-        if own.num_rows:
-            trie = Trie(own["lang"].to_pylist(), np.stack([own[c].to_numpy() for c in _CODES], axis=1))
-            counts = codes.mapInArrow(counter(spark.sparkContext.broadcast(trie)), schema)
-            made = made.unionByName(settle(counts.groupBy("lang", *_CODES).agg(F.sum("n").alias("n")), "counts"))
-    return made
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting, trie, counts = None, [], None, np.zeros(0, np.int64)
+
+        def rows(part: pa.RecordBatch | pa.Table) -> np.ndarray:
+            return np.stack([part.column(c).to_numpy() for c in _CODES], axis=1)
+
+        def done() -> Iterator[pa.RecordBatch]:
+            seen = np.flatnonzero(counts)
+            if len(seen):
+                yield pa.RecordBatch.from_arrays([pa.array([trie.langs[i] for i in seen.tolist()], pa.string()),
+                                                  *[pa.array(np.ascontiguousarray(c)) for c in trie.phrases[seen].T], pa.array(counts[seen])], names)
+
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if begin == end:
+                    continue
+                if shard[begin] != at:
+                    yield from done()
+                    at, waiting, trie, counts = shard[begin], [], None, np.zeros(0, np.int64)
+                part = batch.slice(begin, end - begin)
+                # Phrases have no number and come first.
+                n = part.column("n").to_numpy()
+                own = int(np.searchsorted(n, 1))
+                if own:
+                    waiting.append(part.slice(0, own))
+                if own == len(n):
+                    continue
+                if trie is None:
+                    table = pa.Table.from_batches(waiting) if waiting else None
+                    trie = Trie(table["lang"].to_pylist(), rows(table)) if table else Trie([], np.zeros((0, LONGEST), np.int64))
+                    waiting, counts = [], np.zeros(len(trie.langs), np.int64)
+                part, n = part.slice(own), n[own:]
+                lang = part.column("lang").dictionary_encode()
+                of, flat = lang.indices.to_numpy(), rows(part).ravel()
+                for i, name in enumerate(lang.dictionary.to_pylist()):
+                    some = np.flatnonzero(of == i)
+                    for which, accepted in trie.advanced(name, flat, some * LONGEST):
+                        # Sums below 2 ** 53, which floating point holds exactly.
+                        counts += np.bincount(accepted, weights=n[some[which]], minlength=len(counts)).astype(np.int64)
+        yield from done()
+
+    both = phrases.select("lang", *_CODES, F.lit(0).cast("bigint").alias("n")).unionByName(found.select(*names))
+    both = both.withColumn("shard", F.pmod(F.xxhash64("lang", "c1", "c2"), F.lit(shards)).cast("int"))
+    ship_package(found.sparkSession)
+    counts = both.repartition("shard").sortWithinPartitions("shard", "n").mapInArrow(work, "lang string, " + ", ".join(f"{c} bigint" for c in _CODES) + ", n bigint")
+    return settle(counts, "counts")
 
 
 def _score(a: Column, parts: Column) -> Column:
@@ -419,14 +519,17 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     documents; repeated rows count again; ties are ordered by count, then phrase, so ranks are
     unique. An empty input, or one without a phrase as frequent as asked, gives no rows. Other columns are not read.
     """
-    words, codes = encoded(docs, text, lang)
-    totals = settle(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    total = totals.agg(F.sum("n")).first()[0] or 0
-    found = candidates(codes, total, least, sizes.get("heavy_at_once", HEAVY_CELLS))
-    counts = count(codes, found, sizes.get("at_once", TRIE_PHRASES)).where(F.col("n") >= least)
-    phrases = settle(counts.select("lang", F.array_remove(F.array(*_CODES), 0).alias("phrase"), F.col("n").alias("a")), "phrases")
-    frequent = words.where(F.col("n") >= least).select("lang", F.array("code").alias("part"), F.col("n").alias("f"))
-    parts = settle(frequent.unionByName(phrases.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))), "parts")
+    with shuffles_dropped(docs.sparkSession):
+        words, codes = encoded(docs, text, lang)
+        totals = settle(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+        total = totals.agg(F.sum("n")).first()[0] or 0
+        bits = max(16, int(max(total // 2, 1) - 1).bit_length())
+        heavy = settle(heavy_cells(codes, bits, least), "heavy")
+        found = occurrences(codes, heavy, bits, sizes.get("heavy_at_once", HEAVY_CELLS))
+        counts = count(found, candidates(found), sizes.get("at_once", TRIE_PHRASES)).where(F.col("n") >= least)
+        phrases = settle(counts.select("lang", F.array_remove(F.array(*_CODES), 0).alias("phrase"), F.col("n").alias("a")), "phrases")
+        frequent = words.where(F.col("n") >= least).select("lang", F.array("code").alias("part"), F.col("n").alias("f"))
+        parts = settle(frequent.unionByName(phrases.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))), "parts")
     size = F.size("phrase")
     cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), size - 1)))
     cuts = cuts.withColumns({"first": F.slice("phrase", F.lit(1), F.col("k")), "rest": F.slice("phrase", F.col("k") + 1, size - F.col("k"))})

@@ -12,7 +12,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scoreline.llm import language, phrases, turns
+from scoreline.llm import language, phrases, sketch, turns
+from scoreline.llm.rolling import mix
 
 from . import brute
 
@@ -332,6 +333,36 @@ def test_trie_finds_what_a_dictionary_finds():
         assert found == wanted
 
 
+def test_phrases_are_counted_in_two_passes_over_the_codes_however_many_there_are(frame_of, monkeypatch):
+    passes = []
+    encoded = phrases.encoded
+
+    def watched(docs, text, lang):
+        words, codes = encoded(docs, text, lang)
+        kept = type(codes).mapInArrow
+        monkeypatch.setattr(type(codes), "mapInArrow", lambda df, *a, **b: (passes.append(1) if df is codes else None, kept(df, *a, **b))[1])
+        return words, codes
+
+    monkeypatch.setattr(phrases, "encoded", watched)
+    rows = phrase_rows(600)
+    docs = frame_of(rows, "doc_id long, text string, lang string")
+    assert tuples(phrases.collocations(docs, least=5, at_once=5, heavy_at_once=10), *PHRASE_COLUMNS) == plain_phrases([(t, lang) for _, t, lang in rows], least=5)
+    assert len(passes) == 2
+
+
+def test_beginnings_of_phrases_are_as_long_as_all_their_parts_allow():
+    heavy, bits = sketch.Repeats(20), 40
+    flat = np.array([1, 2, 3, 4, 5, 0, 2, 3, 9, 0, 0, 0], np.int64)
+    for some in ([1, 2], [2, 3], [3, 4], [1, 2, 3], [2, 3, 4], [1, 2, 3, 4], [3, 4, 5]):
+        code = np.array([*some, 0, 0, 0], np.int64)
+        *_, (_, _, h) = [x for x in phrases._hashes("en", code, np.array([0])) if len(x[2])]
+        heavy.add(mix(h >> np.uint64(64 - bits)))
+    hashes, words = phrases._beginnings("en", flat, np.flatnonzero(flat[:-3]), heavy, bits)
+    # 3 4 5 is heavy, but 4 5 is not.
+    assert words.tolist() == [[1, 2, 3, 4], [2, 3, 4, 0], [3, 4, 0, 0], [2, 3, 0, 0]]
+    assert len(set(hashes.tolist())) == 4
+
+
 def test_codes_take_another_seed_if_words_share_one(frame_of, monkeypatch):
     calls = []
     encode = phrases.encode
